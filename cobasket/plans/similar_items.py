@@ -66,8 +66,11 @@ def buyers_within_cap(rows: DataFrame, buyer: str, cap: int) -> DataFrame:
 def _edges(interactions: DataFrame, products: DataFrame, buyer: str, tuning: Tuning) -> DataFrame:
     cap = tuning.max_user_events
     _limit_groups_before_exchange(products.sparkSession, max(cap + 1, tuning.max_similar))
-    # Rows without client, buyer or item take no part in any count.
-    known = interactions.dropna(subset=["client", buyer, "item"])
+    # Rows without client, buyer or item take no part in any count. As plain predicates they also keep
+    # the optimizer from adding its own on one path only, which would end the sharing of the scan.
+    known = interactions.filter(
+        F.col("client").isNotNull() & F.col(buyer).isNotNull() & F.col("item").isNotNull()
+    )
     rows = buyers_within_cap(valid_with_frequencies(known, sellable_items(products)), buyer, cap)
     # A pair shares at most as many links as its rarer item has, and its weight is at most that too.
     enough = max(tuning.min_amf, tuning.min_nmf)
