@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cobasket.operators.lookup import look_up
+
 # Items of a link per block, and links of an item per stripe group.
 BLOCK = 1024
 LINKS_PER_GROUP = 100_000
@@ -130,11 +132,9 @@ def cooccurrences(
     dropped. The frequencies are those given and appear on both sides of the pair. ``layout`` goes
     to :func:`count_pairs`.
     """
-    rows = (
-        interactions.select("client", "link", "item")
-        .join(link_freq.select("client", "link", "ufrq"), ["client", "link"])
-        .join(item_freq.select("client", "item", "freq"), ["client", "item"])
-    )
+    rows = interactions.select("client", "link", "item")
+    rows = look_up(rows, link_freq.select("client", "link", "ufrq"), ["client", "link"])
+    rows = look_up(rows, item_freq.select("client", "item", "freq"), ["client", "item"])
     return count_pairs(rows, min_amf, min_nmf, **layout)
 
 

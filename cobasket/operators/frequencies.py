@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from cobasket.operators.lookup import look_up
+
 
 def items_per_link(interactions: DataFrame) -> DataFrame:
     """Purchase mode: distinct items of each user, ``(client, link, ufrq)``."""
@@ -18,7 +20,7 @@ def items_per_buyer(interactions: DataFrame) -> DataFrame:
     """
     per_order = interactions.groupBy("client", "user_id", "link").agg(F.count("item").alias("n_items"))
     per_buyer = per_order.groupBy("client", "user_id").agg(F.sum("n_items").alias("ufrq"))
-    return per_order.join(per_buyer, ["client", "user_id"]).select("client", "user_id", "link", "ufrq")
+    return look_up(per_order, per_buyer, ["client", "user_id"]).select("client", "user_id", "link", "ufrq")
 
 
 def links_per_item(interactions: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cobasket.operators.lookup import look_up
+
 # Catalog states of items that may be recommended.
 KEPT_STATUSES = ("AVAILABLE", "UNAVAILABLE")
 
@@ -56,9 +58,8 @@ def valid_interactions(interactions: DataFrame, items: DataFrame) -> DataFrame:
     joined by (client, item), where adaptive execution may split a popular item because nothing
     above depends on that partitioning.
     """
-    return interactions.distinct().join(items.select("client", "item"), ["client", "item"], "left_semi").select(
-        *interactions.columns
-    )
+    valid = look_up(interactions.distinct(), items.select("client", "item"), ["client", "item"], "left_semi")
+    return valid.select(*interactions.columns)
 
 
 def prune_interactions(
@@ -72,10 +73,6 @@ def prune_interactions(
     """
     links = link_freq.filter(F.col("ufrq").between(2, max_user_events)).select("client", "link")
     items = item_freq.filter(F.col("freq") > 1).select("client", "item")
-    return (
-        interactions.select("client", "link", "item")
-        .distinct()
-        .join(links, ["client", "link"], "left_semi")
-        .join(items, ["client", "item"], "left_semi")
-        .select("client", "link", "item")
-    )
+    rows = interactions.select("client", "link", "item").distinct()
+    rows = look_up(rows, links, ["client", "link"], "left_semi")
+    return look_up(rows, items, ["client", "item"], "left_semi").select("client", "link", "item")

@@ -31,6 +31,10 @@ MODES = {
 }
 
 
+# JSON readers parse all of a declared struct, so what no job uses is left out of the schema.
+_UNUSED_ITEM_FIELDS = ("items.product.specs", "items.product.price")
+
+
 @dataclass(frozen=True)
 class InputPlan:
     """What a run reads and writes."""
@@ -68,7 +72,7 @@ def plan_inputs(
         latest_generation_path(spark, catalog_root, "products"),
         schema_of("catalog", "products", select=("client", "product_id", "status")),
         tuple(month_paths(spark, events_root, "buyorder", reference or date.today(), n_months)),
-        schema_of("event", "buyorder", select=chosen.event_fields, drop=("items.product.specs",)),
+        schema_of("event", "buyorder", select=chosen.event_fields, drop=_UNUSED_ITEM_FIELDS),
         output_path(output_root, chosen.algorithm, generation or datetime.now().strftime(GENERATION_FORMAT)),
     )
 

@@ -20,6 +20,7 @@ from cobasket.operators.interactions import (
     sellable_items,
     with_order_key,
 )
+from cobasket.operators.lookup import look_up
 from cobasket.operators.ranking import ranked_similar
 from cobasket.tuning import ORDER_TUNING, PURCHASE_TUNING, Tuning
 
@@ -43,7 +44,7 @@ def valid_with_frequencies(interactions: DataFrame, items: DataFrame) -> DataFra
     rows = interactions.distinct()
     freq = rows.groupBy("client", "item").agg(F.count("link").alias("freq"))
     known = freq.join(items.distinct(), ["client", "item"])
-    return rows.join(known, ["client", "item"])
+    return look_up(rows, known, ["client", "item"])
 
 
 def buyers_within_cap(rows: DataFrame, buyer: str, cap: int) -> DataFrame:

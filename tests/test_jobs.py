@@ -1,0 +1,217 @@
+import json
+import random
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from cobasket import (
+    order_recommendations,
+    order_similar_items,
+    plan_inputs,
+    purchase_recommendations,
+    purchase_similar_items,
+    run_job,
+)
+from cobasket.operators.cooccurrence import cooccurrences
+from cobasket.operators.frequencies import items_per_buyer, items_per_link, links_per_item
+from cobasket.operators.interactions import (
+    order_interactions,
+    prune_interactions,
+    purchase_interactions,
+    sellable_items,
+    valid_interactions,
+    with_order_key,
+)
+from cobasket.plans.similar_items import order_edges, purchase_edges
+from cobasket.sources.dumps import read_recommendations
+from cobasket.tuning import ORDER_TUNING, PURCHASE_TUNING, Tuning
+from tests.helpers import as_edges, brute_force_edges, catalog, events, rounded, rows
+
+GOLDEN_CATALOG = {"A": "AVAILABLE", "B": "AVAILABLE", "C": "UNAVAILABLE", "D": "REMOVED"}
+GOLDEN_EVENTS = [
+    ("u1", "o1", ["A", "B"]),
+    ("u2", "o2", ["A", "B"]),
+    ("u3", "o3", ["A", "B", "C"]),
+    ("u4", "o4", ["C", "D"]),
+    ("u5", "o5", ["A"]),
+]
+OPEN = Tuning(alpha=0.2, min_amf=1, min_nmf=0)
+EDGES = {"purchase": purchase_edges, "order": order_edges}
+FLAT = {"purchase": purchase_similar_items, "order": order_similar_items}
+
+
+def test_golden_case(spark):
+    documents = purchase_recommendations(catalog(spark, GOLDEN_CATALOG), events(spark, GOLDEN_EVENTS)).collect()
+    found = {d["product"]: d for d in documents}
+    assert sorted(found) == ["A", "B"]
+    for product, rec, freq_ref, freq_rec, asl in [("A", "B", 4, 3, 1.070322), ("B", "A", 3, 4, 1.347304)]:
+        (result,) = found[product].results
+        assert (result.rec, result.amf, result.freq_ref, result.freq_rec) == (rec, 3, freq_ref, freq_rec)
+        assert result.nmf == pytest.approx(8 / 3, abs=1e-9)
+        assert result.asl == pytest.approx(asl, abs=1e-6)
+        assert result.nsl == 1.0
+
+
+def test_golden_pairs_before_thresholds(spark):
+    edges = purchase_edges(catalog(spark, GOLDEN_CATALOG), events(spark, GOLDEN_EVENTS), OPEN)
+    assert {k[1:]: v[:2] for k, v in as_edges(edges).items()} == {
+        ("A", "B"): (3, round(8 / 3, 9)),
+        ("A", "C"): (1, round(2 / 3, 9)),
+        ("B", "C"): (1, round(2 / 3, 9)),
+    }
+
+
+def _random_case(seed):
+    rng = random.Random(seed)
+    items = [f"i{n}" for n in range(18)]
+    statuses = {i: rng.choice(["AVAILABLE", "AVAILABLE", "UNAVAILABLE", "REMOVED"]) for i in items}
+    orders = []
+    for n in range(80):
+        user = rng.choice([f"u{k}" for k in range(15)] + ["guest"] * 8 + [None])
+        order = None if rng.random() < 0.05 else f"o{n % 60}"
+        chosen = [rng.choice(items + [None, "unlisted"]) for _ in range(rng.randint(0, 6))]
+        # An order comes in pieces now and then, and one is delivered many times.
+        orders += [(user, order, chosen)] * (30 if n == 3 else 1)
+    return statuses, orders
+
+
+@pytest.mark.parametrize("mode", ["purchase", "order"])
+@pytest.mark.parametrize("cap", [6, 1000])
+@pytest.mark.parametrize("thresholds", [(1, 0), (2.1, 0.4)], ids=str)
+def test_jobs_match_brute_force(spark, mode, cap, thresholds):
+    statuses, orders = _random_case(11)
+    tuning = Tuning(0.2, min_amf=thresholds[0], min_nmf=thresholds[1], max_user_events=cap)
+    found = as_edges(EDGES[mode](catalog(spark, statuses), events(spark, orders), tuning))
+    expected = rounded(brute_force_edges(statuses, orders, mode, cap, *thresholds))
+    assert found == expected
+    assert expected or thresholds != (1, 0)
+
+
+@pytest.mark.parametrize("mode", ["purchase", "order"])
+def test_fused_plan_equals_the_single_operators(spark, mode):
+    statuses, orders = _random_case(5)
+    products, data = catalog(spark, statuses), events(spark, orders)
+    if mode == "purchase":
+        valid = valid_interactions(purchase_interactions(data), sellable_items(products))
+        link_freq = items_per_link(valid)
+    else:
+        valid = valid_interactions(with_order_key(order_interactions(data)), sellable_items(products))
+        link_freq = items_per_buyer(valid)
+    item_freq = links_per_item(valid)
+    pruned = prune_interactions(valid, link_freq, item_freq, 1000)
+    single = as_edges(cooccurrences(pruned, link_freq, item_freq, 1, 0))
+    assert single and single == as_edges(EDGES[mode](products, data, OPEN))
+
+
+def test_cap_above_the_block_size_splits_long_links(spark, monkeypatch):
+    import cobasket.operators.cooccurrence as module
+
+    monkeypatch.setattr(module.count_pairs, "__defaults__", (("client", "link"), None, 3, 2))
+    statuses, orders = _random_case(7)
+    for mode in EDGES:
+        found = as_edges(EDGES[mode](catalog(spark, statuses), events(spark, orders), OPEN))
+        assert found and found == rounded(brute_force_edges(statuses, orders, mode, 1000, 1, 0))
+
+
+def test_hot_user_over_the_cap_is_dropped_whole_and_at_the_cap_kept(spark):
+    statuses = {f"i{n}": "AVAILABLE" for n in range(31)}
+    orders = [("guest", f"g{n}", [f"i{n}", f"i{(n + 1) % 31}"]) for n in range(31)] * 5
+    orders += [("big", f"b{n}", [f"i{n}"]) for n in range(30)] + [("u", "o", ["i1", "i2"])]
+    tuning = Tuning(0.2, min_amf=1, min_nmf=0, max_user_events=30)
+    for mode in EDGES:
+        found = as_edges(EDGES[mode](catalog(spark, statuses), events(spark, orders), tuning))
+        assert found == rounded(brute_force_edges(statuses, orders, mode, 30, 1, 0))
+        assert ("c1", "i1", "i2") in found
+
+
+def test_catalog_repeats_do_not_multiply(spark):
+    twice = [(i, s) for i, s in GOLDEN_CATALOG.items() for _ in range(3)] + [("A", "UNAVAILABLE")]
+    once = rows(purchase_similar_items(catalog(spark, GOLDEN_CATALOG), events(spark, GOLDEN_EVENTS), OPEN))
+    assert once == rows(purchase_similar_items(catalog(spark, twice), events(spark, GOLDEN_EVENTS), OPEN))
+
+
+def test_clients_stay_apart(spark):
+    both = catalog(spark, GOLDEN_CATALOG).union(catalog(spark, GOLDEN_CATALOG, "c2"))
+    data = events(spark, GOLDEN_EVENTS + [(u, o, i, "c2") for u, o, i in GOLDEN_EVENTS])
+    documents = rows(purchase_recommendations(both, data).select("client", "product"))
+    assert documents == [("c1", "A"), ("c1", "B"), ("c2", "A"), ("c2", "B")]
+
+
+def test_order_result_is_invariant_under_renaming_orders(spark):
+    statuses, orders = _random_case(3)
+    renamed = [(u, None if o is None else f"x{o}y", i) for u, o, i in orders]
+    one = rows(order_similar_items(catalog(spark, statuses), events(spark, orders), OPEN))
+    assert one and one == rows(order_similar_items(catalog(spark, statuses), events(spark, renamed), OPEN))
+
+
+@pytest.mark.parametrize("mode", ["purchase", "order"])
+def test_properties_of_the_flat_result(spark, mode):
+    statuses, orders = _random_case(9)
+    tuning = Tuning(0.1, min_amf=1, min_nmf=0, max_similar=3)
+    flat = FLAT[mode](catalog(spark, statuses), events(spark, orders), tuning).collect()
+    best, ranks = {}, {}
+    for r in flat:
+        assert 0 < r.nsl <= 1
+        best[r.item_ref] = max(best.get(r.item_ref, 0), r.nsl)
+        ranks.setdefault(r.item_ref, []).append(r.rank)
+    assert set(best.values()) == {1.0}
+    assert all(sorted(v) == list(range(1, len(v) + 1)) and len(v) <= 3 for v in ranks.values())
+
+
+def test_order_mode_documents(spark):
+    documents = order_recommendations(catalog(spark, GOLDEN_CATALOG), events(spark, GOLDEN_EVENTS)).collect()
+    assert {d["product"]: [r.rec for r in d.results] for d in documents} == {"A": ["B"], "B": ["A"]}
+    assert documents[0].tuning.alpha == ORDER_TUNING.alpha
+
+
+@pytest.fixture
+def dumps(tmp_path):
+    def write(folder, lines):
+        folder.mkdir(parents=True)
+        (folder / "part-0.json").write_text("".join(json.dumps(x) + "\n" for x in lines))
+        (folder / "_SUCCESS").touch()
+
+    write(
+        tmp_path / "catalog/products/20220401-000000",
+        [{"client": "c1", "product_id": i, "status": s} for i, s in GOLDEN_CATALOG.items()],
+    )
+    write(
+        tmp_path / "events/buyorder/2022-04-01",
+        [
+            {"client": "c1", "order_id": o, "user_id": u, "items": [{"product": {"id": i, "specs": {"a": "b"}}} for i in its]}
+            for u, o, its in GOLDEN_EVENTS
+        ],
+    )
+    return {n: str(tmp_path / d) for n, d in [("catalog_root", "catalog"), ("events_root", "events"), ("output_root", "out")]}
+
+
+@pytest.mark.parametrize("mode, algorithm", [("purchase", "si-cf-purchase"), ("buyorder", "si-cf-buyorder")])
+def test_job_writes_one_finished_generation(spark, dumps, mode, algorithm):
+    run = run_job(spark, mode, **dumps, reference=date(2022, 5, 1), generation="20220501-120000")
+    assert run.output_path.endswith(f"{algorithm}/20220501-120000")
+    written = read_recommendations(spark, dumps["output_root"], algorithm)
+    assert rows(written.select("product", F.size("results"))) == [("A", 1), ("B", 1)]
+
+
+def test_dry_run_resolves_and_writes_nothing(spark, dumps, tmp_path):
+    run = run_job(spark, "buyorder", **dumps, reference=date(2022, 5, 31), dry_run=True)
+    assert run.catalog_path.endswith("20220401-000000")
+    assert [p[-10:] for p in run.event_paths] == ["2022-04-01"]
+    assert run.event_schema.fieldNames() == ["client", "order_id", "user_id", "items"]
+    assert "specs" not in run.event_schema.simpleString()
+    assert not (tmp_path / "out").exists()
+
+
+def test_overrides_are_honoured(spark, dumps):
+    run_job(spark, "purchase", **dumps, reference=date(2022, 5, 1), generation="g1", min_amf="1", min_nmf="0")
+    written = read_recommendations(spark, dumps["output_root"], "si-cf-purchase")
+    assert rows(written.select("product", F.size("results"))) == [("A", 2), ("B", 2), ("C", 2)]
+    assert written.first().tuning.amf == 1.0
+
+
+def test_unknown_mode_and_missing_input(spark, dumps):
+    with pytest.raises(ValueError, match="unknown mode"):
+        plan_inputs(spark, "views", **dumps)
+    with pytest.raises(ValueError, match="no buyorder data"):
+        plan_inputs(spark, "purchase", **dumps, reference=date(2021, 1, 1))
