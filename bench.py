@@ -36,6 +36,9 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
+        # Batch work: collect for throughput, and skip the small first-level map, which item pairs overflow.
+        .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
+        .config("spark.sql.codegen.aggregate.map.twolevel.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

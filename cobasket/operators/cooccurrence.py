@@ -2,8 +2,8 @@
 
 Counting pairs is the one quadratic step, so it is laid out with care:
 
-1. *Baskets.* The items of a link are gathered once, ordered by (freq, item). Links longer than
-   ``BLOCK`` are cut into blocks of items first, and every pair of blocks becomes its own basket, so
+1. *Baskets.* The items of a link are gathered once, ordered by (freq, item); each row of the link
+   sees its basket and its place in it. Links longer than ``BLOCK`` are cut into blocks of items first, and every pair of blocks becomes its own basket, so
    no task holds a whole long link.
 2. *Stripes.* Each item of a basket is sent with the array of items behind it, instead of one row
    per pair. The key of a stripe is the rarer item of all its pairs, so popular items hardly ever
@@ -15,7 +15,7 @@ Counting pairs is the one quadratic step, so it is laid out with care:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cobasket.operators.lookup import look_up
 
@@ -59,31 +59,32 @@ def count_pairs(
     links is left out of the plan.
     """
     keys = list(link_keys)
-    behind = F.slice("basket", F.col("pos") + 2, F.size("basket"))
+    member = ["freq", "item"]
     if longest_link is None or longest_link > block:
         rows = _split_long_links(rows, block)
         keys += ["lo", "hi"]
-        # Grouping alone would keep all blocks of a link together in the partitioning of the input.
+        member += ["own"]
+        # The window alone would keep all blocks of a link together in the partitioning of the input.
         rows = rows.repartition(*keys)
-        member = F.struct("freq", "item", "own")
+
+    in_order = Window.partitionBy(*keys).orderBy("freq", "item")
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    baskets = rows.select(
+        "*",
+        F.collect_list(F.struct(*member)).over(whole).alias("basket"),
+        F.row_number().over(in_order).alias("pos"),
+    ).filter(F.col("pos") < F.size("basket"))
+    behind = F.slice("basket", F.col("pos") + 1, F.size("basket"))
+    if "own" in member:
         # Two items of one block meet in the basket of that block alone, not in the mixed ones.
-        behind = F.filter(behind, lambda b: (F.col("lo") == F.col("hi")) | (b["own"] != F.col("head.own")))
-    else:
-        member = F.struct("freq", "item")
-
-    baskets = (
-        rows.groupBy(*keys)
-        .agg(F.max("ufrq").alias("ufrq"), F.sort_array(F.collect_list(member)).alias("basket"))
-        .filter(F.size("basket") > 1)
-    )
-    groups = F.greatest(F.ceil(F.col("head.freq") / F.lit(float(links_per_group))), F.lit(1).cast("long"))
+        behind = F.filter(behind, lambda b: (F.col("lo") == F.col("hi")) | (b["own"] != F.col("own")))
+
+    groups = F.greatest(F.ceil(F.col("freq") / F.lit(float(links_per_group))), F.lit(1).cast("long"))
     stripes = (
-        baskets.select("*", F.posexplode("basket").alias("pos", "head"))
-        .filter(F.col("pos") < F.size("basket") - 1)
-        .select(
+        baskets.select(
             "client",
-            F.col("head.item").alias("a"),
-            F.col("head.freq").alias("freq_a"),
+            F.col("item").alias("a"),
+            F.col("freq").alias("freq_a"),
             F.pmod(F.xxhash64("link"), groups).alias("part"),
             F.try_divide(F.lit(2.0), "ufrq").alias("norm"),
             behind.alias("behind"),
