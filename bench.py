@@ -39,6 +39,8 @@ def main() -> None:
         # Batch work: collect for throughput, and skip the small first-level map, which item pairs overflow.
         .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
         .config("spark.sql.codegen.aggregate.map.twolevel.enabled", "false")
+        # The generated classes of all queries together; the default would drop them between passes.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
