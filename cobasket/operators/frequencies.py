@@ -19,6 +19,9 @@ def items_per_buyer(interactions: DataFrame) -> DataFrame:
     of the join and a busy buyer never gathers row by row.
     """
     per_order = interactions.groupBy("client", "user_id", "link").agg(F.count("item").alias("n_items"))
+    # Always true, but it keeps the count in use on both sides of the join. Unused, it would be
+    # dropped from one of them, which would then be computed from the source anew.
+    per_order = per_order.filter(F.col("n_items") >= 0)
     per_buyer = per_order.groupBy("client", "user_id").agg(F.sum("n_items").alias("ufrq"))
     return look_up(per_order, per_buyer, ["client", "user_id"]).select("client", "user_id", "link", "ufrq")
 

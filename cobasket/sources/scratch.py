@@ -1,0 +1,29 @@
+"""Intermediate tables that several plans share."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that ``spark.checkpoint.dir`` names.
+
+    Where the setting is missing, as in local tests, a temporary folder of this machine serves.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cobasket-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written_once(rows: DataFrame, name: str = "rows") -> DataFrame:
+    """Write ``rows`` as a table and read it back.
+
+    Worth it where several operators start from the same rows: Catalyst moves the filters of each
+    into its own copy of the upstream plan, and the source would be read once per copy. The table
+    also survives lost executors and has exact sizes for choosing joins.
+    """
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -5,8 +5,6 @@ Scores are emitted as whole millionths, which both engines agree on.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
@@ -36,6 +34,7 @@ from cobasket.plans.similar_items import (
 )
 from cobasket.schemas import schema_of
 from cobasket.sources.dumps import read_json, write_json
+from cobasket.sources.scratch import scratch_path, written_once
 from cobasket.sources.snapshots import latest_snapshot, trailing_months
 from cobasket.tuning import ORDER_TUNING, PURCHASE_TUNING, Tuning
 from testbed.binding import nested_orders, order_lines, products, table
@@ -84,14 +83,14 @@ def item_freq(spark, sf_dir):
 
 
 def frequency_pruning(spark, sf_dir):
-    rows = purchase_interactions(order_lines(spark, sf_dir, product="l_partkey")).distinct()
+    rows = written_once(purchase_interactions(order_lines(spark, sf_dir, product="l_partkey")).distinct())
     return prune_interactions(rows, items_per_link(rows), links_per_item(rows), PRUNING_CAP)
 
 
 def _edges(spark: SparkSession, sf_dir: str, mode: str) -> tuple[DataFrame, Tuning]:
     """Edges composed of the single operators, without the fused plan of the jobs."""
     tuning = PURCHASE_TUNING if mode == "purchase" else ORDER_TUNING
-    rows = _valid(spark, sf_dir, mode)
+    rows = written_once(_valid(spark, sf_dir, mode))
     link_freq = items_per_link(rows) if mode == "purchase" else items_per_buyer(rows)
     item_freq = links_per_item(rows)
     pruned = prune_interactions(rows, link_freq, item_freq, tuning.max_user_events)
@@ -203,14 +202,8 @@ def latest_snapshot_query(spark, sf_dir):
     return latest_snapshot(orders, "generation", complete, SNAPSHOT_CUTOFF)
 
 
-def _shared_scratch(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared one; a local temporary folder only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(shared or tempfile.mkdtemp(prefix='cobasket-')).rstrip('/')}/json-{uuid.uuid4().hex}"
-
-
 def json_roundtrip(spark, sf_dir):
-    path = _shared_scratch(spark)
+    path = scratch_path(spark, "orders")
     write_json(nested_orders(spark, sf_dir), path)
     schema = schema_of("event", "buyorder", ("client", "items", "user_id"), ("items.product.specs",))
     return purchase_interactions(read_json(spark, path, schema))

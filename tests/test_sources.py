@@ -1,5 +1,6 @@
 import json
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from cobasket.operators.interactions import purchase_interactions
 from cobasket.schemas import schema_of
 from cobasket.sources.dumps import read_catalog, read_events, read_json, read_recommendations, write_json
+from cobasket.sources.scratch import scratch_path, written_once
 from cobasket.sources.snapshots import (
     latest_generation_path,
     latest_snapshot,
@@ -110,3 +112,17 @@ def test_sink_writes_gzip_and_overwrites(spark, tmp_path):
     assert list((tmp_path / "algo" / "20220101-000000").glob("*.json.gz"))
     assert read_json(spark, path, schema_of("algorithm", "recommendations")).count() == 2
     assert read_recommendations(spark, str(tmp_path), "algo").count() == 2
+
+
+def test_scratch_paths_follow_the_shared_folder_of_the_session(spark):
+    cluster = SimpleNamespace(conf={"spark.checkpoint.dir": "hdfs://shared/tmp/"})
+    assert scratch_path(cluster, "x").startswith("hdfs://shared/tmp/x-")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_rows_written_once_come_back_with_their_schema(spark):
+    source = spark.range(3).select(F.col("id").cast("int").alias("n"), F.lit("a").alias("t"))
+    back = written_once(source)
+    assert rows(back) == [(0, "a"), (1, "a"), (2, "a")]
+    assert back.schema.simpleString() == source.schema.simpleString()
+    assert back.inputFiles()
