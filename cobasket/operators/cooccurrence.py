@@ -77,7 +77,8 @@ def count_pairs(
     behind = F.slice("basket", F.col("pos") + 1, F.size("basket"))
     if "own" in member:
         # Two items of one block meet in the basket of that block alone, not in the mixed ones.
-        behind = F.filter(behind, lambda b: (F.col("lo") == F.col("hi")) | (b["own"] != F.col("own")))
+        others = F.filter(behind, lambda b: b["own"] != F.col("own"))
+        behind = F.when(F.col("lo") == F.col("hi"), behind).otherwise(others)
 
     groups = F.greatest(F.ceil(F.col("freq") / F.lit(float(links_per_group))), F.lit(1).cast("long"))
     stripes = (

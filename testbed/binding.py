@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cobasket.operators.lookup import look_up
+
 # The market segments of the public benchmark schema.
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -70,13 +72,11 @@ def nested_orders(spark: SparkSession, sf_dir: str, lines_per_event: int = 16) -
     An order of more than ``lines_per_event`` lines is delivered as several events, so that a huge
     one is neither gathered in one task nor held in one array.
     """
-    lines = table(spark, sf_dir, "lineitem")
-    counts = lines.groupBy(F.col("l_orderkey").alias("counted_key")).agg(F.count(F.lit(1)).alias("n_lines"))
+    counts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     n_events = F.ceil(F.col("n_lines") / F.lit(float(lines_per_event)))
     content = F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
     return (
-        _lines(spark, sf_dir)
-        .join(counts, F.col("l_orderkey") == F.col("counted_key"))
+        look_up(_lines(spark, sf_dir), counts, ["l_orderkey"])
         .select(*_order_columns(), _item(F.col("l_suppkey")).alias("line"), F.pmod(content, n_events).alias("part"))
         .groupBy("client", "order_id", "user_id", "date", "total", "part")
         .agg(F.collect_list("line").alias("items"))

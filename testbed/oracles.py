@@ -18,9 +18,9 @@ lines AS (
 
 _ITEMS = """
 items AS (
-    SELECT s.client, CAST(s_suppkey AS VARCHAR) AS item
+    SELECT unnest(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY']) AS client,
+           CAST(s_suppkey AS VARCHAR) AS item
     FROM supplier
-    CROSS JOIN (VALUES ('AUTOMOBILE'), ('BUILDING'), ('FURNITURE'), ('HOUSEHOLD'), ('MACHINERY')) AS s(client)
     WHERE s_suppkey % 10 <= 8
 )"""
 
