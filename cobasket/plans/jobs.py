@@ -23,6 +23,7 @@ class Mode:
     recommend: Callable[[DataFrame, DataFrame, Tuning], DataFrame]
 
 
+# The directory of each mode's output.
 MODES = {
     "purchase": Mode("si-cf-purchase", ("client", "items", "user_id"), PURCHASE_TUNING, purchase_recommendations),
     "buyorder": Mode(

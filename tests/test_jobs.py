@@ -131,6 +131,14 @@ def test_catalog_repeats_do_not_multiply(spark):
     assert once == rows(purchase_similar_items(catalog(spark, twice), events(spark, GOLDEN_EVENTS), OPEN))
 
 
+def test_result_does_not_depend_on_partitioning_or_order_of_events(spark):
+    statuses, orders = _random_case(13)
+    products, data = catalog(spark, statuses), events(spark, orders)
+    for mode in FLAT:
+        runs = [rows(FLAT[mode](products, d, OPEN)) for d in (data.coalesce(1), data.repartition(6), data.orderBy("user_id"))]
+        assert runs[0] and runs[0] == runs[1] == runs[2]
+
+
 def test_clients_stay_apart(spark):
     both = catalog(spark, GOLDEN_CATALOG).union(catalog(spark, GOLDEN_CATALOG, "c2"))
     data = events(spark, GOLDEN_EVENTS + [(u, o, i, "c2") for u, o, i in GOLDEN_EVENTS])
