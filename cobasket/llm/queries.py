@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cobasket.llm import bloom_sketch, personal_data
 from cobasket.llm.packing import pack_documents
 from cobasket.llm.simhash import near_duplicates
 from cobasket.llm.token_counts import count_tokens
@@ -16,6 +17,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bloom_sketch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_sketch.with_edits(_table(spark, sf_dir, "documents"))
+
+
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return personal_data.find(documents, personal_data.train(documents))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -31,6 +41,8 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_bloom_sketch_fingerprints,
+        op2_personal_data,
         op4_token_counts,
         op8_harmonic_packing,
         op10_simhash_components,
