@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cobasket.llm import bloom_sketch, personal_data
+from cobasket.llm import bloom_sketch, personal_data, toxicity
 from cobasket.llm.packing import pack_documents
 from cobasket.llm.simhash import near_duplicates
 from cobasket.llm.token_counts import count_tokens
@@ -26,6 +26,11 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(documents, personal_data.train(documents))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -43,6 +48,7 @@ QUERIES = {
     for f in (
         op1_bloom_sketch_fingerprints,
         op2_personal_data,
+        op3_toxicity,
         op4_token_counts,
         op8_harmonic_packing,
         op10_simhash_components,
