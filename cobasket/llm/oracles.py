@@ -1,3 +1,41 @@
 """SQL of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+OP5 = """
+WITH sizes AS (SELECT source, sum(length(text)) AS size FROM documents GROUP BY source),
+rates AS (
+    SELECT source, (pow(size, 0.5) / sum(pow(size, 0.5)) OVER ()) * CAST(sum(size) OVER () AS DOUBLE) / size AS rate
+    FROM sizes
+),
+steps AS (
+    SELECT source, rate, unnest(range(CAST(ceil(rate + 12 * sqrt(rate) + 30) AS BIGINT) + 1)) AS k FROM rates
+),
+logs AS (SELECT *, sum(ln(greatest(k, 1))) OVER (PARTITION BY source ORDER BY k) AS log_factorial FROM steps),
+chances AS (SELECT source, k, exp(k * ln(rate) - rate - log_factorial) AS chance FROM logs),
+cumulated AS (SELECT source, k, sum(chance) OVER (PARTITION BY source ORDER BY k) AS below FROM chances),
+tables AS (SELECT source, list(below ORDER BY k) AS cdf FROM cumulated GROUP BY source),
+drawn AS (
+    SELECT d.*, len(list_filter(cdf, p -> p <= CAST(CAST('0x' || substr(md5('5|' || doc_id), 1, 13) AS BIGINT) AS DOUBLE)
+        / 4503599627370496.0)) AS n
+    FROM documents d JOIN tables t ON d.source = t.source
+),
+repeated AS (SELECT * EXCLUDE (n), unnest(range(1, n + 1)) AS copy FROM drawn)
+SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INT) AS copy, md5('6|' || doc_id || '|' || copy) AS shuffle_key
+FROM repeated
+"""
+
+OP9 = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES = {"op5_poisson_mixing": OP5, "op9_pivot_search": OP9}

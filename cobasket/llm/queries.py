@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cobasket.llm import bloom_sketch, personal_data, toxicity
+from cobasket.llm import bloom_sketch, mixing, personal_data, pivot_search, sharding, toxicity, warc
 from cobasket.llm.packing import pack_documents
 from cobasket.llm.simhash import near_duplicates
 from cobasket.llm.token_counts import count_tokens
@@ -35,10 +35,26 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op6_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_table(spark, sf_dir, "documents"))
+
+
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, _table(spark, sf_dir, "pages"))
+
+
 def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op9_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -50,7 +66,11 @@ QUERIES = {
         op2_personal_data,
         op3_toxicity,
         op4_token_counts,
+        op5_poisson_mixing,
+        op6_kd_tree_shards,
+        op7_warc_round_trip,
         op8_harmonic_packing,
+        op9_pivot_search,
         op10_simhash_components,
     )
 }
