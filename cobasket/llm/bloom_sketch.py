@@ -1,7 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraph digests.
 
-A text's lines, cut further at sentence ends, are hashed to 64-bit digests (the n-th copy of a paragraph
-with seed n, so that copies count). A sketch hashes every digest into one cell of each of three
+A text's paragraphs are cut into pieces, at sentence ends and after six words at most, and hashed to 64-bit
+digests (the n-th copy of a piece with seed n, so that copies count). A sketch hashes every digest into one cell of each of three
 tables; a cell holds a count, the XOR of its digests and the XOR of their check values. Subtracting two
 sketches cell by cell leaves the digests that only one version has, and peeling recovers them: a cell
 with a count of 1 or -1 and a matching check value shows a digest, whose removal lays others bare. Where
@@ -27,20 +27,20 @@ TABLES = 3
 # Cells of a fingerprint, and of the sketches of one step.
 CELLS = 24
 STEP_CELLS = 1 << 21
-_PARAGRAPHS = re.compile(r"(?<=[.!?])\s+|\n+")
+# Up to five words that end no sentence, and one more, all in one line.
+_PIECES = re.compile(r"(?:\S*[^\s.!?][^\S\n]+){0,5}\S+")
 # Odd multipliers that spread a digest over the tables and make its check value.
 _SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
 def digests(text: str) -> np.ndarray:
-    """The distinct paragraph digests of a text; blank paragraphs have none."""
+    """The distinct paragraph digests of a text; blank lines have none."""
     seen: dict[str, int] = {}
     found = set()
-    for paragraph in _PARAGRAPHS.split(text):
-        if paragraph:
-            copy = seen.get(paragraph, 0)
-            seen[paragraph] = copy + 1
-            found.add(xxhash.xxh64_intdigest(paragraph.encode("utf-8", "surrogatepass"), copy))
+    for piece in _PIECES.findall(text):
+        copy = seen.get(piece, 0)
+        seen[piece] = copy + 1
+        found.add(xxhash.xxh64_intdigest(piece.encode("utf-8", "surrogatepass"), copy))
     return np.fromiter(found, dtype=np.uint64, count=len(found))
 
 
@@ -196,11 +196,11 @@ def with_edits(rows: DataFrame, key: str = "doc_id", text: str = "text", parts:
     Returns ``key``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``, ``near_edited``
     and ``near_next``. A null text is empty; a single row follows itself; an empty table gives no rows.
 
-    Keys are cut into ``parts`` ranges (the session's shuffle partitions by default) at their quantiles. A range
+    Keys are cut into ``parts`` ranges (four times the session's shuffle partitions by default) at their quantiles. A range
     also gets the first row of the next one, so each is worked through in order, alone, as a stream.
     """
     spark = rows.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     narrow = rows.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     marks = narrow.select("key").dropna().approxQuantile("key", [i / parts for i in range(1, parts)], 1 / (8 * parts))
     bounds = np.unique(np.array(marks, dtype=np.float64))

@@ -12,11 +12,11 @@ steps AS (
 logs AS (SELECT *, sum(ln(greatest(k, 1))) OVER (PARTITION BY source ORDER BY k) AS log_factorial FROM steps),
 chances AS (SELECT source, k, exp(k * ln(rate) - rate - log_factorial) AS chance FROM logs),
 cumulated AS (SELECT source, k, sum(chance) OVER (PARTITION BY source ORDER BY k) AS below FROM chances),
-tables AS (SELECT source, list(below ORDER BY k) AS cdf FROM cumulated GROUP BY source),
+uniform AS (
+    SELECT *, CAST(CAST('0x' || substr(md5('5|' || doc_id), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u FROM documents
+),
 drawn AS (
-    SELECT d.*, len(list_filter(cdf, p -> p <= CAST(CAST('0x' || substr(md5('5|' || doc_id), 1, 13) AS BIGINT) AS DOUBLE)
-        / 4503599627370496.0)) AS n
-    FROM documents d JOIN tables t ON d.source = t.source
+    SELECT d.* EXCLUDE (u), (SELECT count(*) FROM cumulated c WHERE c.source = d.source AND c.below <= d.u) AS n FROM uniform d
 ),
 repeated AS (SELECT * EXCLUDE (n), unnest(range(1, n + 1)) AS copy FROM drawn)
 SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INT) AS copy, md5('6|' || doc_id || '|' || copy) AS shuffle_key
@@ -25,10 +25,10 @@ FROM repeated
 
 OP9 = """
 WITH vectors AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS v
+    SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ),
 scored AS (
     SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score

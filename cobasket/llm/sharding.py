@@ -34,6 +34,7 @@ class Node:
     high: int = 0
     below: int = 0
     wanted: int = 0
+    at: int = 0  # bytes of the keys in [low, high]
 
 
 def dimensions(key: Column, chars: Column, lang: Column, source: Column) -> list[Column]:
@@ -70,7 +71,7 @@ def _per_node(nodes: list[Node], value) -> Column:
 
 
 def _search(points: DataFrame, nodes: list[Node], columns: list[str]) -> None:
-    """Find every node's border: the smallest key with the wanted bytes at or under it."""
+    """Find every node's border: the key with the bytes at or under it nearest to those wanted."""
     chosen = F.lit(None).cast("long")
     for node in nodes:
         chosen = F.when(F.col("node") == node.first, F.col(columns[node.dim])).otherwise(chosen)
@@ -89,11 +90,12 @@ def _search(points: DataFrame, nodes: list[Node], columns: list[str]) -> None:
         for node in searching:
             for _, _, size, least, most in (f for f in found if f[0] == node.first):
                 if node.below + size >= node.wanted:
-                    node.low, node.high = least, most
+                    node.low, node.high, node.at = least, most, size
                     break
                 node.below += size
         for node in searching:
-            node.border = node.low
+            short, over = node.wanted - node.below, node.below + node.at - node.wanted
+            node.border = node.low - 1 if node.below and short < over else node.low
         searching = [n for n in searching if n.low < n.high]
 
 

@@ -9,12 +9,16 @@ Copies share a fingerprint and count once. At an entry, a search from each finge
 not yet reached gives a forest of true links with at most one link per fingerprint, so that a group of
 n near copies gives n links, not n^2. Entries with many fingerprints are cut into blocks, and every pair
 of blocks is searched on its own, by different tasks.
+
+``near_duplicates`` links by the distance of fingerprints alone. ``keep_one_each`` looks further and verifies
+more: fingerprints of the distinct words, more bits, and on what is near an estimate of the texts'
+similarity over five-word shingles, from one-bit minima that travel with the fingerprints.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import partial
+from collections.abc import Callable, Iterator
+from functools import partial, reduce
 from itertools import combinations
 
 import numpy as np
@@ -22,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cobasket.llm.arrow import pieces
+from cobasket.llm.arrow import pieces, texts
 from cobasket.llm.components import components
 from cobasket.llm.storage import written
 from cobasket.operators.lookup import look_up
@@ -30,6 +34,8 @@ from cobasket.operators.lookup import look_up
 BITS = 64
 # Hashes whose bits are counted together.
 STEP = 1 << 16
+# Odd multipliers of the 128 minima, made from a fixed seed.
+MINIMA = np.random.default_rng(1).integers(0, 1 << 63, 128, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def simhash(text: str, words: int = 3, seed: int = 42) -> int:
@@ -52,21 +58,59 @@ def simhash(text: str, words: int = 3, seed: int = 42) -> int:
     return int(sum(1 << b for b in np.flatnonzero(2 * ones > count).tolist()))
 
 
-def fingerprints(rows: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, extra: dict[str, Column] | None = None) -> DataFrame:
-    """Per row: ``key``, ``fingerprint`` as a (signed) long, and ``extra`` columns; nothing is shuffled."""
+def fingerprints(
+    rows: DataFrame,
+    key: str,
+    text: str,
+    names: tuple[str, ...],
+    measure: Callable[[str], tuple[int, ...]],
+    extra: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Per row: ``key``, ``extra`` columns, and what ``measure`` makes of its text as (signed) longs; nothing is shuffled."""
 
     def hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "_text"):
-            prints = np.array([simhash(x or "", words) for x in batch.column("_text").to_pylist()], dtype=np.uint64)
+            prints = np.array([measure(x) for x in texts(batch, "_text")], dtype=np.uint64).view(np.int64)
             kept = [n for n in batch.schema.names if n != "_text"]
-            columns = [batch.column(n) for n in kept] + [pa.array(prints.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "fingerprint"])
+            columns = [batch.column(n) for n in kept] + [pa.array(c) for c in prints.reshape(-1, len(names)).T.copy()]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *names])
 
     narrow = rows.select(
         F.col(key).alias("_key"), *[c.alias(n) for n, c in (extra or {}).items()], F.col(text).alias("_text")
     )
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if f.name != "_text")
-    return narrow.mapInArrow(hash_texts, f"{schema}, fingerprint long").withColumnRenamed("_key", key)
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if f.name != "_text"]
+    schema += [f"{n} long" for n in names]
+    return narrow.mapInArrow(hash_texts, ", ".join(schema)).withColumnRenamed("_key", key)
+
+
+def word_set_print(text: str) -> int:
+    """SimHash over the distinct words of a text, which edits of some words move little."""
+    found = set(text.encode("utf-8", "surrogatepass").lower().split())
+    if not found:
+        return 0
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, found), dtype="<u8", count=len(found))
+    ones = np.zeros(BITS, dtype=np.int64)
+    for begin in range(0, len(hashes), STEP):
+        part = hashes[begin : begin + STEP].view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(sum(1 << b for b in np.flatnonzero(2 * ones > len(hashes)).tolist()))
+
+
+def one_bit_minima(text: str, words: int = 5) -> np.ndarray:
+    """128 lowest bits of as many minima over the hashed word shingles, in two longs.
+
+    Two texts of similarity s agree in (1 + s) / 2 of the bits on average. A text of fewer words is one shingle.
+    """
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    size = max(1, min(words, len(found)))
+    shingles = map(b" ".join, zip(*(found[i:] for i in range(size)), strict=False)) if found else [b""]
+    hashes = np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), dtype=np.uint64))
+    least = np.full(len(MINIMA), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for begin in range(0, len(hashes), STEP >> 6):
+        mixed = hashes[begin : begin + (STEP >> 6), None] * MINIMA
+        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(31))).min(axis=0))
+    bits = ((least >> np.uint64(5)) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits).view(np.uint64)
 
 
 def _segments(count: int) -> list[tuple[int, int]]:
@@ -75,128 +119,164 @@ def _segments(count: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _forest(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links of at most ``radius`` bits that connect whatever such links connect; places in ``prints``."""
-    links, left = [], np.arange(len(prints))
-    while len(left) > 1:
-        reached, left = [left[0]], left[1:]
-        while reached and len(left):
+def _forest(prints: np.ndarray, own: np.ndarray, sketches: np.ndarray, radius: int, most: int) -> list[tuple[int, int]]:
+    """Links that connect whatever links with an ``own`` end connect; places in ``prints``.
+
+    Ends of a link differ in at most ``radius`` bits, and in at most ``most`` bits of their sketches. Members that only
+    asked for this entry aren't compared with each other: they meet at entries of their own.
+    """
+    links, left = [], np.ones(len(prints), dtype=bool)
+    for seed in np.flatnonzero(own):
+        if not left[seed]:
+            continue
+        left[seed] = False
+        reached = [seed]
+        while reached:
             at = reached.pop()
-            near = np.bitwise_count(prints[left] ^ prints[at]) <= radius
-            found = left[near]
-            if len(found):
-                left = left[~near]
-                reached.extend(found)
-                links.extend((at, x) for x in found)
+            others = np.flatnonzero(left if own[at] else left & own)
+            near = np.bitwise_count(prints[others] ^ prints[at]) <= radius
+            others = others[near]
+            if len(others) and sketches.shape[1]:
+                others = others[np.bitwise_count(sketches[others] ^ sketches[at]).sum(axis=1, dtype=np.int64) <= most]
+            left[others] = False
+            reached.extend(others)
+            links.extend((at, x) for x in others)
     return links
 
 
-def similar_links(prints: DataFrame, radius: int = 3, segments: int = 2) -> DataFrame:
-    """Links (``a``, ``b``) between distinct fingerprints that connect all within ``radius`` bits.
+def similar_links(prints: DataFrame, radius: int = 3, segments: int = 2, sketch: tuple[str, ...] = (), most: int = 0) -> DataFrame:
+    """Links (``a``, ``b``) between nodes that connect all within ``radius`` bits.
 
-    ``prints`` has one long column of distinct values and is read more than once. Not every near pair is a
-    link, but any near pair is connected by links of at most ``radius`` bits each.
+    ``prints`` is read more than once and has long columns: ``node``, distinct; ``fingerprint``; and those named in ``sketch``, in which the
+    ends of a link may differ in ``most`` bits together. Not every near pair is a link, but any near pair is
+    connected by links.
     """
-    value = prints.columns[0]
+    columns = ["node", "fingerprint", *sketch]
     own, ball = [], []
     for number, (low, width) in enumerate(_segments(segments)):
-        part = F.shiftrightunsigned(F.col(value), low).bitwiseAND(F.lit((1 << width) - 1))
+        part = F.shiftrightunsigned("fingerprint", low).bitwiseAND(F.lit((1 << width) - 1))
         masks = [sum(1 << b for b in bits) for r in range(1, radius // segments + 1) for bits in combinations(range(width), r)]
-        own.append(prints.select(F.lit(number).alias("segment"), part.alias("entry"), F.col(value).alias("print")))
+        segment = prints.select(F.lit(number).alias("segment"), part.alias("entry"), *columns)
+        own.append(segment.withColumn("own", F.lit(True)))
         if masks:
-            around = prints.select(F.lit(number).alias("segment"), part.alias("own"), F.col(value).alias("print"))
             mask = F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("mask")
-            entry = F.col("own").bitwiseXOR(F.col("mask")).alias("entry")
+            asked = F.col("entry").bitwiseXOR(F.col("mask")).alias("asked")
             # Of two values in each other's ball, the larger asks for the smaller.
-            probes = around.select("segment", "own", "print", mask).select("segment", entry, "print", "own")
-            ball.append(probes.where("entry < own").drop("own"))
-    table = own[0]
-    for part in own[1:]:
-        table = table.union(part)
+            probes = segment.select("segment", "entry", *columns, mask).select("segment", "entry", asked, *columns)
+            ball.append(probes.where("asked < entry").drop("entry").withColumnRenamed("asked", "entry"))
+    table = reduce(DataFrame.union, own)
     members = table
     for probes in ball:
-        members = members.union(probes.join(table.select("segment", "entry"), ["segment", "entry"], "left_semi"))
+        met = probes.join(table.select("segment", "entry"), ["segment", "entry"], "left_semi")
+        members = members.union(met.select("segment", "entry", *columns, F.lit(False).alias("own")))
     members = written(members, "segments")
     # Blocks grow with the square root of an entry, so both their number and their size stay moderate.
     many = members.groupBy("segment", "entry").agg(F.count("*").alias("n")).where("n > 1")
     block = F.greatest(F.lit(128.0), 4 * F.sqrt("n"))
-    blocks = F.ceil(F.col("n") / block)
-    met = look_up(members, many, ["segment", "entry"]).withColumn("blocks", blocks)
-    mine = F.pmod(F.xxhash64("print"), F.col("blocks"))
-    met = met.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    met = met.select(
-        F.xxhash64("segment", "entry", F.least("mine", "other"), F.greatest("mine", "other")).alias("meeting"), "print"
-    )
+    met = look_up(members, many, ["segment", "entry"]).withColumn("blocks", F.ceil(F.col("n") / block))
+    met = met.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    meeting = F.xxhash64("segment", "entry", F.least("mine", "other"), F.greatest("mine", "other")).alias("meeting")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[pa.RecordBatch] = []
+        last, left, right = None, [], []
 
-        def links_of(meeting: list[np.ndarray]) -> tuple[list[int], list[int]]:
-            members_ = np.unique(np.concatenate(meeting))
-            links = _forest(members_.view(np.uint64), radius)
-            return [int(members_[a]) for a, _ in links], [int(members_[b]) for _, b in links]
+        def link() -> None:
+            table = pa.Table.from_batches(held)
+            nodes = table.column("node").to_numpy()
+            longs = [table.column(n).to_numpy().view(np.uint64) for n in ("fingerprint", *sketch)]
+            sketches = np.stack(longs[1:], axis=1) if sketch else np.zeros((len(nodes), 0), dtype=np.uint64)
+            for a, b in _forest(longs[0], table.column("own").to_numpy(), sketches, radius, most):
+                left.append(int(nodes[a]))
+                right.append(int(nodes[b]))
+            held.clear()
+
+        def links() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+            left.clear()
+            right.clear()
+            return out
 
-        last, left, right = None, [], []
         for batch in batches:
-            meeting = batch.column("meeting").to_numpy()
-            values = batch.column("print").to_numpy()
-            edges = np.flatnonzero(np.r_[True, meeting[1:] != meeting[:-1]])
-            for begin, end in zip(edges, np.r_[edges[1:], len(meeting)], strict=True):
-                if meeting[begin] != last and held:
-                    a, b = links_of(held)
-                    left += a
-                    right += b
-                    held = []
-                held.append(values[begin:end])
-                last = meeting[begin]
+            values = batch.column("meeting").to_numpy()
+            edges = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+            for begin, end in zip(edges.tolist(), [*edges[1:].tolist(), len(values)], strict=True):
+                if values[begin] != last and held:
+                    link()
+                held.append(batch.slice(begin, end - begin))
+                last = values[begin]
             if len(left) > 10_000:
-                yield pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
-                left, right = [], []
+                yield links()
         if held:
-            a, b = links_of(held)
-            left += a
-            right += b
-        yield pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+            link()
+        yield links()
 
-    return met.repartition("meeting").sortWithinPartitions("meeting").mapInArrow(search, "a long, b long")
+    met = met.select(meeting, "own", *columns).repartition("meeting").sortWithinPartitions("meeting")
+    return met.mapInArrow(search, "a long, b long")
 
 
-def near_components(prints: DataFrame, key: str = "doc_id", radius: int = 3, segments: int = 2) -> DataFrame:
-    """Add ``component_id``, the smallest key reachable over links of at most ``radius`` bits.
+def near_components(prints: DataFrame, key: str, links: DataFrame) -> DataFrame:
+    """Add ``component_id``, the smallest ``key`` that ``links`` between ``node`` values reach.
 
-    ``prints`` has ``key`` and ``fingerprint``, may have more columns, and is read more than once. Equal fingerprints are
-    linked, also those of texts without words. Null keys are kept but never name a component (a component
-    of null keys alone has a null name); repeated rows are kept; an empty table gives an empty result.
+    ``prints`` has ``key`` and ``node``, may have more columns, and is read more than once. Rows of one node belong together. Null keys
+    are kept but never name a component (one of null keys alone has a null name); repeated rows are kept.
     """
-    distinct = written(prints.groupBy("fingerprint").agg(F.min(key).alias("_least")), "prints")
-    roots = components(similar_links(distinct.select("fingerprint"), radius, segments))
-    rooted = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "_least", F.coalesce("root", "fingerprint").alias("_root")
+    distinct = written(prints.groupBy("node").agg(F.min(key).alias("_least")), "nodes")
+    roots = components(links).withColumnRenamed("node", "_node")
+    rooted = distinct.join(roots, F.col("node") == F.col("_node"), "left").select(
+        "node", "_least", F.coalesce("root", "node").alias("_root")
     )
     named = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    of_print = look_up(rooted.select("fingerprint", "_root"), named, ["_root"]).drop("_root")
-    return look_up(prints, of_print, ["fingerprint"])
+    of_node = look_up(rooted.select("node", "_root"), named, ["_root"])
+    return look_up(prints, of_node, ["node"])
 
 
 def near_duplicates(rows: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
-    """``key``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row."""
-    found = near_components(written(fingerprints(rows, key, text, words), "fingerprints"), key, radius)
-    return found.select(key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    """``key``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row.
+
+    Fingerprints of at most ``radius`` differing bits are linked, equal ones and those of texts without words too; a
+    component is named by its smallest key. Null texts are empty. Null keys, repeated rows: see ``near_components``.
+    An empty table gives no rows.
+    """
+
+    def measure(content: str) -> tuple[int, ...]:
+        return (simhash(content, words),)
+
+    made = written(fingerprints(rows, key, text, ("node",), measure), "fingerprints")
+    distinct = written(made.select("node", F.col("node").alias("fingerprint")).distinct(), "prints")
+    found = near_components(made, key, similar_links(distinct, radius))
+    return found.select(key, F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one_each(rows: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
-    """One row of each component: that with the smallest key, of equal keys the smallest text digest.
+def keep_one_each(
+    rows: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, radius: int = 7, segments: int = 4, most: int = 16
+) -> DataFrame:
+    """One row of each group of near duplicates: that with the smallest key, of equal keys the smallest digest.
 
-    The digests pick rows, so texts are moved once, by (key, digest). Rows repeated whole leave one.
-    A null key comes after all others.
+    Two texts are linked if the SimHash fingerprints of their distinct words differ in at most ``radius`` bits and their
+    one-bit minima over shingles of ``words`` words in at most ``most`` of 128, where similarity 0.8 gives 13 on average and
+    0.5 gives 32. Equal texts are one. Digests pick the rows, so texts are moved once. Of rows repeated whole
+    one stays; a null key comes after all others; a null text is empty, and all such form one group.
     """
-    digest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    made = written(fingerprints(rows, key, text, words, {"_digest": digest}), "fingerprints")
-    found = near_components(made, key, radius)
-    # A component of null keys alone has no name; its fingerprints then stand for it.
-    group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fingerprint"))]
+    content = F.coalesce(F.col(text), F.lit(""))
+    digest = F.md5(content.cast("binary"))
+    extra = {"_digest": digest, "node": F.xxhash64(digest)}
+
+    def measure(content: str) -> tuple[int, ...]:
+        return (word_set_print(content), *one_bit_minima(content, words).tolist())
+
+    sketch = ("sketch_0", "sketch_1")
+    made = written(fingerprints(rows, key, text, ("fingerprint", *sketch), measure, extra), "fingerprints")
+    distinct = written(made.select("node", "fingerprint", *sketch).dropDuplicates(["node"]), "prints")
+    distinct_nodes = made.select(key, "node", "_digest")
+    links = similar_links(distinct, radius, segments, sketch, most)
+    roots = components(links).withColumnRenamed("node", "_node")
+    # The first row of every text, and then of every group of texts.
     first = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), "_digest")
-    kept = found.groupBy(*[c.alias(f"_g{i}") for i, c in enumerate(group)]).agg(F.min(first).alias("_first"))
+    of_text = distinct_nodes.groupBy("node").agg(F.min(first).alias("_first"))
+    grouped = of_text.join(roots, F.col("node") == F.col("_node"), "left").select(F.coalesce("root", "node").alias("_root"), "_first")
+    kept = grouped.groupBy("_root").agg(F.min("_first").alias("_first"))
     kept = kept.select(F.col("_first.key").alias("_key"), F.col("_first._digest").alias("_kept"))
     marked = rows.withColumn("_digest", digest)
     same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_digest") == F.col("_kept"))

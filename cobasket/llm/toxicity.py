@@ -73,13 +73,13 @@ class FactorizationMachine:
         own = np.bincount(row, (v * v).sum(axis=1), rows)
         return self.bias + linear + 0.5 * ((total * total).sum(axis=1) - own)
 
-    def fit(self, at: np.ndarray, row: np.ndarray, label: np.ndarray, epochs: int, seed: int, rate: float = 0.03, ridge: float = 3e-3) -> None:
-        """Adam on logistic loss over shuffled mini-batches of texts; ``row`` ascends."""
+    def fit(self, at: np.ndarray, row: np.ndarray, label: np.ndarray, steps: int, seed: int, rate: float = 0.03, ridge: float = 3e-3) -> None:
+        """Adam on logistic loss over shuffled mini-batches of texts, ``steps`` of them at least; ``row`` ascends."""
         draw, rows = np.random.default_rng(seed), len(label)
         starts = np.searchsorted(row, np.arange(rows + 1))
         state = [np.zeros_like(self.weights) for _ in range(2)] + [np.zeros_like(self.vectors) for _ in range(2)]
         step, bias_state = 0, [0.0, 0.0]
-        for _ in range(epochs):
+        while step < steps:
             order = draw.permutation(rows)
             for begin in range(0, rows, 256):
                 batch = order[begin : begin + 256]
@@ -145,7 +145,7 @@ def held_out(key: Column) -> Column:
 
 def train(
     rows: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    sample_per_class: int = 5000, bits: int = 40, factors: int = 6, epochs: int = 12, significance: float = 20.0,
+    sample_per_class: int = 5000, bits: int = 40, factors: int = 6, steps: int = 600, significance: float = 20.0,
     max_terms: int = 50_000, seed: int = 11,
 ) -> FactorizationMachine:
     """Train on at most ``sample_per_class`` rows of each class, those with the smallest key hash.
@@ -215,9 +215,10 @@ def train(
     at = np.searchsorted(kept, np.array([t for d in data for t in d[2]], dtype=np.int64))
     row = np.repeat(np.arange(len(data)), [len(d[2]) for d in data])
     start = np.random.default_rng(seed).normal(0, 0.05, (len(kept), factors))
-    machine = FactorizationMachine(kept, bits, 0.0, np.zeros(len(kept)), start)
-    machine.fit(at, row, label_of, epochs, seed)
-    machine.bias += prior - float(np.log(label_of.sum() / (len(label_of) - label_of.sum())))
+    of_sample = float(np.log(label_of.sum() / (len(label_of) - label_of.sum())))
+    machine = FactorizationMachine(kept, bits, of_sample, np.zeros(len(kept)), start)
+    machine.fit(at, row, label_of, steps, seed)
+    machine.bias += prior - of_sample
     return machine
 
 
