@@ -73,7 +73,7 @@ class FactorizationMachine:
         own = np.bincount(row, (v * v).sum(axis=1), rows)
         return self.bias + linear + 0.5 * ((total * total).sum(axis=1) - own)
 
-    def fit(self, at: np.ndarray, row: np.ndarray, label: np.ndarray, steps: int, seed: int, rate: float = 0.03, ridge: float = 3e-3) -> None:
+    def fit(self, at: np.ndarray, row: np.ndarray, label: np.ndarray, steps: int, seed: int, rate: float = 0.03, ridge: float = 2e-2) -> None:
         """Adam on logistic loss over shuffled mini-batches of texts, ``steps`` of them at least; ``row`` ascends."""
         draw, rows = np.random.default_rng(seed), len(label)
         starts = np.searchsorted(row, np.arange(rows + 1))
@@ -90,7 +90,7 @@ class FactorizationMachine:
                 total = np.stack([np.bincount(mine, c, len(batch)) for c in v.T], axis=1)
                 error = 1 / (1 + np.exp(-self.margins(places, mine, len(batch)))) - label[batch]
                 error /= len(batch)
-                grad_w = np.bincount(places, error[mine], len(self.weights)) + ridge * self.weights / 10
+                grad_w = np.bincount(places, error[mine], len(self.weights)) + ridge * self.weights / 2000
                 pull = error[mine][:, None] * (total[mine] - v)
                 grad_v = np.stack([np.bincount(places, c, len(self.weights)) for c in pull.T], axis=1) + ridge * self.vectors
                 step += 1
@@ -100,6 +100,28 @@ class FactorizationMachine:
                 bias_state[1] = 0.999 * bias_state[1] + 0.001 * error.sum() ** 2
                 self.bias -= rate * bias_state[0] / (1 - 0.9**step) / (np.sqrt(bias_state[1] / (1 - 0.999**step)) + 1e-8)
 
+    def calibrate(self, margins: np.ndarray, label: np.ndarray) -> None:
+        """Scale and shift the margins so that they fit the labels, smoothed by one row of either class.
+
+        The penalties of training hold the margins of sure cases too close to zero.
+        """
+        ones, zeros = label.sum(), (1 - label).sum()
+        wanted = np.where(label == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+        scale, shift = 1.0, 0.0
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(scale * margins + shift, -30, 30)))
+            rest, weight = wanted - p, p * (1 - p) + 1e-9
+            gradient = np.array([(rest * margins).sum(), rest.sum()])
+            cross = (weight * margins).sum()
+            curvature = np.array([[(weight * margins**2).sum() + 1e-3, cross], [cross, weight.sum() + 1e-3]])
+            step = np.linalg.solve(curvature, gradient)
+            step *= min(1.0, 0.5 / (np.abs(step).max() + 1e-12))
+            scale, shift = scale + step[0], shift + step[1]
+        scale = max(scale, 0.1)
+        self.weights *= scale
+        self.vectors *= np.sqrt(scale)
+        self.bias = self.bias * scale + shift
+
     def scores(self, contents: list[str]) -> np.ndarray:
         """Probability that each text is toxic."""
         at: list[int] = []
@@ -218,6 +240,7 @@ def train(
     of_sample = float(np.log(label_of.sum() / (len(label_of) - label_of.sum())))
     machine = FactorizationMachine(kept, bits, of_sample, np.zeros(len(kept)), start)
     machine.fit(at, row, label_of, steps, seed)
+    machine.calibrate(machine.margins(at, row, len(label_of)), label_of)
     machine.bias += prior - of_sample
     return machine
 
