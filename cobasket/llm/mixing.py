@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cobasket.llm.names import unused
 from cobasket.llm.storage import written
 from cobasket.operators.lookup import look_up
 
@@ -88,19 +89,21 @@ def mix(
     )
     sizes = written(sizes, "sizes")
     tables = poisson_tables(rates(sizes, weights, temperature, epochs))
-    marked = rows.withColumn("_name", F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("null")))
-    tables = tables.select(F.coalesce(F.concat(F.lit("="), "_source"), F.lit("null")).alias("_name"), "_cdf")
+    name, cdf, draw, count = (unused(rows, n) for n in ("_name", "_cdf", "_draw", "_count"))
+    # Sources and the missing one as texts that can't be mistaken for each other.
+    marked = rows.withColumn(name, F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("null")))
+    named = F.coalesce(F.concat(F.lit("="), "_source"), F.lit("null"))
+    tables = tables.select(named.alias(name), F.col("_cdf").alias(cdf))
     if sizes.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        with_table = marked.join(F.broadcast(tables), "_name")
+        with_table = marked.join(F.broadcast(tables), name)
     else:
-        with_table = look_up(marked, tables, ["_name"])
+        with_table = look_up(marked, tables, [name])
     # The count is the number of probabilities that the uniform number reaches.
-    with_table = with_table.withColumn("_uniform", uniform(F.col(key), seed))
-    count = F.size(F.filter("_cdf", lambda p: p <= F.col("_uniform")))
+    with_table = with_table.withColumn(draw, uniform(F.col(key), seed))
     repeated = (
-        with_table.withColumn("_count", count)
-        .where("_count > 0")
-        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_count"))))
+        with_table.withColumn(count, F.size(F.filter(cdf, lambda p: p <= F.col(draw))))
+        .where(F.col(count) > 0)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(count))))
         .withColumn(shuffle_key, _digest(F.lit(seed + 1), F.col(key), F.col(copy)))
         .select(*rows.columns, copy, shuffle_key)
     )

@@ -27,10 +27,10 @@ EXACT = float(1 << 52)
 
 
 def quantized(rows: DataFrame, key: str, vector: str, scale: int = 1024) -> DataFrame:
-    """(``key``, ``dim``, ``vector`` of floor(scale * x)), without null keys and unusable vectors."""
+    """(``key``, ``dim``, ``vector`` of floor(scale * x)), without null keys and null, empty or non-finite vectors."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     whole = F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
-    usable = rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & finite)
+    usable = rows.where(F.col(key).isNotNull() & (F.size(vector) > 0) & finite)
     return usable.select(F.col(key).cast("long").alias("key"), F.size(vector).alias("dim"), whole.alias("vector"))
 
 
@@ -156,7 +156,7 @@ def top_k(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", every
     """The ``k`` best candidates of every row whose key is divisible by ``every``: ``query_id``, ``rank``, ``vec_id``, ``score``.
 
     Candidates are all rows but those of the query's own key; ties go to the smaller key, and fewer candidates than
-    ``k`` are all returned. Null keys, null vectors and vectors with null or non-finite components take no
+    ``k`` are all returned. Null keys, null or empty vectors and vectors with null or non-finite components take no
     part; vectors of different lengths aren't compared. Repeated keys: their first row by vector stands
     for the key. An empty table gives no rows. Pivots come from a bounded sample; they change the
     work, not the result.

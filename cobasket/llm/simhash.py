@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cobasket.llm.arrow import pieces, texts
 from cobasket.llm.components import components
+from cobasket.llm.names import unused
 from cobasket.llm.storage import written
 from cobasket.operators.lookup import look_up
 
@@ -278,6 +279,7 @@ def keep_one_each(
     grouped = of_text.join(roots, F.col("node") == F.col("_node"), "left").select(F.coalesce("root", "node").alias("_root"), "_first")
     kept = grouped.groupBy("_root").agg(F.min("_first").alias("_first"))
     kept = kept.select(F.col("_first.key").alias("_key"), F.col("_first._digest").alias("_kept"))
-    marked = rows.withColumn("_digest", digest)
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_digest") == F.col("_kept"))
-    return marked.join(kept, same, "left_semi").dropDuplicates([key, "_digest"]).drop("_digest")
+    mark = unused(rows, "_mark")
+    marked = rows.withColumn(mark, digest)
+    same = marked[key].eqNullSafe(kept["_key"]) & (marked[mark] == kept["_kept"])
+    return marked.join(kept, same, "left_semi").dropDuplicates([key, mark]).drop(mark)
