@@ -8,10 +8,10 @@ from pyspark.sql import Column, functions as F
 def similarity_level(
     nmf: Column, freq_rec: Column, freq_ref: Column, alpha: float = 0.1, adjust: float = 2.0
 ) -> Column:
-    """Absolute similarity level of a recommended item for a reference item.
+    """Absolute similarity level of a suggested item for a reference item.
 
     The base is the shared weight per link of the reference item, damped by the popularity of the
-    recommended item: ``nmf / (freq_ref * freq_rec ** alpha)``. A logistic factor between 0 and 2
+    suggested item: ``nmf / (freq_ref * freq_rec ** alpha)``. A logistic factor between 0 and 2
     then pulls down items that are far more frequent than the evidence supports. A zero frequency
     gives null.
     """

@@ -3,14 +3,17 @@
 Counting pairs is the one quadratic step, so it is laid out with care:
 
 1. *Baskets.* The items of a link are gathered once, ordered by (freq, item); each row of the link
-   sees its basket and its place in it. Links longer than ``BLOCK`` are cut into blocks of items first, and every pair of blocks becomes its own basket, so
-   no task holds a whole long link.
+   sees its basket and its place in it. Links longer than ``BLOCK`` are cut into blocks of items first,
+   and every pair of blocks becomes its own basket, so no task holds a whole long link.
 2. *Stripes.* Each item of a basket is sent with the array of items behind it, instead of one row
    per pair. The key of a stripe is the rarer item of all its pairs, so popular items hardly ever
-   act as keys; the ones that do are spread over several tasks by a hash of the link.
+   act as keys; the ones that do are spread over several tasks by a hash of link and blocks.
 3. *Counting.* Stripes of one key meet in one place, are unrolled and counted there. Keys that were
    not spread are complete at once and meet the thresholds before anything else moves; only the
    survivors and the partial counts of spread keys are exchanged again.
+4. *Frequencies* join the surviving pairs; they don't travel with the stripes.
+
+Weights are added up as integers, so neither order nor layout can change them.
 """
 
 from __future__ import annotations
@@ -23,28 +26,43 @@ from cobasket.operators.lookup import look_up
 BLOCK = 1024
 LINKS_PER_GROUP = 100_000
 
-# Sums of 2/ufrq are rounded, so that neither thresholds nor ties depend on the order of addition.
+# A weight is a pair of integers: billionths, and billionths of those. Their sums are exact.
+UNIT = 1_000_000_000
+# Digits of the final weight, below which a double can't tell sums like three times 2/15 from 0.4.
 WEIGHT_DIGITS = 12
 
 
-def _passes(min_amf: float, min_nmf: float) -> Column:
-    nmf = F.round("nmf", WEIGHT_DIGITS)
-    return (F.col("amf") >= F.lit(float(min_amf))) & (nmf >= F.lit(float(min_nmf)))
+def _weight(ufrq: Column) -> list[Column]:
+    """2/ufrq in whole billionths and the rest in billionths of a billionth."""
+    norm = F.try_divide(F.lit(2.0), ufrq)
+    whole = F.floor(norm * UNIT)
+    return [whole.cast("long").alias("whole"), F.round((norm * UNIT - whole) * UNIT).cast("long").alias("rest")]
 
 
-def _split_long_links(rows: DataFrame, block: int) -> DataFrame:
-    """Copy the rows of long links into one group per pair of item blocks ``(lo, hi)``.
+def _nmf() -> Column:
+    """The weight as a double, rounded once, from the summed ``whole`` and ``rest``."""
+    return F.round(F.col("whole") / F.lit(float(UNIT)) + F.col("rest") / F.lit(float(UNIT) ** 2), WEIGHT_DIGITS)
 
-    ``ufrq`` bounds the items of a link, so it fixes the number of blocks without another count.
-    """
-    n_blocks = F.greatest(F.ceil(F.col("ufrq") / F.lit(float(block))), F.lit(1).cast("long"))
-    own = F.pmod(F.xxhash64("item"), n_blocks)
-    rows = rows.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), n_blocks - 1)).alias("other"))
+
+def _passes(min_amf: float, min_nmf: float) -> Column:
+    return (F.col("amf") >= F.lit(float(min_amf))) & (_nmf() >= F.lit(float(min_nmf)))
+
+
+def _split_long_links(rows: DataFrame, keys: list[str], block: int) -> DataFrame:
+    """Copy the rows of long links into one group per pair of item blocks ``(lo, hi)``."""
+    length = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    n_blocks = F.greatest(F.ceil(length / F.lit(float(block))), F.lit(1).cast("long"))
+    rows = rows.withColumn("n_blocks", n_blocks)
+    own = F.pmod(F.xxhash64("item"), F.col("n_blocks"))
+    rows = rows.select(
+        "*", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("other")
+    )
     return rows.select("*", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
 
 
 def count_pairs(
     rows: DataFrame,
+    item_freq: DataFrame,
     min_amf: float,
     min_nmf: float,
     link_keys: tuple[str, ...] = ("client", "link"),
@@ -54,70 +72,72 @@ def count_pairs(
 ) -> DataFrame:
     """Count the item pairs of ``(client, link, item, freq, ufrq)`` rows and apply the thresholds.
 
-    ``link_keys`` may name a coarser partitioning that the rows already have (the buyer of an
-    order). ``longest_link`` is a known bound of ``ufrq``; up to ``block`` the splitting of long
-    links is left out of the plan.
+    ``item_freq`` has the (client, item, freq) that surviving pairs are given. ``link_keys`` may name a
+    coarser partitioning that the rows already have (the buyer of an order). ``longest_link`` is a
+    known bound of the items of a link; up to ``block`` the splitting of long links is left out of the plan.
     """
     keys = list(link_keys)
-    member = ["freq", "item"]
-    if longest_link is None or longest_link > block:
-        rows = _split_long_links(rows, block)
+    member = [F.col("item")]
+    split = longest_link is None or longest_link > block
+    if split:
+        rows = _split_long_links(rows, keys, block)
         keys += ["lo", "hi"]
-        member += ["own"]
         # The window alone would keep all blocks of a link together in the partitioning of the input.
         rows = rows.repartition(*keys)
+        member = [F.struct("item", "own")]
 
     in_order = Window.partitionBy(*keys).orderBy("freq", "item")
     whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     baskets = rows.select(
         "*",
-        F.collect_list(F.struct(*member)).over(whole).alias("basket"),
+        F.collect_list(*member).over(whole).alias("basket"),
         F.row_number().over(in_order).alias("pos"),
     ).filter(F.col("pos") < F.size("basket"))
     behind = F.slice("basket", F.col("pos") + 1, F.size("basket"))
-    if "own" in member:
+    if split:
         # Two items of one block meet in the basket of that block alone, not in the mixed ones.
         others = F.filter(behind, lambda b: b["own"] != F.col("own"))
-        behind = F.when(F.col("lo") == F.col("hi"), behind).otherwise(others)
-
-    groups = F.greatest(F.ceil(F.col("freq") / F.lit(float(links_per_group))), F.lit(1).cast("long"))
-    stripes = (
-        baskets.select(
-            "client",
-            F.col("item").alias("a"),
-            F.col("freq").alias("freq_a"),
-            F.pmod(F.xxhash64("link"), groups).alias("part"),
-            F.try_divide(F.lit(2.0), "ufrq").alias("norm"),
-            behind.alias("behind"),
-        )
-        .select("client", "a", "freq_a", "part", "norm", "behind.item", "behind.freq")
-        .repartition("client", "a", "part")
-    )
-    return _count_stripes(stripes, _passes(min_amf, min_nmf), links_per_group)
-
-
-def _count_stripes(stripes: DataFrame, passes: Column, links_per_group: int) -> DataFrame:
-    pair = ["client", "a", "freq_a", "b", "freq_b"]
+        behind = F.when(F.col("lo") == F.col("hi"), behind).otherwise(others)["item"]
+
+    # A link of many blocks gives an item as many stripes.
+    stripes_per_link = -(-longest_link // block) if split and longest_link else 1
+    load = F.col("freq") * F.lit(float(stripes_per_link))
+    groups = F.greatest(F.ceil(load / F.lit(float(links_per_group))), F.lit(1).cast("long"))
+    part = F.pmod(F.xxhash64("link", *(("lo", "hi") if split else ())), groups)
+    stripes = baskets.select(
+        "client",
+        F.col("item").alias("a"),
+        part.alias("part"),
+        (groups > 1).alias("spread"),
+        *_weight(F.col("ufrq")),
+        behind.alias("behind"),
+    ).repartition("client", "a", "part")
+    edges = _count_stripes(stripes, _passes(min_amf, min_nmf))
+    return _with_frequencies(edges, item_freq)
+
+
+def _count_stripes(stripes: DataFrame, passes: Column) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in ("whole", "rest")]
     counted = (
-        stripes.select(
-            "client", "a", "freq_a", "part", "norm", F.inline(F.arrays_zip("item", "freq")).alias("b", "freq_b")
-        )
+        stripes.select("client", "a", "part", "spread", "whole", "rest", F.explode("behind").alias("b"))
         .filter(F.col("a") != F.col("b"))
-        .groupBy(*pair, "part")
-        .agg(F.count(F.lit(1)).alias("amf"), F.sum("norm").alias("nmf"))
-        .filter((F.col("freq_a") > links_per_group) | passes)
+        .groupBy("client", "a", "b", "part", "spread")
+        .agg(F.count(F.lit(1)).alias("amf"), *sums)
+        .filter(F.col("spread") | passes)
     )
-    edges = counted.groupBy(*pair).agg(F.sum("amf").alias("amf"), F.sum("nmf").alias("nmf")).filter(passes)
-    ordered = F.col("a") < F.col("b")
-    return edges.select(
-        "client",
-        F.least("a", "b").alias("item_ref"),
-        F.greatest("a", "b").alias("item_rec"),
-        "amf",
-        F.round("nmf", WEIGHT_DIGITS).alias("nmf"),
-        F.when(ordered, F.col("freq_a")).otherwise(F.col("freq_b")).alias("freq_ref"),
-        F.when(ordered, F.col("freq_b")).otherwise(F.col("freq_a")).alias("freq_rec"),
+    # An item rarer in one link is so in all, so a pair has one key, and all its parts meet here.
+    return counted.groupBy("client", "a", "b").agg(F.sum("amf").alias("amf"), *sums).filter(passes)
+
+
+def _with_frequencies(edges: DataFrame, item_freq: DataFrame) -> DataFrame:
+    """Order the ends of each edge and look up how often both occur."""
+    pairs = edges.select(
+        "client", F.least("a", "b").alias("item_ref"), F.greatest("a", "b").alias("item_rec"), "amf", _nmf().alias("nmf")
     )
+    for end in ("ref", "rec"):
+        known = item_freq.select("client", F.col("item").alias(f"item_{end}"), F.col("freq").alias(f"freq_{end}"))
+        pairs = look_up(pairs, known, ["client", f"item_{end}"])
+    return pairs.select("client", "item_ref", "item_rec", "amf", "nmf", "freq_ref", "freq_rec")
 
 
 def cooccurrences(
@@ -137,7 +157,7 @@ def cooccurrences(
     rows = interactions.select("client", "link", "item")
     rows = look_up(rows, link_freq.select("client", "link", "ufrq"), ["client", "link"])
     rows = look_up(rows, item_freq.select("client", "item", "freq"), ["client", "item"])
-    return count_pairs(rows, min_amf, min_nmf, **layout)
+    return count_pairs(rows, item_freq, min_amf, min_nmf, **layout)
 
 
 def mirrored(edges: DataFrame) -> DataFrame:

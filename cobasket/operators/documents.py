@@ -1,14 +1,14 @@
-"""Nested recommendation documents."""
+"""Nested suggestion documents."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cobasket.schemas import RECOMMENDATIONS
+from cobasket.schemas import SUGGESTIONS
 from cobasket.tuning import Tuning
 
 # Members of one result in output order.
-RESULT_FIELDS = tuple(RECOMMENDATIONS["results"].dataType.elementType.fieldNames())
+RESULT_FIELDS = tuple(SUGGESTIONS["results"].dataType.elementType.fieldNames())
 
 
 def result_arrays(ranked: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def result_arrays(ranked: DataFrame) -> DataFrame:
     )
 
 
-def recommendation_documents(arrays: DataFrame, tuning: Tuning) -> DataFrame:
+def suggestion_documents(arrays: DataFrame, tuning: Tuning) -> DataFrame:
     """The emitted document: client, tuning of the run, product and its results."""
     used = {"nmf": tuning.min_nmf, "alpha": tuning.alpha, "adjust": tuning.adjust, "amf": tuning.min_amf}
     return arrays.select(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cobasket.operators.lookup import look_up
 
-# Catalog states of items that may be recommended.
+# Catalog states of items that may be suggested.
 KEPT_STATUSES = ("AVAILABLE", "UNAVAILABLE")
 
 
@@ -49,6 +49,18 @@ def with_order_key(interactions: DataFrame) -> DataFrame:
     return interactions.withColumn("link", order_key(F.col("user_id"), F.col("link")))
 
 
+def complete(interactions: DataFrame, *columns: str) -> DataFrame:
+    """Rows without a null in ``columns``; the others take no part in any join.
+
+    Stated once, ahead of the branches that count rows: else the optimizer adds such conditions to
+    some branches only, and these no longer share a scan. Each is a plain predicate, as the
+    optimizer would write it; ``dropna`` has a form of its own.
+    """
+    for column in columns:
+        interactions = interactions.filter(F.col(column).isNotNull())
+    return interactions
+
+
 def valid_interactions(interactions: DataFrame, items: DataFrame) -> DataFrame:
     """Distinct interactions whose item is in ``items``; a product listed twice does no harm.
 
@@ -63,16 +75,22 @@ def valid_interactions(interactions: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def prune_interactions(
-    interactions: DataFrame, link_freq: DataFrame, item_freq: DataFrame, max_user_events: int
+    interactions: DataFrame,
+    link_freq: DataFrame,
+    item_freq: DataFrame,
+    max_user_events: int,
+    distinct_rows: bool = False,
 ) -> DataFrame:
     """Drop items seen in one link only, links with one item, and links above the cap.
 
-    One pass: frequencies are those given, not recomputed after pruning. Links above the cap are
-    dropped whole. Both filters are semi-joins, so rows cannot multiply and the distinct can come
-    first (see :func:`valid_interactions` for why it does).
+    One pass: frequencies are those given, not recomputed after pruning, one row per key. Links above
+    the cap are dropped whole. Both filters are inner joins with such tables: semi-joins would be moved
+    below the distinct on some paths only, and the source read once per path. The distinct comes
+    first (see :func:`valid_interactions` for why it does). Rows known to be distinct skip it.
     """
     links = link_freq.filter(F.col("ufrq").between(2, max_user_events)).select("client", "link")
     items = item_freq.filter(F.col("freq") > 1).select("client", "item")
-    rows = interactions.select("client", "link", "item").distinct()
-    rows = look_up(rows, links, ["client", "link"], "left_semi")
-    return look_up(rows, items, ["client", "item"], "left_semi").select("client", "link", "item")
+    rows = interactions.select("client", "link", "item")
+    rows = rows if distinct_rows else rows.distinct()
+    rows = look_up(rows, links, ["client", "link"])
+    return look_up(rows, items, ["client", "item"]).select("client", "link", "item")

@@ -15,7 +15,7 @@ def scored(edges: DataFrame, alpha: float, adjust: float) -> DataFrame:
 
 
 def best_per_item(edges: DataFrame, k: int) -> DataFrame:
-    """Keep the ``k`` best recommendations of each item, with their ``rank``.
+    """Keep the ``k`` best suggestions of each item, with their ``rank``.
 
     Ties go to the higher item id. In this form Spark cuts to ``k`` rows per item before the
     exchange as well, so a popular item does not gather all its edges.

@@ -8,7 +8,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from cobasket.plans.similar_items import order_recommendations, purchase_recommendations
+from cobasket.plans.similar_items import order_suggestions, purchase_suggestions
 from cobasket.schemas import schema_of
 from cobasket.sources.dumps import output_path, read_json, write_json
 from cobasket.sources.snapshots import GENERATION_FORMAT, latest_generation_path, month_paths
@@ -20,14 +20,14 @@ class Mode:
     algorithm: str
     event_fields: tuple[str, ...]
     tuning: Tuning
-    recommend: Callable[[DataFrame, DataFrame, Tuning], DataFrame]
+    suggest: Callable[[DataFrame, DataFrame, Tuning], DataFrame]
 
 
 # The directory of each mode's output.
 MODES = {
-    "purchase": Mode("si-cf-purchase", ("client", "items", "user_id"), PURCHASE_TUNING, purchase_recommendations),
+    "purchase": Mode("si-cf-purchase", ("client", "items", "user_id"), PURCHASE_TUNING, purchase_suggestions),
     "buyorder": Mode(
-        "si-cf-buyorder", ("client", "order_id", "items", "user_id"), ORDER_TUNING, order_recommendations
+        "si-cf-buyorder", ("client", "order_id", "items", "user_id"), ORDER_TUNING, order_suggestions
     ),
 }
 
@@ -90,7 +90,7 @@ def run_job(
     dry_run: bool = False,
     **overrides,
 ) -> InputPlan:
-    """Compute the recommendations of one mode and write them as a generation.
+    """Compute the suggestions of one mode and write them as a generation.
 
     A dry run stops after resolving paths and schemas. ``overrides`` replace single tunings. The
     whole run is one lazy plan with one action, the write.
@@ -101,5 +101,5 @@ def run_job(
     if not dry_run:
         products = read_json(spark, inputs.catalog_path, inputs.catalog_schema)
         events = read_json(spark, inputs.event_paths, inputs.event_schema)
-        write_json(chosen.recommend(products, events, tuning), inputs.output_path)
+        write_json(chosen.suggest(products, events, tuning), inputs.output_path)
     return inputs

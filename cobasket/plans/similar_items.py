@@ -1,20 +1,21 @@
-"""The two recommendation jobs as one lazy plan each.
+"""The two suggestion jobs as one lazy plan each.
 
 The operators of ``cobasket.operators`` state every step on its own. Here they are fused so that
 each exchange of rows is used for all it can give:
 
 * the source is read once; its distinct rows feed the item frequencies and the main path;
 * the item frequency and the catalog meet at item level, and one join brings both to the rows;
-* the rows are partitioned by buyer once, which gives the buyer's total, the cap and the baskets.
+* the rows are partitioned and sorted by buyer once, which gives the buyer's total and the baskets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cobasket.operators.cooccurrence import count_pairs, mirrored
-from cobasket.operators.documents import recommendation_documents, result_arrays
+from cobasket.operators.documents import suggestion_documents, result_arrays
 from cobasket.operators.interactions import (
+    complete,
     order_interactions,
     purchase_interactions,
     sellable_items,
@@ -24,61 +25,45 @@ from cobasket.operators.lookup import look_up
 from cobasket.operators.ranking import ranked_similar
 from cobasket.tuning import ORDER_TUNING, PURCHASE_TUNING, Tuning
 
-_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
-
-def _limit_groups_before_exchange(spark: SparkSession, rows: int) -> None:
-    """Let Spark cut groups to ``rows`` rows ahead of the exchange. It is a cost hint only."""
-    current = int(spark.conf.get(_GROUP_LIMIT))
-    if 0 <= current < rows:
-        spark.conf.set(_GROUP_LIMIT, str(rows))
-
-
-def valid_with_frequencies(interactions: DataFrame, items: DataFrame) -> DataFrame:
-    """Distinct interactions of catalog items, each with the ``freq`` of its item.
+def item_frequencies(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """``(client, item, freq)`` of the catalog's items in distinct interactions.
 
     The catalog is joined to the frequencies, one row per item, with an inner join on distinct keys.
-    A semi-join would say the same, but Catalyst moves it below the distinct on one path only and
-    then has to read the source twice.
+    A semi-join of the rows would say the same, but Catalyst moves it below the distinct on one path
+    only and then has to read the source twice.
     """
-    rows = interactions.distinct()
     freq = rows.groupBy("client", "item").agg(F.count("link").alias("freq"))
-    known = freq.join(items.distinct(), ["client", "item"])
-    return look_up(rows, known, ["client", "item"])
+    return freq.join(items.distinct(), ["client", "item"])
 
 
 def buyers_within_cap(rows: DataFrame, buyer: str, cap: int) -> DataFrame:
     """Add each buyer's total ``ufrq`` and drop the buyers with fewer than two or more than ``cap`` rows.
 
-    To know that a buyer is over the cap, cap + 1 rows are enough. Cutting to that many makes Spark
-    limit every buyer before the exchange too, so an account with a large share of all rows moves at
-    most cap + 1 rows per task instead of all of them. Any fixed order would do for the cut; this one
-    is also the order in which baskets are built, so the rows are sorted once.
+    Buyers over the cap are found by counting, which combines before it moves anything, and taken out
+    by an anti-join with those few; so an account with a large share of all rows leaves before its rows
+    are gathered, and no later task holds more than ``cap`` rows of a buyer. Rows are then exchanged by
+    buyer and sorted once, in the order in which baskets are built.
     """
-    group = Window.partitionBy("client", buyer)
-    return (
-        rows.withColumn("nth", F.row_number().over(group.orderBy("link", "freq", "item")))
-        .filter(F.col("nth") <= cap + 1)
-        .withColumn("ufrq", F.count(F.lit(1)).over(group))
-        .filter(F.col("ufrq").between(2, cap))
-        .drop("nth")
-    )
+    over = rows.groupBy("client", buyer).agg(F.count(F.lit(1)).alias("total")).filter(F.col("total") > cap)
+    kept = look_up(rows, over, ["client", buyer], "left_anti").select(*rows.columns)
+    order = list(dict.fromkeys(("client", buyer, "link", "freq", "item")))
+    by_buyer = kept.repartition("client", buyer).sortWithinPartitions(*order)
+    total = F.count(F.lit(1)).over(Window.partitionBy("client", buyer))
+    return by_buyer.withColumn("ufrq", total).filter(F.col("ufrq") >= 2)
 
 
 def _edges(interactions: DataFrame, products: DataFrame, buyer: str, tuning: Tuning) -> DataFrame:
     cap = tuning.max_user_events
-    _limit_groups_before_exchange(products.sparkSession, max(cap + 1, tuning.max_similar))
-    # Rows without client, buyer or item take no part in any count. As plain predicates they also keep
-    # the optimizer from adding its own on one path only, which would end the sharing of the scan.
-    known = interactions.filter(
-        F.col("client").isNotNull() & F.col(buyer).isNotNull() & F.col("item").isNotNull()
-    )
-    rows = buyers_within_cap(valid_with_frequencies(known, sellable_items(products)), buyer, cap)
+    known = complete(interactions, "client", buyer, "item").distinct()
+    freq = item_frequencies(known, sellable_items(products))
+    rows = buyers_within_cap(look_up(known, freq, ["client", "item"]), buyer, cap)
     # A pair shares at most as many links as its rarer item has, and its weight is at most that too.
     enough = max(tuning.min_amf, tuning.min_nmf)
     rows = rows.filter(F.col("link").isNotNull() & (F.col("freq") > 1) & (F.col("freq") >= F.lit(float(enough))))
     return count_pairs(
         rows,
+        freq,
         tuning.min_amf,
         tuning.min_nmf,
         link_keys=tuple(dict.fromkeys(("client", buyer, "link"))),
@@ -101,20 +86,20 @@ def _ranked(edges: DataFrame, tuning: Tuning) -> DataFrame:
 
 
 def purchase_similar_items(products: DataFrame, events: DataFrame, tuning: Tuning = PURCHASE_TUNING) -> DataFrame:
-    """Flat recommendations, one row per item and recommended item, by shared users."""
+    """Flat suggestions, one row per item and suggested item, by shared users."""
     return _ranked(purchase_edges(products, events, tuning), tuning)
 
 
 def order_similar_items(products: DataFrame, events: DataFrame, tuning: Tuning = ORDER_TUNING) -> DataFrame:
-    """Flat recommendations, one row per item and recommended item, by shared orders."""
+    """Flat suggestions, one row per item and suggested item, by shared orders."""
     return _ranked(order_edges(products, events, tuning), tuning)
 
 
-def purchase_recommendations(products: DataFrame, events: DataFrame, tuning: Tuning = PURCHASE_TUNING) -> DataFrame:
-    """Recommendation documents of purchase mode."""
-    return recommendation_documents(result_arrays(purchase_similar_items(products, events, tuning)), tuning)
+def purchase_suggestions(products: DataFrame, events: DataFrame, tuning: Tuning = PURCHASE_TUNING) -> DataFrame:
+    """Suggestion documents of purchase mode."""
+    return suggestion_documents(result_arrays(purchase_similar_items(products, events, tuning)), tuning)
 
 
-def order_recommendations(products: DataFrame, events: DataFrame, tuning: Tuning = ORDER_TUNING) -> DataFrame:
-    """Recommendation documents of order mode."""
-    return recommendation_documents(result_arrays(order_similar_items(products, events, tuning)), tuning)
+def order_suggestions(products: DataFrame, events: DataFrame, tuning: Tuning = ORDER_TUNING) -> DataFrame:
+    """Suggestion documents of order mode."""
+    return suggestion_documents(result_arrays(order_similar_items(products, events, tuning)), tuning)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from cobasket.functions.schema import narrow
 
+# The fields of the input and output formats.
 PRODUCTS = T.StructType().add("client", "string").add("product_id", "string").add("status", "string")
 
 _PRODUCT = (
@@ -27,7 +28,7 @@ BUYORDER = (
     .add("total", "double")
 )
 
-RECOMMENDATIONS = (
+SUGGESTIONS = (
     T.StructType()
     .add("client", "string")
     .add(
@@ -53,7 +54,7 @@ RECOMMENDATIONS = (
 _KNOWN = {
     ("catalog", "products"): PRODUCTS,
     ("event", "buyorder"): BUYORDER,
-    ("algorithm", "recommendations"): RECOMMENDATIONS,
+    ("algorithm", "suggestions"): SUGGESTIONS,
 }
 
 

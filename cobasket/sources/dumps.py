@@ -1,4 +1,4 @@
-"""JSON sources and the recommendation sink.
+"""JSON sources and the suggestion sink.
 
 Schemas are always declared, so files are read once and unwanted fields are never parsed. Reading is
 permissive: a malformed line becomes a row of nulls and takes no part in any result; scalars of
@@ -49,12 +49,12 @@ def read_catalog(
     return read_json(spark, path, schema or schema_of("catalog", "products", select, drop))
 
 
-def read_recommendations(
+def read_suggestions(
     spark: SparkSession, root: str, algorithm: str, cutoff: date | str | None = None
 ) -> DataFrame:
     """The latest finished output of an earlier run."""
     path = latest_generation_path(spark, root, algorithm, cutoff)
-    return read_json(spark, path, schema_of("algorithm", "recommendations"))
+    return read_json(spark, path, schema_of("algorithm", "suggestions"))
 
 
 def output_path(root: str, algorithm: str, generation: str) -> str:

@@ -2,7 +2,8 @@
 
 Both choices exist for datasets with a partition column, as predicates that prune partitions, and
 for directories named after the month or generation, as a listing through the Hadoop file system of
-the path's URI scheme. Listings read directory names only.
+the path's URI scheme. Listings read directory names only. They go through the session's JVM and so need
+a classic session, not a Connect client.
 """
 
 from __future__ import annotations
@@ -86,10 +87,12 @@ def latest_generation_path(
         moment = cutoff if isinstance(cutoff, datetime) else datetime(cutoff.year, cutoff.month, cutoff.day)
         cutoff = moment.strftime(GENERATION_FORMAT)
     base = f"{root.rstrip('/')}/{name}"
-    # Newest first, so usually a single marker is looked up.
-    for generation in sorted(subdirectories(spark, base), reverse=True):
-        if cutoff is not None and generation > cutoff:
-            continue
-        if not need_success or path_exists(spark, f"{base}/{generation}/{SUCCESS_MARKER}"):
-            return f"{base}/{generation}"
-    raise ValueError(f"no finished generation under {base}" + (f" up to {cutoff}" if cutoff else ""))
+
+    def finished(generation: str) -> bool:
+        return not need_success or path_exists(spark, f"{base}/{generation}/{SUCCESS_MARKER}")
+
+    early_enough = (g for g in subdirectories(spark, base) if cutoff is None or g <= cutoff)
+    newest = max(filter(finished, early_enough), default=None)
+    if newest is None:
+        raise ValueError(f"no finished generation under {base}" + (f" up to {cutoff}" if cutoff else ""))
+    return f"{base}/{newest}"

@@ -1,4 +1,4 @@
-"""Parameters of the two recommendation modes."""
+"""Parameters of the two suggestion modes."""
 
 from __future__ import annotations
 

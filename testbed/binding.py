@@ -7,8 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cobasket.operators.lookup import look_up
-
 # The market segments of the public benchmark schema.
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -66,19 +64,12 @@ def order_lines(spark: SparkSession, sf_dir: str, product: str = "l_suppkey") ->
     return _lines(spark, sf_dir).select(*_order_columns(), F.array(_item(F.col(product))).alias("items"))
 
 
-def nested_orders(spark: SparkSession, sf_dir: str, lines_per_event: int = 16) -> DataFrame:
-    """Orders as events with several items each.
-
-    An order of more than ``lines_per_event`` lines is delivered as several events, so that a huge
-    one is neither gathered in one task nor held in one array.
-    """
-    counts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    n_events = F.ceil(F.col("n_lines") / F.lit(float(lines_per_event)))
-    content = F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
+def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event per order, with all its items. An order is one record of the format, whatever its length."""
     return (
-        look_up(_lines(spark, sf_dir), counts, ["l_orderkey"])
-        .select(*_order_columns(), _item(F.col("l_suppkey")).alias("line"), F.pmod(content, n_events).alias("part"))
-        .groupBy("client", "order_id", "user_id", "date", "total", "part")
+        _lines(spark, sf_dir)
+        .select(*_order_columns(), _item(F.col("l_suppkey")).alias("line"))
+        .groupBy("client", "order_id", "user_id", "date", "total")
         .agg(F.collect_list("line").alias("items"))
         .select("client", "order_id", "user_id", "items", "date", "total")
     )

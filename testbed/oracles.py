@@ -120,8 +120,8 @@ def _to_edges(mode: str) -> tuple[str, ...]:
     return *_to_valid(mode), _LINK_FREQ[mode], _ITEM_FREQ, _pruned(1000), _EDGES
 
 
-def _to_ranked(mode: str, k: int = _K) -> tuple[str, ...]:
-    return *_to_edges(mode), _MIRRORED, _ranked(mode, k)
+def _to_ranked(mode: str) -> tuple[str, ...]:
+    return *_to_edges(mode), _MIRRORED, _ranked(mode, _K)
 
 
 def _micro(column: str) -> str:
@@ -135,10 +135,16 @@ _FLAT_SELECT = (
 )
 
 
+_POSITION = "row_number() OVER (PARTITION BY client, item_ref ORDER BY asl DESC, item_rec DESC) - 1 AS pos"
+_MEMBERS = (
+    f"item_rec AS rec, amf, {_micro('nmf')}, freq_rec, freq_ref, {_micro('asl')}, {_micro('nsl')}"
+)
+
+
 def _documents(mode: str) -> str:
-    return f"""SELECT client, item_ref AS product, count(*) AS n_results,
-       0.4e0 AS t_nmf, {_ALPHA[mode]} AS t_alpha, 2e0 AS t_adjust, 2.1e0 AS t_amf
-FROM normal GROUP BY client, item_ref"""
+    return f"""SELECT client, item_ref AS product, 0.4e0 AS t_nmf, {_ALPHA[mode]} AS t_alpha, 2e0 AS t_adjust, 2.1e0 AS t_amf,
+       {_POSITION}, {_MEMBERS}
+FROM normal"""
 
 
 _PART_ROWS = "\nvalid AS (SELECT DISTINCT client, user_id AS link, part AS item FROM lines)"
@@ -171,18 +177,18 @@ ORACLES: dict[str, str] = {
     ),
     "rank_topk": _sql("SELECT client, item_ref, item_rec, rank FROM ranked", *_to_ranked("purchase")),
     "nsl": _sql(f"SELECT client, item_ref, item_rec, {_micro('nsl')} FROM normal", *_to_ranked("purchase")),
-    "results_array": _sql(
-        f"""SELECT client, item_ref,
-       row_number() OVER (PARTITION BY client, item_ref ORDER BY nsl DESC, item_rec DESC) - 1 AS pos,
-       item_rec AS rec, {_micro('asl')}, {_micro('nsl')}
-FROM normal""",
-        *_to_ranked("purchase"),
-    ),
-    "formatted_output": _sql(_documents("purchase"), *_to_ranked("purchase", 10)),
+    "results_array": _sql(f"SELECT client, item_ref, {_POSITION}, {_MEMBERS} FROM normal", *_to_ranked("purchase")),
+    "formatted_output": _sql(_documents("purchase"), *_to_ranked("purchase")),
     "purchase_documents": _sql(_documents("purchase"), *_to_ranked("purchase")),
     "buyorder_documents": _sql(_documents("order"), *_to_ranked("order")),
     "purchase_topk": _sql(_FLAT_SELECT, *_to_ranked("purchase")),
     "buyorder_topk": _sql(_FLAT_SELECT, *_to_ranked("order")),
+    "purchase_dated_run": _sql(_documents("purchase"), *_to_ranked("purchase")),
+    "buyorder_dated_run": _sql(_documents("order"), *_to_ranked("order")),
+    "catalog_snapshot": """SELECT unnest(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY']) AS client,
+       CAST(s_suppkey AS VARCHAR) AS product_id,
+       CASE WHEN s_suppkey % 10 <= 6 THEN 'AVAILABLE' WHEN s_suppkey % 10 <= 8 THEN 'UNAVAILABLE' ELSE 'REMOVED' END AS status
+FROM supplier""",
     "trailing_months": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month
 FROM orders
 WHERE o_orderdate >= TIMESTAMP '1998-05-01 00:00:00' AND o_orderdate < TIMESTAMP '1998-06-01 00:00:00'""",
@@ -194,6 +200,7 @@ WHERE o_orderdate >= TIMESTAMP '1998-05-01 00:00:00' AND o_orderdate < TIMESTAMP
 SELECT generation, o_orderkey FROM dated
 WHERE generation = (SELECT max(generation) FROM dated WHERE m % 6 <> 0 AND generation <= '19980615-000000')""",
     "json_roundtrip": _sql("SELECT client, user_id AS link, item FROM lines", _LINES),
-    "bound": """SELECT event_id, CAST(round(ln(1e0 + value) / (1e0 + ln(1e0 + value)) * 1e6) AS BIGINT) AS b_u
-FROM events WHERE value >= 0""",
+    "bound": """SELECT event_id, CASE WHEN value >= 0
+       THEN CAST(round(ln(1e0 + value) / (1e0 + ln(1e0 + value)) * 1e6) AS BIGINT) END AS b_u
+FROM events""",
 }

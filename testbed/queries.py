@@ -6,16 +6,16 @@ Scores are emitted as whole millionths, which both engines agree on.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cobasket.functions.scores import bound
 from cobasket.operators.cooccurrence import cooccurrences, mirrored
-from cobasket.operators.documents import recommendation_documents, result_arrays
+from cobasket.operators.documents import suggestion_documents, result_arrays
 from cobasket.operators.frequencies import items_per_buyer, items_per_link, links_per_item
 from cobasket.operators.interactions import (
+    complete,
     order_interactions,
     prune_interactions,
     purchase_interactions,
@@ -23,21 +23,23 @@ from cobasket.operators.interactions import (
     valid_interactions,
     with_order_key,
 )
+from cobasket.operators.lookup import look_up
 from cobasket.operators.ranking import best_per_item, normalised, ranked_similar, scored
+from cobasket.plans.jobs import MODES, run_job
 from cobasket.plans.similar_items import (
     order_edges,
-    order_recommendations,
+    order_suggestions,
     order_similar_items,
     purchase_edges,
-    purchase_recommendations,
+    purchase_suggestions,
     purchase_similar_items,
 )
 from cobasket.schemas import schema_of
-from cobasket.sources.dumps import read_json, write_json
-from cobasket.sources.scratch import scratch_path, written_once
+from cobasket.sources.dumps import read_catalog, read_json, read_suggestions, write_json
 from cobasket.sources.snapshots import latest_snapshot, trailing_months
-from cobasket.tuning import ORDER_TUNING, PURCHASE_TUNING, Tuning
+from cobasket.tuning import PURCHASE_TUNING
 from testbed.binding import nested_orders, order_lines, products, table
+from testbed.folders import shared_path
 
 PRUNING_CAP = 30
 REFERENCE_DAY = date(1998, 6, 15)
@@ -48,10 +50,13 @@ def _micro(column: str) -> Column:
     return F.round(F.col(column) * F.lit(1e6)).cast("bigint").alias(f"{column}_u")
 
 
-def _valid(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+def _interactions(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     events = order_lines(spark, sf_dir)
-    rows = purchase_interactions(events) if mode == "purchase" else with_order_key(order_interactions(events))
-    return valid_interactions(rows, sellable_items(products(spark, sf_dir)))
+    return purchase_interactions(events) if mode == "purchase" else with_order_key(order_interactions(events))
+
+
+def _valid(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    return valid_interactions(_interactions(spark, sf_dir, mode), sellable_items(products(spark, sf_dir)))
 
 
 def item_filter(spark, sf_dir):
@@ -83,18 +88,21 @@ def item_freq(spark, sf_dir):
 
 
 def frequency_pruning(spark, sf_dir):
-    rows = written_once(purchase_interactions(order_lines(spark, sf_dir, product="l_partkey")).distinct())
-    return prune_interactions(rows, items_per_link(rows), links_per_item(rows), PRUNING_CAP)
+    rows = purchase_interactions(order_lines(spark, sf_dir, product="l_partkey"))
+    rows = complete(rows, "client", "link", "item").distinct()
+    link_freq, item_freq = items_per_link(rows, distinct_rows=True), links_per_item(rows, distinct_rows=True)
+    return prune_interactions(rows, link_freq, item_freq, PRUNING_CAP, distinct_rows=True)
 
 
-def _edges(spark: SparkSession, sf_dir: str, mode: str) -> tuple[DataFrame, Tuning]:
-    """Edges composed of the single operators, without the fused plan of the jobs."""
-    tuning = PURCHASE_TUNING if mode == "purchase" else ORDER_TUNING
-    rows = written_once(_valid(spark, sf_dir, mode))
-    link_freq = items_per_link(rows) if mode == "purchase" else items_per_buyer(rows)
-    item_freq = links_per_item(rows)
-    pruned = prune_interactions(rows, link_freq, item_freq, tuning.max_user_events)
-    return cooccurrences(pruned, link_freq, item_freq, tuning.min_amf, tuning.min_nmf), tuning
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of purchase mode, composed of the single operators, without the fused plan of the jobs."""
+    rows = complete(_interactions(spark, sf_dir, "purchase"), "client", "link", "item").distinct()
+    catalog = sellable_items(products(spark, sf_dir)).distinct()
+    # An inner join with distinct keys keeps the scan shared, see prune_interactions.
+    rows = look_up(rows, catalog, ["client", "item"]).select(*rows.columns)
+    link_freq, item_freq = items_per_link(rows, distinct_rows=True), links_per_item(rows, distinct_rows=True)
+    pruned = prune_interactions(rows, link_freq, item_freq, PURCHASE_TUNING.max_user_events, distinct_rows=True)
+    return cooccurrences(pruned, link_freq, item_freq, PURCHASE_TUNING.min_amf, PURCHASE_TUNING.min_nmf)
 
 
 def _edge_columns(edges: DataFrame) -> DataFrame:
@@ -102,11 +110,11 @@ def _edge_columns(edges: DataFrame) -> DataFrame:
 
 
 def cooccurrence(spark, sf_dir):
-    return _edge_columns(_edges(spark, sf_dir, "purchase")[0])
+    return _edge_columns(_edges(spark, sf_dir))
 
 
 def cooccurrence_order(spark, sf_dir):
-    return _edge_columns(_edges(spark, sf_dir, "order")[0])
+    return _edge_columns(order_edges(products(spark, sf_dir), order_lines(spark, sf_dir)))
 
 
 def mirror(spark, sf_dir):
@@ -132,39 +140,77 @@ def nsl(spark, sf_dir):
     return normalised(ranked).select("client", "item_ref", "item_rec", _micro("nsl"))
 
 
+def _results(arrays: DataFrame, *keys: str | Column) -> DataFrame:
+    """One row per result: its keys, its place and all its members."""
+    flat = arrays.select(*keys, F.posexplode("results").alias("pos", "r"))
+    members = flat.select(*flat.columns[:-2], F.col("pos").cast("bigint"), "r.*")
+    scores = ("nmf", "asl", "nsl")
+    return members.select(*[c for c in members.columns if c not in scores], *map(_micro, scores))
+
+
 def results_array(spark, sf_dir):
     arrays = result_arrays(purchase_similar_items(products(spark, sf_dir), order_lines(spark, sf_dir)))
-    return arrays.select("client", "item_ref", F.posexplode("results").alias("pos", "r")).select(
-        "client", "item_ref", F.col("pos").cast("bigint"), "r.rec", "r.asl", "r.nsl"
-    ).select("client", "item_ref", "pos", "rec", _micro("asl"), _micro("nsl"))
+    return _results(arrays, "client", "item_ref")
 
 
 def _document_columns(documents: DataFrame) -> DataFrame:
-    return documents.select(
-        "client",
-        "product",
-        F.size("results").cast("bigint").alias("n_results"),
-        *[F.col(f"tuning.{name}").alias(f"t_{name}") for name in ("nmf", "alpha", "adjust", "amf")],
-    )
+    tuning = [F.col(f"tuning.{name}").alias(f"t_{name}") for name in ("nmf", "alpha", "adjust", "amf")]
+    return _results(documents, "client", "product", *tuning)
 
 
 def formatted_output(spark, sf_dir):
-    tuning = replace(PURCHASE_TUNING, max_similar=10)
-    edges = mirrored(_edges(spark, sf_dir, "purchase")[0])
-    ranked = ranked_similar(edges, tuning.alpha, tuning.adjust, tuning.max_similar)
-    return _document_columns(recommendation_documents(result_arrays(ranked), tuning))
+    tuning = PURCHASE_TUNING
+    ranked = ranked_similar(mirrored(_edges(spark, sf_dir)), tuning.alpha, tuning.adjust, tuning.max_similar)
+    return _document_columns(suggestion_documents(result_arrays(ranked), tuning))
 
 
 def purchase_documents(spark, sf_dir):
-    return _document_columns(purchase_recommendations(products(spark, sf_dir), order_lines(spark, sf_dir)))
+    return _document_columns(purchase_suggestions(products(spark, sf_dir), order_lines(spark, sf_dir)))
 
 
 def buyorder_documents(spark, sf_dir):
-    return _document_columns(order_recommendations(products(spark, sf_dir), order_lines(spark, sf_dir)))
+    return _document_columns(order_suggestions(products(spark, sf_dir), order_lines(spark, sf_dir)))
+
+
+def _dated_inputs(spark: SparkSession, sf_dir: str) -> str:
+    """Catalog and monthly orders as JSON in the layout of a dated run; the folder they are in.
 
+    The newest generation of the catalog is one that never finished, and holds nothing that is true.
+    """
+    root = shared_path(spark, "dated")
+    catalog = products(spark, sf_dir)
+    write_json(catalog.withColumn("status", F.lit("REMOVED")), f"{root}/products/19980101-000000")
+    write_json(catalog, f"{root}/products/19980501-000000")
+    unfinished = f"{root}/products/19980601-000000"
+    spark.range(1).select(F.lit("not JSON").alias("value")).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).text(unfinished)
+    month = date(REFERENCE_DAY.year, REFERENCE_DAY.month - 1, 1)
+    write_json(nested_orders(spark, sf_dir), f"{root}/buyorder/{month:%Y-%m-%d}")
+    return root
 
-def _flat(recommendations: DataFrame) -> DataFrame:
-    return recommendations.select(
+
+def _dated_run(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """Run one mode on dated inputs and read its documents back."""
+    root = _dated_inputs(spark, sf_dir)
+    run_job(spark, mode, root, root, f"{root}/outputs", REFERENCE_DAY, generation=SNAPSHOT_CUTOFF)
+    return _document_columns(read_suggestions(spark, f"{root}/outputs", MODES[mode].algorithm))
+
+
+def purchase_dated_run(spark, sf_dir):
+    return _dated_run(spark, sf_dir, "purchase")
+
+
+def buyorder_dated_run(spark, sf_dir):
+    return _dated_run(spark, sf_dir, "buyorder")
+
+
+def catalog_snapshot(spark, sf_dir):
+    return read_catalog(spark, _dated_inputs(spark, sf_dir))
+
+
+def _flat(suggestions: DataFrame) -> DataFrame:
+    return suggestions.select(
         "client",
         "item_ref",
         "item_rec",
@@ -203,7 +249,7 @@ def latest_snapshot_query(spark, sf_dir):
 
 
 def json_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "orders")
+    path = shared_path(spark, "orders")
     write_json(nested_orders(spark, sf_dir), path)
     schema = schema_of("event", "buyorder", ("client", "items", "user_id"), ("items.product.specs",))
     return purchase_interactions(read_json(spark, path, schema))
@@ -211,12 +257,8 @@ def json_roundtrip(spark, sf_dir):
 
 def bound_query(spark, sf_dir):
     value = F.col("value")
-    return (
-        table(spark, sf_dir, "events")
-        .filter(value >= 0)
-        .select("event_id", bound(value).alias("b"))
-        .select("event_id", _micro("b"))
-    )
+    bounded = F.when(value >= 0, bound(value)).alias("b")  # null outside its domain
+    return table(spark, sf_dir, "events").select("event_id", bounded).select("event_id", _micro("b"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -240,6 +282,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "buyorder_documents": buyorder_documents,
     "purchase_topk": purchase_topk,
     "buyorder_topk": buyorder_topk,
+    "catalog_snapshot": catalog_snapshot,
+    "purchase_dated_run": purchase_dated_run,
+    "buyorder_dated_run": buyorder_dated_run,
     "trailing_months": trailing_months_query,
     "latest_snapshot": latest_snapshot_query,
     "json_roundtrip": json_roundtrip,

@@ -1,12 +1,14 @@
 import random
 from collections import defaultdict
+from fractions import Fraction
 from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
 
-from cobasket.operators.cooccurrence import cooccurrences, count_pairs, mirrored
+from cobasket.operators.cooccurrence import _split_long_links, cooccurrences, count_pairs, mirrored
 from cobasket.operators.frequencies import items_per_link, links_per_item
+from cobasket.operators.ranking import ranked_similar
 from tests.helpers import EDGE_TYPES, as_edges, rounded, rows
 
 TRIPLES = "client string, link string, item string"
@@ -123,10 +125,43 @@ def test_count_pairs_groups_by_given_keys(spark):
         [("c1", "u1", "k1", "A", 2, 3), ("c1", "u1", "k1", "B", 2, 3), ("c1", "u1", "k2", "A", 2, 3)],
         "client string, user_id string, link string, item string, freq long, ufrq long",
     )
-    edges = count_pairs(data, 0, 0, link_keys=("client", "user_id", "link"), longest_link=10)
+    items = spark.createDataFrame([("c1", "A", 2), ("c1", "B", 2)], "client string, item string, freq long")
+    edges = count_pairs(data, items, 0, 0, link_keys=("client", "user_id", "link"), longest_link=10)
     assert as_edges(edges) == {("c1", "A", "B"): (1, round(2 / 3, 9), 2, 2)}
 
 
+def test_large_sums_do_not_depend_on_order_or_layout(spark):
+    """Three pairs that are equal in every link stay equal to the last digit, however they are added up."""
+    n = F.col("id")
+    links = spark.range(200_000).select(
+        F.lit("c1").alias("client"), n.cast("string").alias("link"), (3 + n % 997).alias("ufrq")
+    )
+    data = links.select("client", "link", F.explode(F.array(*map(F.lit, "ABC"))).alias("item"))
+    freq = spark.createDataFrame([("c1", i, 200_000) for i in "ABC"], "client string, item string, freq long")
+    found = set()
+    for layout in ({}, {"links_per_group": 5_000}, {"links_per_group": 777, "block": 2}):
+        for shuffled in (data.repartition(3, "link"), data.repartition(11).sortWithinPartitions(F.desc("link"))):
+            found |= {(r.item_ref, r.item_rec, r.amf, r.nmf) for r in cooccurrences(shuffled, links, freq, 2.1, 0.4, **layout).collect()}
+    assert len(found) == 3 and len({nmf for _, _, _, nmf in found}) == 1
+    exact = sum(Fraction(2, 3 + i % 997) for i in range(200_000))
+    assert abs(Fraction(found.pop()[3]) - exact) < Fraction(1, 10**9)
+    edges = cooccurrences(data, links, freq, 2.1, 0.4)
+    best = ranked_similar(mirrored(edges), 0.2, 2.0, 1).select("item_ref", "item_rec").collect()
+    assert sorted(map(tuple, best)) == [("A", "C"), ("B", "C"), ("C", "B")]
+
+
+def test_rows_are_copied_by_the_length_of_their_own_link(spark):
+    """A buyer with many short orders has short links; a raised cap must not copy their rows."""
+    data = spark.createDataFrame(
+        [("c1", f"o{n // 5}", f"i{n % 5}", 500, 2500) for n in range(2500)],
+        "client string, link string, item string, freq long, ufrq long",
+    )
+    split = _split_long_links(data, ["client", "link"], 16)
+    assert split.count() == 2500
+    long = data.withColumn("link", F.lit("one")).limit(64)
+    assert _split_long_links(long, ["client", "link"], 16).count() == 64 * 4
+
+
 def test_mirror_swaps_roles_and_frequencies(spark):
     edges = spark.createDataFrame([("c1", "A", "B", 3, 1.5, 4, 5)], EDGE_TYPES)
     assert rows(mirrored(edges)) == [("c1", "A", "B", 3, 1.5, 4, 5), ("c1", "B", "A", 3, 1.5, 5, 4)]

@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cobasket import (
-    order_recommendations,
+    order_suggestions,
     order_similar_items,
     plan_inputs,
-    purchase_recommendations,
+    purchase_suggestions,
     purchase_similar_items,
     run_job,
 )
@@ -24,7 +24,7 @@ from cobasket.operators.interactions import (
     with_order_key,
 )
 from cobasket.plans.similar_items import order_edges, purchase_edges
-from cobasket.sources.dumps import read_recommendations
+from cobasket.sources.dumps import read_suggestions
 from cobasket.tuning import ORDER_TUNING, PURCHASE_TUNING, Tuning
 from tests.helpers import as_edges, brute_force_edges, catalog, events, rounded, rows
 
@@ -42,7 +42,7 @@ FLAT = {"purchase": purchase_similar_items, "order": order_similar_items}
 
 
 def test_golden_case(spark):
-    documents = purchase_recommendations(catalog(spark, GOLDEN_CATALOG), events(spark, GOLDEN_EVENTS)).collect()
+    documents = purchase_suggestions(catalog(spark, GOLDEN_CATALOG), events(spark, GOLDEN_EVENTS)).collect()
     found = {d["product"]: d for d in documents}
     assert sorted(found) == ["A", "B"]
     for product, rec, freq_ref, freq_rec, asl in [("A", "B", 4, 3, 1.070322), ("B", "A", 3, 4, 1.347304)]:
@@ -142,7 +142,7 @@ def test_result_does_not_depend_on_partitioning_or_order_of_events(spark):
 def test_clients_stay_apart(spark):
     both = catalog(spark, GOLDEN_CATALOG).union(catalog(spark, GOLDEN_CATALOG, "c2"))
     data = events(spark, GOLDEN_EVENTS + [(u, o, i, "c2") for u, o, i in GOLDEN_EVENTS])
-    documents = rows(purchase_recommendations(both, data).select("client", "product"))
+    documents = rows(purchase_suggestions(both, data).select("client", "product"))
     assert documents == [("c1", "A"), ("c1", "B"), ("c2", "A"), ("c2", "B")]
 
 
@@ -168,7 +168,7 @@ def test_properties_of_the_flat_result(spark, mode):
 
 
 def test_order_mode_documents(spark):
-    documents = order_recommendations(catalog(spark, GOLDEN_CATALOG), events(spark, GOLDEN_EVENTS)).collect()
+    documents = order_suggestions(catalog(spark, GOLDEN_CATALOG), events(spark, GOLDEN_EVENTS)).collect()
     assert {d["product"]: [r.rec for r in d.results] for d in documents} == {"A": ["B"], "B": ["A"]}
     assert documents[0].tuning.alpha == ORDER_TUNING.alpha
 
@@ -198,7 +198,7 @@ def dumps(tmp_path):
 def test_job_writes_one_finished_generation(spark, dumps, mode, algorithm):
     run = run_job(spark, mode, **dumps, reference=date(2022, 5, 1), generation="20220501-120000")
     assert run.output_path.endswith(f"{algorithm}/20220501-120000")
-    written = read_recommendations(spark, dumps["output_root"], algorithm)
+    written = read_suggestions(spark, dumps["output_root"], algorithm)
     assert rows(written.select("product", F.size("results"))) == [("A", 1), ("B", 1)]
 
 
@@ -213,7 +213,7 @@ def test_dry_run_resolves_and_writes_nothing(spark, dumps, tmp_path):
 
 def test_overrides_are_honoured(spark, dumps):
     run_job(spark, "purchase", **dumps, reference=date(2022, 5, 1), generation="g1", min_amf="1", min_nmf="0")
-    written = read_recommendations(spark, dumps["output_root"], "si-cf-purchase")
+    written = read_suggestions(spark, dumps["output_root"], "si-cf-purchase")
     assert rows(written.select("product", F.size("results"))) == [("A", 2), ("B", 2), ("C", 2)]
     assert written.first().tuning.amf == 1.0
 

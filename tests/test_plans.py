@@ -1,12 +1,13 @@
 """What the executed plans of the jobs must look like, whatever the sizes."""
 
+import os
 import re
 from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
-from cobasket import order_recommendations, purchase_recommendations
+from cobasket import order_suggestions, purchase_suggestions
 from cobasket.operators.cooccurrence import cooccurrences
 from cobasket.operators.frequencies import items_per_buyer, items_per_link, links_per_item
 from cobasket.operators.interactions import prune_interactions, purchase_interactions, valid_interactions
@@ -14,9 +15,11 @@ from cobasket.plans.similar_items import purchase_edges
 from cobasket.schemas import schema_of
 from cobasket.sources.dumps import read_json, write_json
 from cobasket.tuning import Tuning
+from testbed.queries import QUERIES
 from tests.helpers import as_edges, brute_force_edges, catalog, events, rounded
 
-JOBS = {"purchase": purchase_recommendations, "order": order_recommendations}
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+JOBS = {"purchase": purchase_suggestions, "order": order_suggestions}
 UNUSED = ("items.product.specs", "items.product.price")
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
@@ -61,8 +64,11 @@ def test_job_plan(spark, json_inputs, mode, conf):
     scans = re.findall(r"ReadSchema: (\S+)", plan)
     assert len(scans) == plan.count("FileScan json") == 2
     assert not any(field in scan for scan in scans for field in ("price", "specs", "total", "date"))
-    # Groups are cut before their exchange: buyers to the cap, items to the best K.
-    assert plan.count("WindowGroupLimit") == 4
+    # Items are cut to the best K before their exchange and after it.
+    assert plan.count("WindowGroupLimit") == 2
+    # The rows are sorted once per exchange by buyer, and baskets need no other order.
+    orders = re.findall(r"Sort \[(client#\d+ ASC NULLS FIRST, \w+#\d+ ASC NULLS FIRST, (?:link|freq)#[^]]*)", plan)
+    assert len(orders) == 1
     # All in the JVM, no cross products.
     for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
@@ -74,9 +80,22 @@ def test_columnar_sources_are_pruned_inside_the_items(spark, tmp_path):
     assert "ReadSchema: struct<client:string,user_id:string,items:array<struct<product:struct<id:string>>>>" in plan
 
 
-def test_larger_caps_still_limit_groups_before_the_exchange(spark, json_inputs):
-    plan = executed_plan(purchase_recommendations(*json_inputs, Tuning(0.2, max_user_events=5000)))
-    assert plan.count("WindowGroupLimit") == 4
+def test_jobs_leave_the_session_as_it_was(spark, json_inputs):
+    before = sorted((r.key, r.value) for r in spark.sql("SET").collect())
+    for job in JOBS.values():
+        job(*json_inputs, Tuning(0.2, max_user_events=5000)).count()
+    assert sorted((r.key, r.value) for r in spark.sql("SET").collect()) == before
+
+
+@pytest.mark.parametrize("name", ["frequency_pruning", "cooccurrence", "cooccurrence_order", "user_freq_order"])
+@pytest.mark.parametrize("conf", [{}, NO_BROADCAST], ids=["broadcast", "shuffle"])
+def test_queries_of_single_operators_scan_each_source_once(spark, name, conf):
+    if not os.path.isdir(SF_DIR):
+        pytest.skip("benchmark tables are not here")
+    with settings(spark, conf):
+        plan = executed_plan(QUERIES[name](spark, SF_DIR))
+    sources = re.findall(r"FileScan parquet .*?/(\w+)\.parquet", plan)
+    assert "lineitem" in sources and len(sources) == len(set(sources))
 
 
 # Skew settings for inputs of a few hundred kilobytes.
@@ -105,6 +124,20 @@ def test_a_popular_item_is_split_in_the_job(spark, tmp_path):
     assert found == rounded(brute_force_edges(statuses, orders, "purchase", 1000, 1, 0))
 
 
+def test_a_buyer_with_most_rows_leaves_before_rows_are_gathered(spark, tmp_path):
+    statuses = {f"i{n}": "AVAILABLE" for n in range(3000)}
+    orders = [("guest", f"g{n}", [f"i{n % 3000}"]) for n in range(9000)]
+    orders += [(f"u{n}", f"o{n}", [f"i{n % 20}", f"i{(n * 7) % 20}"]) for n in range(400)]
+    write_json(events(spark, orders).repartition(8), str(tmp_path / "events"))
+    data = read_json(spark, str(tmp_path / "events"), schema_of("event", "buyorder"))
+    for conf in ({}, TINY_SKEW):
+        with settings(spark, conf):
+            edges = purchase_edges(catalog(spark, statuses), data, Tuning(0.2, min_amf=1, min_nmf=0))
+            plan = executed_plan(edges)
+            assert "LeftAnti" in plan and (not conf or "LeftAnti" in plan and SPLIT in plan)
+            assert as_edges(edges) == rounded(brute_force_edges(statuses, orders, "purchase", 1000, 1, 0))
+
+
 def test_hot_keys_are_split_in_the_single_operators(spark):
     interactions = [("c1", u, i) for u, _, items in _hot_item_orders() for i in items]
     interactions += [("c1", "guest", f"g{n}") for n in range(4000)]

@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cobasket.functions.scores import bound, similarity_level
-from cobasket.operators.documents import recommendation_documents, result_arrays
+from cobasket.operators.documents import suggestion_documents, result_arrays
 from cobasket.operators.ranking import best_per_item, normalised, ranked_similar, scored
-from cobasket.schemas import RECOMMENDATIONS
+from cobasket.schemas import SUGGESTIONS
 from cobasket.tuning import ORDER_TUNING, PURCHASE_TUNING, Tuning
 from tests.helpers import EDGE_TYPES, rows
 
@@ -78,9 +78,9 @@ def test_result_arrays_are_in_rank_order_and_need_no_exchange(spark):
 def test_documents_have_the_declared_schema(spark):
     edges = _directed(spark, [("A", "B", 2.0)])
     tuning = PURCHASE_TUNING.with_overrides(min_amf="3", alpha="1")
-    documents = recommendation_documents(result_arrays(ranked_similar(edges, 1, 2, 40)), tuning)
+    documents = suggestion_documents(result_arrays(ranked_similar(edges, 1, 2, 40)), tuning)
     names = lambda t: t.simpleString()  # noqa: E731  (nullability aside)
-    assert names(documents.schema) == names(RECOMMENDATIONS)
+    assert names(documents.schema) == names(SUGGESTIONS)
     row = documents.first()
     assert (row.client, row["product"]) == ("c1", "A")
     assert row.tuning.asDict() == {"nmf": 0.4, "alpha": 1.0, "adjust": 2.0, "amf": 3.0}

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from cobasket.operators.interactions import purchase_interactions
 from cobasket.schemas import schema_of
-from cobasket.sources.dumps import read_catalog, read_events, read_json, read_recommendations, write_json
-from cobasket.sources.scratch import scratch_path, written_once
+from cobasket.sources.dumps import read_catalog, read_events, read_json, read_suggestions, write_json
 from cobasket.sources.snapshots import (
     latest_generation_path,
     latest_snapshot,
@@ -16,6 +15,7 @@ from cobasket.sources.snapshots import (
     month_starts,
     trailing_months,
 )
+from testbed.folders import shared_path
 from tests.helpers import rows
 
 
@@ -110,19 +110,19 @@ def test_sink_writes_gzip_and_overwrites(spark, tmp_path):
     for n in (1, 2):
         write_json(spark.range(n).select(F.lit("c1").alias("client"), F.col("id").cast("string").alias("product")), path)
     assert list((tmp_path / "algo" / "20220101-000000").glob("*.json.gz"))
-    assert read_json(spark, path, schema_of("algorithm", "recommendations")).count() == 2
-    assert read_recommendations(spark, str(tmp_path), "algo").count() == 2
+    assert read_json(spark, path, schema_of("algorithm", "suggestions")).count() == 2
+    assert read_suggestions(spark, str(tmp_path), "algo").count() == 2
 
 
-def test_scratch_paths_follow_the_shared_folder_of_the_session(spark):
-    cluster = SimpleNamespace(conf={"spark.checkpoint.dir": "hdfs://shared/tmp/"})
-    assert scratch_path(cluster, "x").startswith("hdfs://shared/tmp/x-")
-    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+def _session(master, **conf):
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
 
-def test_rows_written_once_come_back_with_their_schema(spark):
-    source = spark.range(3).select(F.col("id").cast("int").alias("n"), F.lit("a").alias("t"))
-    back = written_once(source)
-    assert rows(back) == [(0, "a"), (1, "a"), (2, "a")]
-    assert back.schema.simpleString() == source.schema.simpleString()
-    assert back.inputFiles()
+def test_shared_paths_need_a_shared_folder_on_a_cluster(spark):
+    cluster = _session("spark://host:7077", **{"spark.checkpoint.dir": "hdfs://shared/tmp/"})
+    assert shared_path(cluster, "x").startswith("hdfs://shared/tmp/x-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_path(_session("spark://host:7077"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_path(_session("local-cluster[2,1,1024]"), "x")
+    assert shared_path(spark, "x") != shared_path(spark, "x")
