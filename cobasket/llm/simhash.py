@@ -120,6 +120,11 @@ def _segments(count: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
+def _signed(bits: int) -> int:
+    """64 bits as a long."""
+    return bits - (1 << BITS) if bits >> (BITS - 1) else bits
+
+
 def _forest(prints: np.ndarray, own: np.ndarray, sketches: np.ndarray, radius: int, most: int) -> list[tuple[int, int]]:
     """Links that connect whatever links with an ``own`` end connect; places in ``prints``.
 
@@ -155,12 +160,12 @@ def similar_links(prints: DataFrame, radius: int = 3, segments: int = 2, sketch:
     columns = ["node", "fingerprint", *sketch]
     own, ball = [], []
     for number, (low, width) in enumerate(_segments(segments)):
-        part = F.shiftrightunsigned("fingerprint", low).bitwiseAND(F.lit((1 << width) - 1))
+        part = F.shiftrightunsigned("fingerprint", low).bitwiseAND(F.lit(_signed((1 << width) - 1)))
         masks = [sum(1 << b for b in bits) for r in range(1, radius // segments + 1) for bits in combinations(range(width), r)]
         segment = prints.select(F.lit(number).alias("segment"), part.alias("entry"), *columns)
         own.append(segment.withColumn("own", F.lit(True)))
         if masks:
-            mask = F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("mask")
+            mask = F.explode(F.array(*[F.lit(_signed(m)).cast("long") for m in masks])).alias("mask")
             asked = F.col("entry").bitwiseXOR(F.col("mask")).alias("asked")
             # Of two values in each other's ball, the larger asks for the smaller.
             probes = segment.select("segment", "entry", *columns, mask).select("segment", "entry", asked, *columns)

@@ -1,0 +1,385 @@
+"""The parts of the operators, against brute force, the public libraries and damaged inputs."""
+
+import io
+import random
+import time
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+from tokenizers import Tokenizer  # noqa: E402
+
+from cobasket.llm import bloom_sketch, mixing, packing, personal_data, pivot_search, sharding, simhash, toxicity, warc  # noqa: E402
+from cobasket.llm.boosting import BoostedTrees  # noqa: E402
+from cobasket.llm.bpe import WordBpe  # noqa: E402
+from cobasket.llm.components import components  # noqa: E402
+from cobasket.llm.numbering import numbered  # noqa: E402
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def both_tokenizers():
+    return WordBpe(PATH), Tokenizer.from_file(PATH)
+
+
+class TestBpe:
+    pieces = st.sampled_from(["'s", "'ll", "the", "Straße", "éÈ", "İ", "Σσς", "漢字", "한", "é", "<|endoftext|>", "<|", "²½٣", "\x1c", "\x85\xa0", "—…€", "\U0001f600", "\0", " ", "\n", "12", "!?'", "aaaa", "_-"])
+
+    @settings(max_examples=150, deadline=None)
+    @given(st.one_of(st.lists(pieces, max_size=25).map("".join), st.text(max_size=60)))
+    def test_any_text_as_the_library(self, both_tokenizers, text):
+        own, library = both_tokenizers
+        if any(0xD800 <= ord(c) < 0xE000 for c in text):
+            return
+        assert own.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+    def test_long_texts_are_cut_at_blanks_only(self, both_tokenizers, monkeypatch):
+        own, library = both_tokenizers
+        monkeypatch.setattr("cobasket.llm.bpe.STEP_CHARS", 50)
+        text = " ".join(["word's", "UPPER", "x" * 120, "naïve-ly"] * 40)
+        assert own.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert own.count([text, ""]).tolist() == [len(own.encode([text])[0]), 0]
+
+    def test_vocabulary_can_start_anew(self, both_tokenizers, monkeypatch):
+        own, library = WordBpe(PATH), both_tokenizers[1]
+        monkeypatch.setattr("cobasket.llm.bpe.HELD_WORDS", 5)
+        monkeypatch.setattr("cobasket.llm.bpe.STEP_CHARS", 40)
+        texts = [f"word{i} and other{i * 7} words" for i in range(60)]
+        assert [x.tolist() for x in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+class TestBloomSketch:
+    @settings(max_examples=60, deadline=None)
+    @given(st.sets(st.integers(0, 400)), st.sets(st.integers(0, 400)))
+    def test_differences_are_recovered(self, a, b):
+        sets = [np.array([hash_of(x) for x in s], dtype=np.uint64) for s in (a, b)]
+        only_a, only_b, cells = bloom_sketch.differences([sets[0]], [sets[1]])[0]
+        assert set(only_a.tolist()) == {hash_of(x) for x in a - b}
+        assert set(only_b.tolist()) == {hash_of(x) for x in b - a}
+        assert cells >= bloom_sketch.CELLS
+
+    def test_large_differences_take_more_cells(self):
+        many = [np.arange(1, 4000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)]
+        only, none, cells = bloom_sketch.differences(many, [np.zeros(0, np.uint64)])[0]
+        assert len(only) == 3999 and len(none) == 0 and cells > 4000
+
+    def test_repeated_paragraphs_count(self):
+        once, twice = bloom_sketch.digests("one line.\n"), bloom_sketch.digests("one line.\none line.\n")
+        assert len(once) == 1 and len(twice) == 2 and set(once) < set(twice)
+
+    def test_changes_between_versions(self, spark):
+        rows = spark.createDataFrame([(1, "A b.\nC d.\nE f.", "A b.\nC d.\nX y."), (2, None, "Z."), (3, "", None)], "k long, old string, new string")
+        found = {r["k"]: r for r in bloom_sketch.paragraph_changes(rows, "k", "old", "new").collect()}
+        assert (len(found[1]["removed"]), len(found[1]["added"]), found[1]["likeness"]) == (1, 1, 0.5)
+        assert (found[2]["removed"], len(found[2]["added"]), found[2]["likeness"]) == ([], 1, 0.0)
+        assert found[3]["likeness"] == 1.0
+
+
+def hash_of(x):
+    return (x + 1) * 0x9E3779B97F4A7C15 % 2**64
+
+
+class TestPersonalData:
+    @pytest.mark.parametrize("text", ["a" * 200_000, "1" * 200_000, "1." * 100_000, "+" * 200_000, "@" * 200_000, "a@" * 100_000, "+1 (" * 50_000, "1 " * 100_000, "a.b-" * 50_000 + "@"])
+    def test_long_runs_take_linear_time(self, text):
+        start = time.process_time()
+        personal_data.base_spans(text)
+        personal_data.candidates(text)
+        assert time.process_time() - start < 5
+
+    def test_training_and_rewritten_forms(self, spark):
+        draw = random.Random(1)
+        rows = []
+        for i in range(400):
+            number = "".join(draw.choice("0123456789") for _ in range(7))
+            rows.append((i, f"Write to joe.{i}@mail{i % 9}.example.com or call +1 ({200 + i % 700}) {number[:3]}-{number[3:]} now, order {number}{number}"))
+        model = personal_data.train(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert {"email", "phone"} <= set(model.trees) and all(t >= 0.5 for t in model.thresholds.values())
+        text = "Please call (555) 123-4567 or write to ann.lee (at) mail3 (dot) example (dot) com; version 1.2.3 of 2024-01-02 17"
+        base, spans = model.spans(text)
+        assert base == []
+        assert {kind for _, kind, _ in spans} >= {"phone"} and not any("2024" in text[a:b] for a, _, b in spans)
+
+    def test_untrained_model_keeps_base_spans(self):
+        base, spans = personal_data.PersonalDataModel().spans("x a@b.cd y")
+        assert base == spans == [(2, "email", 8)]
+
+    def test_redaction_joins_overlapping_spans(self):
+        text = "to x@1.2.3.4 and 4111 1111 1111 1111"
+        spans = personal_data.base_spans(text)
+        assert [k for _, k, _ in spans] == ["email", "ip", "card"]
+        assert personal_data._redacted(text, spans) == "to [EMAIL] and [CARD]"
+
+    def test_boosted_trees_learn_an_interaction(self):
+        draw = np.random.default_rng(0)
+        x = draw.uniform(-1, 1, (4000, 6))
+        y = ((x[:, 0] > 0.2) ^ (x[:, 3] > -0.1)).astype(int)
+        chance = BoostedTrees().fit(x[:3000], y[:3000]).predict(x[3000:])
+        assert ((chance > 0.5) == y[3000:]).mean() > 0.95
+
+
+class TestToxicity:
+    def test_pairs_count_beyond_their_terms(self):
+        """Class 1 is having exactly both terms or neither: no additive weights can tell."""
+        draw = np.random.default_rng(1)
+        has = draw.integers(0, 2, (3000, 2))
+        label = (has[:, 0] == has[:, 1]).astype(float)
+        rows, places = np.nonzero(has)
+        machine = toxicity.FactorizationMachine(np.arange(2), 40, 0.0, np.zeros(2), draw.normal(0, 0.3, (2, 4)))
+        machine.fit(places, rows, label, steps=800, seed=3, ridge=1e-4)
+        margins = machine.margins(places, rows, len(label))
+        assert ((margins > 0) == label).mean() > 0.95
+
+    def test_scores_use_text_alone_and_one_class_gives_the_share(self, spark):
+        docs = spark.createDataFrame([(i, f"words {i}") for i in range(40)], "doc_id long, text string")
+        machine = toxicity.train(docs, docs.selectExpr("doc_id", "0 AS toxic"))
+        rows = toxicity.score(docs, machine).collect()
+        assert len({r["score"] for r in rows}) == 1 and rows[0]["score"] < 0.05
+
+    def test_long_texts_in_steps(self, monkeypatch):
+        text = " ".join(f"Word{'abcdef'[i % 6]} ünd" for i in range(500))
+        whole = toxicity.words_of(text)
+        monkeypatch.setattr(toxicity, "STEP_CHARS", 17)
+        assert toxicity.words_of(text) == whole
+
+
+class TestMixing:
+    def rows(self, spark):
+        return spark.range(6000).selectExpr("id AS doc_id", "repeat('x', 10) AS text", "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 'a' ELSE concat('b', id % 2) END AS source")
+
+    def test_expected_sizes_follow_the_weights(self, spark):
+        weights = spark.createDataFrame([(None, 1.0), ("a", 6.0), ("b0", 1.0)], "source string, weight double")
+        mixed = mixing.mix(self.rows(spark), weights, epochs=2.0)
+        counts = {r["source"]: r["n"] for r in mixed.groupBy("source").agg(F.count("*").alias("n")).collect()}
+        assert counts.get("b1") is None
+        for source, share in ((None, 1 / 8), ("a", 6 / 8), ("b0", 1 / 8)):
+            assert abs(counts[source] - 12_000 * share) < 5 * (12_000 * share) ** 0.5
+
+    def test_result_does_not_depend_on_partitioning(self, spark):
+        rows = self.rows(spark)
+        a, b = (mixing.mix(r).select("doc_id", "copy", "shuffle_key").collect() for r in (rows.coalesce(1), rows.repartition(7)))
+        assert Counter(a) == Counter(b)
+
+    def test_counts_are_poisson(self, spark):
+        tables = mixing.poisson_tables(spark.createDataFrame([("low", 0.7), ("high", 900.0), ("none", 0.0)], "_source string, _rate double"))
+        cdf = {r["_source"]: np.array(r["_cdf"]) for r in tables.collect()}
+        assert cdf["none"][0] == 1.0 and abs(cdf["low"][0] - np.exp(-0.7)) < 1e-12
+        for source, rate in (("low", 0.7), ("high", 900.0)):
+            mean = (1 - cdf[source]).sum()
+            assert abs(mean - rate) < 1e-6 * rate and abs(cdf[source][-1] - 1) < 1e-9
+
+    def test_many_sources_are_joined_without_broadcast(self, spark, monkeypatch):
+        rows = self.rows(spark)
+        few = Counter(mixing.mix(rows).collect())
+        monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 1)
+        assert Counter(mixing.mix(rows).collect()) == few
+
+
+class TestSharding:
+    def test_borders_are_weighted_quantiles(self, spark):
+        draw = random.Random(2)
+        rows = [(draw.randint(1, 50), draw.randint(0, 10**9), draw.randint(0, 100) << 20) for _ in range(3000)]
+        points = spark.createDataFrame(rows, "size long, k0 long, k1 long").cache()
+        tree = sharding.kd_tree(points, ["k0", "k1"], 6)
+        placed = points.withColumn("leaf", sharding._leaf_of(tree, ["k0", "k1"])).groupBy("leaf").agg(F.sum("size").alias("s")).collect()
+        total = sum(r[0] for r in rows)
+        assert sorted(r["leaf"] for r in placed) == list(range(6))
+        assert all(abs(r["s"] - total / 6) <= 150 for r in placed)
+        assert tree.dim == 0 and tree.children[0].leaves == 3
+
+    def test_a_large_group_of_copies_is_cut_apart(self, spark):
+        rows = spark.range(4000).selectExpr("id AS doc_id", "'the same text' AS text", "'en' AS lang", "'one' AS source")
+        sizes = Counter(r["shard"] for r in sharding.shard(rows, 8).collect())
+        assert len(sizes) == 8 and max(sizes.values()) - min(sizes.values()) <= 4
+
+
+class TestNumbering:
+    def test_gapless_in_every_group(self, spark):
+        rows = spark.range(5000).selectExpr("CASE WHEN id % 10 = 0 THEN NULL ELSE id % 3 END AS g", "id % 700 AS v")
+        found = defaultdict(list)
+        for r in numbered(rows, "g", ["v"], "n", parts=7).collect():
+            found[r["g"]].append(r["n"])
+        assert len(found) == 4 and all(sorted(x) == list(range(len(x))) for x in found.values())
+
+
+class TestPacking:
+    @settings(max_examples=200, deadline=None)
+    @given(st.integers(1, 50_000))
+    def test_cuts_cover_a_document(self, tokens):
+        starts, lengths = packing.cuts(tokens, 4096)
+        assert starts.tolist() == [0, *np.cumsum(lengths)[:-1].tolist()] and lengths.sum() == tokens
+        assert all(4096 % n == 0 for n in lengths.tolist())
+
+    def test_capacity_must_be_a_power_of_two(self, spark):
+        with pytest.raises(ValueError, match="power of two"):
+            packing.token_pieces(spark.createDataFrame([(1, "a")], "doc_id long, text string"), PATH, capacity=3000)
+
+    def test_pieces_hold_their_ids(self, spark, both_tokenizers):
+        row = packing.token_pieces(spark.createDataFrame([(1, "Two words")], "doc_id long, text string"), PATH).orderBy("start").collect()
+        assert sum((r["ids"] for r in row), []) == [*both_tokenizers[1].encode("Two words", add_special_tokens=False).ids, 2]
+
+
+class TestComponents:
+    @pytest.mark.parametrize("seed", [1, 2])
+    def test_random_graphs(self, spark, seed):
+        draw = random.Random(seed)
+        links = [(draw.randint(-300, 300), draw.randint(-300, 300)) for _ in range(260)]
+        links += [(1000 + i, 1001 + i) for i in range(70)] + [(5000, 6000 + i) for i in range(50)] + [(7, 7), (None, 3)]
+        group = {}
+        for a, b in links:
+            if a is not None and a != b:
+                group.setdefault(a, {a})
+                group.setdefault(b, {b})
+                if group[a] is not group[b]:
+                    merged = group[a] | group[b]
+                    for x in merged:
+                        group[x] = merged
+        found = components(spark.createDataFrame(links, "a long, b long")).collect()
+        assert {r["node"]: r["root"] for r in found} == {x: min(g) for x, g in group.items()} and len(found) == len(group)
+
+    def test_no_links(self, spark):
+        assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+class TestSimhash:
+    def links(self, spark, prints, **parameters):
+        rows = spark.createDataFrame([(p, p) for p in prints], "node long, fingerprint long").cache()
+        return {tuple(sorted((r["a"], r["b"]))) for r in simhash.similar_links(rows, **parameters).collect()}
+
+    @pytest.mark.parametrize(("radius", "segments"), [(3, 2), (7, 4), (0, 1)])
+    def test_links_connect_all_near_prints(self, spark, radius, segments):
+        draw = random.Random(radius)
+        centres = [draw.getrandbits(64) for _ in range(30)]
+        prints = {c ^ sum(1 << b for b in draw.sample(range(64), draw.randint(0, 5))) for c in centres for _ in range(12)}
+        signed = [p - 2**64 if p >= 2**63 else p for p in prints]
+        found = self.links(spark, signed, radius=radius, segments=segments)
+        near = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) % 2**64).bit_count() <= radius}
+        assert found <= near
+        assert partition_of(found, signed) == partition_of(near, signed)
+
+    def test_hot_entries_are_cut_into_blocks(self, spark):
+        """2,000 prints that share half of their bits: far more than a block, most of them linked."""
+        draw = random.Random(8)
+        prints = sorted({(5 << 40) | sum(1 << b for b in draw.sample(range(20), 3)) for _ in range(4000)})
+        found = self.links(spark, prints)
+        near = [(a, b) for i, a in enumerate(prints) for b in prints[i + 1 :] if (a ^ b).bit_count() <= 3]
+        assert partition_of(found, prints) == partition_of(near, prints)
+        assert len(found) < 40 * len(prints) < len(near) * 4
+
+    def test_near_copies_go_and_related_texts_stay(self, spark):
+        draw = random.Random(3)
+        vocabulary = ["".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(3000)]
+        text = [draw.choice(vocabulary) for _ in range(400)]
+        edited = list(text)
+        edited[50:52] = ["some", "edit"]
+        half = text[:200] + [draw.choice(vocabulary) for _ in range(200)]
+        rows = [(1, " ".join(text)), (2, " ".join(edited)), (3, " ".join(half)), (4, " ".join(text).upper()), (5, "a b"), (6, "a c")]
+        kept = simhash.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted(r["doc_id"] for r in kept) == [1, 3, 5, 6]
+
+
+def partition_of(links, nodes):
+    group = {n: {n} for n in nodes}
+    for a, b in links:
+        if group[a] is not group[b]:
+            merged = group[a] | group[b]
+            for x in merged:
+                group[x] = merged
+    return {frozenset(g) for g in group.values()}
+
+
+class TestPivotSearch:
+    def test_bounds_save_evaluations_and_change_nothing(self, spark, monkeypatch):
+        draw = np.random.default_rng(0)
+        centres = draw.normal(size=(12, 16))
+        vectors = [(i, (centres[i % 12] + 0.05 * draw.normal(size=16)).tolist()) for i in range(1500)]
+        rows = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+        quantized = {i: np.floor(1024 * np.array(v)).astype(int) for i, v in vectors}
+        expected = []
+        for q in range(0, 1500, 100):
+            scored = sorted((-int(quantized[q] @ v), k) for k, v in quantized.items() if k != q)
+            expected += [(q, n, k, -s) for n, (s, k) in enumerate(scored[:10], 1)]
+        monkeypatch.setattr(pivot_search, "BATCH", 4)  # several batches
+        assert sorted(map(tuple, pivot_search.top_k(rows).collect())) == sorted(expected)
+
+        evaluated = Counter()
+        monkeypatch.setattr(pivot_search._Best, "add", counting(pivot_search._Best.add, evaluated))
+        x = np.array([quantized[i] for i in range(1500)])
+        pivots = x[:24].astype(float)
+        table = np.stack([np.sqrt(((x - p) ** 2).sum(axis=1)) for p in pivots])
+        norms = (x * x).sum(axis=1).astype(float)
+        block = {"keys": np.arange(1500), "vectors": x, "floats": x.astype(float), "norms": norms, "most": norms.max(), "distances": table}
+        query = {"key": 0, "vector": x[0], "floats": x[0].astype(float), "norm": norms[0], "distances": table[:, 0].tolist()}
+        pivot_search._evaluate(query, block, pivot_search._Best(10))
+        assert evaluated["rows"] < 750
+
+    def test_huge_components_are_whole_numbers(self, spark):
+        rows = spark.createDataFrame([(0, [1e6, 3.0]), (1, [1e6, 1.0]), (2, [1e6, 2.0])], "vec_id long, embedding array<double>")
+        assert [tuple(r) for r in pivot_search.top_k(rows).orderBy("rank").collect()] == [
+            (0, 1, 2, 1_024_000_000**2 + 3072 * 2048),
+            (0, 2, 1, 1_024_000_000**2 + 3072 * 1024),
+        ]
+
+
+def counting(add, evaluated):
+    def counted(self, scores, keys):
+        evaluated["rows"] += len(keys)
+        add(self, scores, keys)
+
+    return counted
+
+
+class Trickle(io.BytesIO):
+    """A stream that gives a few bytes at a time."""
+
+    def read(self, size=-1):
+        return super().read(min(size, 7) if size > 0 else size)
+
+
+class TestWarc:
+    def archive(self):
+        import hashlib
+
+        pages = [(1, b"<p>one</p>" * 30), (2, "é漢".encode() * 50_000), (3, b"")]
+        members = [warc.record(i, f"http://x/{i}", p, hashlib.sha256(p).hexdigest(), "response", None) for i, p in pages]
+        members.append(warc.record(None, "u\r\nx: y", pages[0][1], hashlib.sha256(pages[0][1]).hexdigest(), "revisit", 1))
+        return members
+
+    def test_round_trip_bit_by_bit(self):
+        found = list(warc.read_records(Trickle(b"".join(self.archive()))))
+        assert [(warc._page_of(r["fields"]["WARC-Record-ID"]), r["payload_bytes"], r["problem"]) for r in found] == [
+            (1, 300, None), (2, 250_000, None), (3, 0, None), (None, 300, None)
+        ]
+        assert found[3]["fields"]["WARC-Refers-To"] == "<urn:page:1>" and "x" not in found[3]["fields"]
+
+    def test_every_member_is_a_gzip_file(self):
+        import gzip
+
+        for member in self.archive():
+            assert gzip.decompress(member).startswith(b"WARC/1.1\r\n")
+
+    def test_damage_is_reported(self):
+        import gzip
+
+        members = self.archive()
+        whole = b"".join(members)
+        assert list(warc.read_records(io.BytesIO(whole[:-20])))[-1]["problem"] == "the archive ends within a record"
+        changed = gzip.compress(gzip.decompress(members[0]).replace(b"<p>one", b"<p>two", 1))
+        found = list(warc.read_records(io.BytesIO(changed + members[2])))
+        assert [r["problem"] for r in found] == ["block digest", None]
+        longer = gzip.compress(gzip.decompress(members[0]).replace(b"Content-Length: 3", b"Content-Length: 4"))
+        assert "content length" in list(warc.read_records(io.BytesIO(longer)))[-1]["problem"]
+        assert list(warc.read_records(io.BytesIO(b"no archive at all")))[-1]["problem"].startswith("bad compression")
+        assert list(warc.read_records(io.BytesIO(b""))) == []
+
+    def test_archives_roll_over(self, spark, tmp_path):
+        pages = spark.range(300).selectExpr("id AS page_id", "'u' AS url", "repeat(concat(id, ' '), 60) AS html").coalesce(1)
+        archives = warc.write_archives(warc.with_record_types(pages), f"file://{tmp_path}/warc", archive_bytes=5_000)
+        assert archives.count() > 3 and archives.agg(F.sum("records")).first()[0] == 300
+        assert warc.read_archives(archives).where("problem IS NULL").select("page_id").distinct().count() == 300
