@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import partial, reduce
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -84,6 +85,20 @@ def fingerprints(
     return narrow.mapInArrow(hash_texts, ", ".join(schema)).withColumnRenamed("_key", key)
 
 
+def segments_for(texts_: int, radius: int) -> int:
+    """The number of segments that costs least for so many texts; links are the same with any.
+
+    Fewer segments mean more values around each, to be moved, and fewer texts per value, to be compared. A
+    comparison in a batch takes about a thousandth of what moving a row takes.
+    """
+
+    def cost(segments: int) -> float:
+        values = sum(sum(comb(width, r) for r in range(radius // segments + 1)) / 2 for _, width in _segments(segments))
+        return values * (1 + 0.001 * texts_ / 2 ** (BITS // segments))
+
+    return min(range(max(1, (radius + 1) // 4), (radius + 1) // 2 + 1), key=cost)
+
+
 def word_set_print(text: str) -> int:
     """SimHash over the distinct words of a text, which edits of some words move little."""
     found = set(text.encode("utf-8", "surrogatepass").lower().split())
@@ -256,14 +271,15 @@ def near_duplicates(rows: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 
 def keep_one_each(
-    rows: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, radius: int = 7, segments: int = 4, most: int = 16
+    rows: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, radius: int = 7, most: int = 16, segments: int | None = None
 ) -> DataFrame:
     """One row of each group of near duplicates: that with the smallest key, of equal keys the smallest digest.
 
     Two texts are linked if the SimHash fingerprints of their distinct words differ in at most ``radius`` bits and their
     one-bit minima over shingles of ``words`` words in at most ``most`` of 128, where similarity 0.8 gives 13 on average and
     0.5 gives 32. Equal texts are one. Digests pick the rows, so texts are moved once. Of rows repeated whole
-    one stays; a null key comes after all others; a null text is empty, and all such form one group.
+    one stays; a null key comes after all others; a null text is empty, and all such form one group. The number of
+    ``segments`` follows from the number of texts unless given, and changes the work only.
     """
     content = F.coalesce(F.col(text), F.lit(""))
     digest = F.md5(content.cast("binary"))
@@ -275,6 +291,7 @@ def keep_one_each(
     sketch = ("sketch_0", "sketch_1")
     made = written(fingerprints(rows, key, text, ("fingerprint", *sketch), measure, extra), "fingerprints")
     distinct = written(made.select("node", "fingerprint", *sketch).dropDuplicates(["node"]), "prints")
+    segments = segments or segments_for(distinct.count(), radius)
     distinct_nodes = made.select(key, "node", "_digest")
     links = similar_links(distinct, radius, segments, sketch, most)
     roots = components(links).withColumnRenamed("node", "_node")

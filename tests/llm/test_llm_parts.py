@@ -252,7 +252,7 @@ class TestSimhash:
         rows = spark.createDataFrame([(p, p) for p in prints], "node long, fingerprint long").cache()
         return {tuple(sorted((r["a"], r["b"]))) for r in simhash.similar_links(rows, **parameters).collect()}
 
-    @pytest.mark.parametrize(("radius", "segments"), [(3, 2), (7, 4), (0, 1)])
+    @pytest.mark.parametrize(("radius", "segments"), [(3, 2), (7, 4), (7, 3), (0, 1)])
     def test_links_connect_all_near_prints(self, spark, radius, segments):
         draw = random.Random(radius)
         centres = [draw.getrandbits(64) for _ in range(30)]
@@ -263,6 +263,10 @@ class TestSimhash:
         assert found <= near
         assert partition_of(found, signed) == partition_of(near, signed)
 
+    def test_more_texts_take_fewer_segments(self):
+        found = [simhash.segments_for(n, 7) for n in (100, 10**6, 10**8, 10**10, 10**13)]
+        assert found[0] == found[1] == 4 and found[3] == 3 and found[4] == 2 and found == sorted(found, reverse=True)
+
     def test_hot_entries_are_cut_into_blocks(self, spark):
         """2,000 prints that share half of their bits: far more than a block, most of them linked."""
         draw = random.Random(8)
