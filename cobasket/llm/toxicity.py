@@ -248,7 +248,8 @@ def train(
 def score(rows: DataFrame, machine: FactorizationMachine, key: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:
     """Per row: ``key``, ``held_out``, ``score`` and ``predicted`` (1 from ``threshold`` on).
 
-    Only the text decides; a null or empty one gets the score of no terms. Nothing is shuffled.
+    Only the text decides; a null or empty one gets the score of no terms. Nothing is shuffled. Null keys stay null and
+    aren't held out; repeated rows give repeated results and an empty table none; other columns aren't read.
     """
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +265,10 @@ def score(rows: DataFrame, machine: FactorizationMachine, key: str = "doc_id", t
 
 
 def reject(rows: DataFrame, machine: FactorizationMachine, text: str = "text", threshold: float = 0.3) -> DataFrame:
-    """``rows`` without those whose text scores ``threshold`` or more; all columns as they were."""
+    """``rows`` without those whose text scores ``threshold`` or more; all columns as they were.
+
+    A null or empty text gets the score of no terms, and so stays unless most texts are toxic.
+    """
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine.ready()
