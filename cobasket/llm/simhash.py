@@ -11,8 +11,9 @@ n near copies gives n links, not n^2. Entries with many fingerprints are cut int
 of blocks is searched on its own, by different tasks.
 
 ``near_duplicates`` links by the distance of fingerprints alone. ``keep_one_each`` looks further and verifies
-more: fingerprints of the distinct words, more bits, and on what is near an estimate of the texts'
-similarity over five-word shingles, from one-bit minima that travel with the fingerprints.
+exactly: texts that share an entry of fingerprints of the distinct words, more bits, or a band of minima over
+five-word shingles are candidates if an estimate from one-bit minima doesn't rule them out. Within the components of
+candidates, texts are compared by their whole sets of shingles, and only what these show is a link.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ BITS = 64
 STEP = 1 << 16
 # Odd multipliers of the 128 minima, made from a fixed seed.
 MINIMA = np.random.default_rng(1).integers(0, 1 << 63, 128, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# Bands of minima, and minima of each: 0.005 % of the pairs of similarity 0.8 share no band.
+BANDS, DEPTH = 25, 5
 
 
 def simhash(text: str, words: int = 3, seed: int = 42) -> int:
@@ -112,23 +115,34 @@ def word_set_print(text: str) -> int:
     return int(sum(1 << b for b in np.flatnonzero(2 * ones > len(hashes)).tolist()))
 
 
-def one_bit_minima(text: str, words: int = 5) -> np.ndarray:
-    """128 lowest bits of as many minima over the hashed word shingles, in two longs.
-
-    Two texts of similarity s agree in (1 + s) / 2 of the bits on average. A text of fewer words is one shingle.
-    """
+def shingles_of(text: str, words: int = 5) -> np.ndarray:
+    """The sorted distinct hashes of the word shingles. A text of fewer words is one shingle."""
     found = text.encode("utf-8", "surrogatepass").lower().split()
     size = max(1, min(words, len(found)))
     shingles = map(b" ".join, zip(*(found[i:] for i in range(size)), strict=False)) if found else [b""]
-    hashes = np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), dtype=np.uint64))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), dtype=np.uint64))
+
+
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """128 minima over the hashes; two texts of similarity s share a share s of them on average."""
     least = np.full(len(MINIMA), np.iinfo(np.uint64).max, dtype=np.uint64)
     for begin in range(0, len(hashes), STEP >> 6):
         mixed = hashes[begin : begin + (STEP >> 6), None] * MINIMA
         least = np.minimum(least, (mixed ^ (mixed >> np.uint64(31))).min(axis=0))
+    return least
+
+
+def one_bit_minima(least: np.ndarray) -> np.ndarray:
+    """The lowest bits of 128 minima, in two longs: texts of similarity s agree in (1 + s) / 2 of them on average."""
     bits = ((least >> np.uint64(5)) & np.uint64(1)).astype(np.uint8)
     return np.packbits(bits).view(np.uint64)
 
 
+def bands_of(least: np.ndarray) -> list[int]:
+    """A hash of each band of minima."""
+    return [xxhash.xxh64_intdigest(least[i * DEPTH : (i + 1) * DEPTH].tobytes()) for i in range(BANDS)]
+
+
 def _segments(count: int) -> list[tuple[int, int]]:
     """(lowest bit, width) of each segment."""
     edges = [BITS * i // count for i in range(count + 1)]
@@ -140,10 +154,10 @@ def _signed(bits: int) -> int:
     return bits - (1 << BITS) if bits >> (BITS - 1) else bits
 
 
-def _forest(prints: np.ndarray, own: np.ndarray, sketches: np.ndarray, radius: int, most: int) -> list[tuple[int, int]]:
+def _forest(prints: np.ndarray, own: np.ndarray, sketches: np.ndarray, radius: int | None, most: int) -> list[tuple[int, int]]:
     """Links that connect whatever links with an ``own`` end connect; places in ``prints``.
 
-    Ends of a link differ in at most ``radius`` bits, and in at most ``most`` bits of their sketches. Members that only
+    Ends of a link differ in at most ``radius`` bits (any number if None), and in at most ``most`` bits of their sketches. Members that only
     asked for this entry aren't compared with each other: they meet at entries of their own.
     """
     links, left = [], np.ones(len(prints), dtype=bool)
@@ -155,8 +169,8 @@ def _forest(prints: np.ndarray, own: np.ndarray, sketches: np.ndarray, radius: i
         while reached:
             at = reached.pop()
             others = np.flatnonzero(left if own[at] else left & own)
-            near = np.bitwise_count(prints[others] ^ prints[at]) <= radius
-            others = others[near]
+            if radius is not None:
+                others = others[np.bitwise_count(prints[others] ^ prints[at]) <= radius]
             if len(others) and sketches.shape[1]:
                 others = others[np.bitwise_count(sketches[others] ^ sketches[at]).sum(axis=1, dtype=np.int64) <= most]
             left[others] = False
@@ -165,11 +179,14 @@ def _forest(prints: np.ndarray, own: np.ndarray, sketches: np.ndarray, radius: i
     return links
 
 
-def similar_links(prints: DataFrame, radius: int = 3, segments: int = 2, sketch: tuple[str, ...] = (), most: int = 0) -> DataFrame:
+def similar_links(
+    prints: DataFrame, radius: int = 3, segments: int = 2, sketch: tuple[str, ...] = (), most: int = 0, bands: tuple[str, ...] = ()
+) -> DataFrame:
     """Links (``a``, ``b``) between nodes that connect all within ``radius`` bits.
 
     ``prints`` is read more than once and has long columns: ``node``, distinct; ``fingerprint``; and those named in ``sketch``, in which the
-    ends of a link may differ in ``most`` bits together. Not every near pair is a link, but any near pair is
+    ends of a link may differ in ``most`` bits together. With ``bands``, columns of which equal values are entries too, whatever
+    meets at an entry is linked by its sketch alone. Not every near pair is a link, but any near pair is
     connected by links.
     """
     columns = ["node", "fingerprint", *sketch]
@@ -185,19 +202,45 @@ def similar_links(prints: DataFrame, radius: int = 3, segments: int = 2, sketch:
             # Of two values in each other's ball, the larger asks for the smaller.
             probes = segment.select("segment", "entry", *columns, mask).select("segment", "entry", asked, *columns)
             ball.append(probes.where("asked < entry").drop("entry").withColumnRenamed("asked", "entry"))
-    table = reduce(DataFrame.union, own)
-    members = table
+    table = members = reduce(DataFrame.union, own)
+    if bands:
+        band = F.posexplode(F.array(*bands)).alias("segment", "entry")
+        shared = prints.select(band, *columns).withColumn("segment", F.col("segment") + segments)
+        members = members.union(shared.select("segment", "entry", *columns, F.lit(True).alias("own")))
     for probes in ball:
         met = probes.join(table.select("segment", "entry"), ["segment", "entry"], "left_semi")
         members = members.union(met.select("segment", "entry", *columns, F.lit(False).alias("own")))
     members = written(members, "segments")
-    # Blocks grow with the square root of an entry, so both their number and their size stay moderate.
     many = members.groupBy("segment", "entry").agg(F.count("*").alias("n")).where("n > 1")
+    met = _meetings(look_up(members, many, ["segment", "entry"]), ["segment", "entry"]).select("meeting", "own", *columns)
+
+    def linked(table: pa.Table) -> list[tuple[int, int]]:
+        longs = [table.column(n).to_numpy().view(np.uint64) for n in ("fingerprint", *sketch)]
+        sketches = np.stack(longs[1:], axis=1) if sketch else np.zeros((len(table), 0), dtype=np.uint64)
+        return _forest(longs[0], table.column("own").to_numpy(), sketches, None if bands else radius, most)
+
+    return _searched(met, linked)
+
+
+def _meetings(members: DataFrame, group: list[str]) -> DataFrame:
+    """Add ``meeting``: members of a group of ``n`` in every pair of blocks that theirs is in.
+
+    Blocks grow with the square root of a group, so both their number and their size stay moderate. Their number is a power
+    of two, so that groups of much the same members have much the same blocks.
+    """
     block = F.greatest(F.lit(128.0), 4 * F.sqrt("n"))
-    met = look_up(members, many, ["segment", "entry"]).withColumn("blocks", F.ceil(F.col("n") / block))
+    met = members.withColumn("blocks", F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("n") / block)))).cast("long"))
     met = met.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    meeting = F.xxhash64("segment", "entry", F.least("mine", "other"), F.greatest("mine", "other")).alias("meeting")
+    return met.withColumn("meeting", F.xxhash64(*group, F.least("mine", "other"), F.greatest("mine", "other")))
+
+
+def _searched(met: DataFrame, linked: Callable[[pa.Table], list[tuple[int, int]]]) -> DataFrame:
+    """Links (``a``, ``b``) of ``node`` values that ``linked`` finds, as places, among the rows of every ``meeting``.
+
+    The rows of a meeting are in order of ``node``: searches start from the least, so that meetings of much the same members
+    give much the same links.
+    """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -206,9 +249,7 @@ def similar_links(prints: DataFrame, radius: int = 3, segments: int = 2, sketch:
         def link() -> None:
             table = pa.Table.from_batches(held)
             nodes = table.column("node").to_numpy()
-            longs = [table.column(n).to_numpy().view(np.uint64) for n in ("fingerprint", *sketch)]
-            sketches = np.stack(longs[1:], axis=1) if sketch else np.zeros((len(nodes), 0), dtype=np.uint64)
-            for a, b in _forest(longs[0], table.column("own").to_numpy(), sketches, radius, most):
+            for a, b in linked(table):
                 left.append(int(nodes[a]))
                 right.append(int(nodes[b]))
             held.clear()
@@ -233,8 +274,53 @@ def similar_links(prints: DataFrame, radius: int = 3, segments: int = 2, sketch:
             link()
         yield links()
 
-    met = met.select(meeting, "own", *columns).repartition("meeting").sortWithinPartitions("meeting")
-    return met.mapInArrow(search, "a long, b long")
+    return met.repartition("meeting").sortWithinPartitions("meeting", "node").mapInArrow(search, "a long, b long")
+
+
+def _exact_forest(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links that connect all sets whose shared part is at least ``similarity`` of their union; places in ``sets``.
+
+    What is rejected stays and is compared with all others.
+    """
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    sizes = np.array([len(x) for x in sets])
+    numbers = np.split(ids, np.cumsum(sizes)[:-1])
+    marks = np.zeros(len(ids), dtype=bool)
+    links, left = [], np.ones(len(sets), dtype=bool)
+    for seed in range(len(sets)):
+        if not left[seed]:
+            continue
+        left[seed] = False
+        reached = [seed]
+        while reached and left.any():
+            at = reached.pop()
+            marks[numbers[at]] = True
+            others = np.flatnonzero(left)
+            least, largest = np.minimum(sizes[others], sizes[at]), np.maximum(sizes[others], sizes[at])
+            others = others[least / largest >= similarity]
+            shared = np.array([np.count_nonzero(marks[numbers[x]]) for x in others], dtype=np.int64)
+            others = others[shared / (sizes[others] + sizes[at] - shared) >= similarity]
+            marks[numbers[at]] = False
+            left[others] = False
+            reached.extend(others)
+            links.extend((at, x) for x in others)
+    return links
+
+
+def exact_links(contents: DataFrame, groups: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Links (``a``, ``b``) that connect all texts of a group whose sets of shingles have ``similarity`` or more.
+
+    ``contents`` is (``node``, ``_text``), copies included; ``groups`` (``node``, ``root``). Texts in no group aren't read on.
+    """
+    sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
+    members = look_up(groups, sizes, ["root"])
+    found = look_up(contents, members, ["node"]).dropDuplicates(["node"])
+    met = _meetings(found, ["root"]).select("meeting", "node", "_text")
+
+    def linked(table: pa.Table) -> list[tuple[int, int]]:
+        return _exact_forest([shingles_of(x or "", words) for x in table.column("_text").to_pylist()], similarity)
+
+    return _searched(met, linked)
 
 
 def near_components(prints: DataFrame, key: str, links: DataFrame) -> DataFrame:
@@ -271,29 +357,40 @@ def near_duplicates(rows: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 
 def keep_one_each(
-    rows: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, radius: int = 7, most: int = 16, segments: int | None = None
+    rows: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    words: int = 5,
+    radius: int = 7,
+    most: int = 26,
+    segments: int | None = None,
+    similarity: float = 0.8,
 ) -> DataFrame:
     """One row of each group of near duplicates: that with the smallest key, of equal keys the smallest digest.
 
-    Two texts are linked if the SimHash fingerprints of their distinct words differ in at most ``radius`` bits and their
-    one-bit minima over shingles of ``words`` words in at most ``most`` of 128, where similarity 0.8 gives 13 on average and
-    0.5 gives 32. Equal texts are one. Digests pick the rows, so texts are moved once. Of rows repeated whole
-    one stays; a null key comes after all others; a null text is empty, and all such form one group. The number of
-    ``segments`` follows from the number of texts unless given, and changes the work only.
+    Two texts are linked if their sets of hashed shingles of ``words`` words share ``similarity`` of their union. Candidates
+    have SimHash fingerprints of their distinct words that meet within ``radius`` bits, or a common band of minima, and
+    differ in at most ``most`` of 128 one-bit minima, where similarity 0.8 gives 13 on average and 0.5 gives 32: of pairs
+    at 0.8 about one in ten thousand is missed. Equal texts are one. Digests pick the rows, and only candidates' texts
+    are compared. Of rows repeated whole one stays; a null key comes after all others; a null text is empty, and all such
+    form one group. The number of ``segments`` follows from the number of texts unless given, and changes the work only.
     """
     content = F.coalesce(F.col(text), F.lit(""))
     digest = F.md5(content.cast("binary"))
     extra = {"_digest": digest, "node": F.xxhash64(digest)}
 
     def measure(content: str) -> tuple[int, ...]:
-        return (word_set_print(content), *one_bit_minima(content, words).tolist())
+        least = minima(shingles_of(content, words))
+        return (word_set_print(content), *one_bit_minima(least).tolist(), *bands_of(least))
 
-    sketch = ("sketch_0", "sketch_1")
-    made = written(fingerprints(rows, key, text, ("fingerprint", *sketch), measure, extra), "fingerprints")
-    distinct = written(made.select("node", "fingerprint", *sketch).dropDuplicates(["node"]), "prints")
+    sketch, bands = ("sketch_0", "sketch_1"), tuple(f"band_{i}" for i in range(BANDS))
+    made = written(fingerprints(rows, key, text, ("fingerprint", *sketch, *bands), measure, extra), "fingerprints")
+    distinct = written(made.select("node", "fingerprint", *sketch, *bands).dropDuplicates(["node"]), "prints")
     segments = segments or segments_for(distinct.count(), radius)
     distinct_nodes = made.select(key, "node", "_digest")
-    links = similar_links(distinct, radius, segments, sketch, most)
+    candidates = components(similar_links(distinct, radius, segments, sketch, most, bands))
+    contents = rows.select(F.xxhash64(digest).alias("node"), F.col(text).alias("_text"))
+    links = exact_links(contents, written(candidates, "candidates"), words, similarity)
     roots = components(links).withColumnRenamed("node", "_node")
     # The first row of every text, and then of every group of texts.
     first = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), "_digest")

@@ -287,6 +287,35 @@ class TestSimhash:
         kept = simhash.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
         assert sorted(r["doc_id"] for r in kept) == [1, 3, 5, 6]
 
+    def test_stage_equals_brute_force_similarity(self, spark):
+        """Pairs of similarity 0.6 to 0.95, words changed here and there or in a row, or added."""
+        draw = random.Random(5)
+        vocabulary = ["".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(5000)]
+        texts = []
+        for i in range(360):
+            text = [draw.choice(vocabulary) for _ in range(draw.randint(120, 400))]
+            change = 0.02 + 0.23 * (i % 60) / 60
+            other, many = list(text), int(len(text) * change)
+            if i % 3 == 0:
+                for at in draw.sample(range(len(text)), max(1, many // 4)):
+                    other[at] = draw.choice(vocabulary)
+            elif i % 3 == 1:
+                other[20 : 20 + many] = [draw.choice(vocabulary) for _ in range(many)]
+            else:
+                other += [draw.choice(vocabulary) for _ in range(2 * many)]
+            texts += [" ".join(text), " ".join(other)]
+        sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in texts]
+        scores = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, len(sets), 2)]
+        assert all(sum(low <= x < low + 0.05 for x in scores) >= 15 for low in (0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9))
+        expected = set(range(len(texts))) - {2 * i + 1 for i, x in enumerate(scores) if x >= 0.8}
+        kept = simhash.keep_one_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        assert {r["doc_id"] for r in kept} == expected
+
+    def test_rejected_links_do_not_end_the_search(self):
+        """1 isn't near 0 but near 2; 3 is near 2 alone."""
+        sets = [np.array(sorted(x), dtype=np.uint64) for x in (range(100), range(50, 150), range(45, 140), range(36, 130))]
+        assert partition_of(simhash._exact_forest(sets, 0.8), range(4)) == {frozenset({0}), frozenset({1, 2, 3})}
+
 
 def partition_of(links, nodes):
     group = {n: {n} for n in nodes}
