@@ -97,13 +97,20 @@ class Members:
                 return True
         return False
 
-    def head(self, most: int = CHUNK) -> bytes:
-        """Bytes up to and with the next empty line."""
-        while (end := self.plain.find(b"\r\n\r\n")) < 0:
-            if len(self.plain) > most or not self._more():
+    def head(self) -> bytes:
+        """Bytes up to and with the next empty line, however many."""
+        read, seam = [self.plain], self.plain
+        while (end := seam.find(b"\r\n\r\n")) < 0:
+            self.plain = b""
+            if not self._more():
                 raise Damaged("no end of header")
-        out, self.plain = self.plain[: end + 4], self.plain[end + 4 :]
-        return out
+            # The line may end across two chunks.
+            read.append(self.plain)
+            seam = seam[-3:] + self.plain
+        tail = len(seam) - end - 4
+        self.plain = seam[len(seam) - tail :]
+        whole = b"".join(read)
+        return whole[: len(whole) - tail]
 
     def take(self, size: int) -> Iterator[bytes]:
         """The next ``size`` bytes, in chunks."""
@@ -120,40 +127,60 @@ class Members:
             pass
         return self.plain
 
+    def skip(self) -> bool:
+        """Pass over what is left of a damaged member; false if the next one can't be found from there."""
+        try:
+            while self._more():
+                self.plain = b""
+        except Damaged:
+            return False
+        return True
+
 
 def read_records(stream) -> Iterator[dict]:
     """Every record of an archive: its fields, ``payload_bytes`` and ``payload_digest`` as found, ``problem`` or None.
 
-    Records whose digests don't match are reported and reading goes on; broken framing ends the archive with a last
-    record that has only a problem.
+    Records whose digests don't match are reported, and broken framing gives a record that has only a problem; reading goes
+    on with the next member either way. Broken compression, which hides where that is, ends the archive.
     """
     members = Members(stream)
-    try:
-        while members.next():
-            lines = members.head().decode("utf-8", "replace").split("\r\n")
-            fields = dict(line.split(": ", 1) for line in lines[1:] if ": " in line)
-            if not lines[0].startswith("WARC/") or not fields.get("Content-Length", "").isdigit():
-                raise Damaged("not a WARC record")
-            size = int(fields["Content-Length"])
-            http = members.head()
-            block, payload, found = hashlib.sha256(http), hashlib.sha256(), 0
-            for part in members.take(size - len(http)):
-                block.update(part)
-                payload.update(part)
-                found += len(part)
-            if members.rest() != b"\r\n\r\n":
-                raise Damaged("no end of record where its content length puts it")
-            problem = None
-            if fields.get("WARC-Block-Digest") != f"sha256:{block.hexdigest()}":
-                problem = "block digest"
-            digest = fields.get("WARC-Payload-Digest", "").removeprefix("sha256:")
-            if fields.get("WARC-Type") == "revisit":
-                found = int(fields.get("X-Payload-Length", 0))
-            elif digest != payload.hexdigest():
-                problem = problem or "payload digest"
-            yield {"fields": fields, "payload_bytes": found, "payload_digest": digest, "problem": problem}
-    except Damaged as e:
-        yield {"fields": {}, "payload_bytes": None, "payload_digest": None, "problem": str(e)}
+    while members.next():
+        try:
+            found = _record_of(members)
+        except Damaged as e:
+            yield {"fields": {}, "payload_bytes": None, "payload_digest": None, "problem": str(e)}
+            if not members.skip():
+                return
+        else:
+            yield found
+
+
+def _record_of(members: Members) -> dict:
+    """The record in the member at hand."""
+    lines = members.head().decode("utf-8", "replace").split("\r\n")
+    fields = dict(line.split(": ", 1) for line in lines[1:] if ": " in line)
+    if not lines[0].startswith("WARC/") or not fields.get("Content-Length", "").isdigit():
+        raise Damaged("not a WARC record")
+    size = int(fields["Content-Length"])
+    http = members.head()
+    if len(http) > size:
+        raise Damaged("a record's content length ends within its HTTP header")
+    block, payload, found = hashlib.sha256(http), hashlib.sha256(), 0
+    for part in members.take(size - len(http)):
+        block.update(part)
+        payload.update(part)
+        found += len(part)
+    if members.rest() != b"\r\n\r\n":
+        raise Damaged("no end of record where its content length puts it")
+    problem = None
+    if fields.get("WARC-Block-Digest") != f"sha256:{block.hexdigest()}":
+        problem = "block digest"
+    digest = fields.get("WARC-Payload-Digest", "").removeprefix("sha256:")
+    if fields.get("WARC-Type") == "revisit":
+        found = int(fields.get("X-Payload-Length", 0))
+    elif digest != payload.hexdigest():
+        problem = problem or "payload digest"
+    return {"fields": fields, "payload_bytes": found, "payload_digest": digest, "problem": problem}
 
 
 def with_record_types(pages: DataFrame, smallest: int = 100) -> DataFrame:

@@ -411,6 +411,24 @@ class TestWarc:
         assert list(warc.read_records(io.BytesIO(b"no archive at all")))[-1]["problem"].startswith("bad compression")
         assert list(warc.read_records(io.BytesIO(b""))) == []
 
+    @pytest.mark.parametrize("url", ["http://x/" + "漢" * 20_000, "http://x/" + "a" * 300_000])
+    def test_long_urls_and_the_pages_behind_them(self, spark, url):
+        from urllib.parse import unquote
+
+        rows = [(1, "http://x/1", "one"), (2, url, "two"), (3, "http://x/3", "three"), (4, "http://x/4", "four")]
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+        found = warc.round_trip(spark, pages).collect()
+        assert sorted((r["page_id"], unquote(r["url"]), r["payload_bytes"]) for r in found) == [(k, u, len(h)) for k, u, h in rows]
+        assert all(r["problem"] is None for r in found)
+
+    def test_reading_goes_on_behind_damaged_framing(self):
+        import gzip
+
+        members = self.archive()
+        longer = gzip.compress(gzip.decompress(members[0]).replace(b"Content-Length: 3", b"Content-Length: 4"))
+        found = list(warc.read_records(Trickle(longer + gzip.compress(b"no record") + members[1])))
+        assert [r["problem"] is None for r in found] == [False, False, True] and found[2]["payload_bytes"] == 250_000
+
     def test_archives_roll_over(self, spark, tmp_path):
         pages = spark.range(300).selectExpr("id AS page_id", "'u' AS url", "repeat(concat(id, ' '), 60) AS html").coalesce(1)
         archives = warc.write_archives(warc.with_record_types(pages), f"file://{tmp_path}/warc", archive_bytes=5_000)
