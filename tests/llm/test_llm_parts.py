@@ -106,6 +106,14 @@ class TestPersonalData:
         assert base == []
         assert {kind for _, kind, _ in spans} >= {"phone"} and not any("2024" in text[a:b] for a, _, b in spans)
 
+    def test_every_spelling_of_an_address_is_proposed(self):
+        draw, forms = random.Random(4), set()
+        for _ in range(300):
+            forms |= {form for form, label in personal_data._forms("john.doe@example.co.uk", "email", draw) if label}
+        assert len(forms) == 30
+        for form in forms | {"john at example.com", "john (At) example.com", "john at example Dot com", "JOHN AT EXAMPLE DOT COM"}:
+            assert (6, "email", 6 + len(form)) in personal_data.candidates(f"Write {form}, please"), form
+
     def test_untrained_model_keeps_base_spans(self):
         base, spans = personal_data.PersonalDataModel().spans("x a@b.cd y")
         assert base == spans == [(2, "email", 8)]
