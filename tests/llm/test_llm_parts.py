@@ -114,6 +114,21 @@ class TestPersonalData:
         for form in forms | {"john at example.com", "john (At) example.com", "john at example Dot com", "JOHN AT EXAMPLE DOT COM"}:
             assert (6, "email", 6 + len(form)) in personal_data.candidates(f"Write {form}, please"), form
 
+    @pytest.mark.parametrize(
+        ("text", "phones"),
+        [
+            ("+1 555 123 4567 2024-01-01", ["+1 555 123 4567"]),
+            ("2024-01-01 +1 555 123 4567", ["+1 555 123 4567"]),
+            ("555-123-4567 555-987-6543", ["555-123-4567", "555-987-6543"]),
+            ("12 (555) 123-4567 (555) 987-6543 7.5", ["(555) 123-4567", "(555) 987-6543"]),
+            ("+33 1 23 45 67 89 +33 1 98 76 54 32", ["+33 1 23 45 67 89", "+33 1 98 76 54 32"]),
+            ("2024-01-02 555.123.4567 10.5", ["555.123.4567"]),
+        ],
+    )
+    def test_phones_beside_other_numbers_are_proposed(self, text, phones):
+        found = {text[a:b] for a, kind, b in personal_data.candidates(text) if kind == "phone"}
+        assert found >= set(phones)
+
     def test_untrained_model_keeps_base_spans(self):
         base, spans = personal_data.PersonalDataModel().spans("x a@b.cd y")
         assert base == spans == [(2, "email", 8)]
