@@ -5,12 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cobasket.llm import bloom_sketch, mixing, personal_data, pivot_search, sharding, toxicity, warc
+from cobasket.llm import alignment, bloom_sketch, filter_audit, minhash, mixing, personal_data, pivot_search, sharding, toxicity, warc
 from cobasket.llm.packing import pack_documents
 from cobasket.llm.simhash import near_duplicates
 from cobasket.llm.token_counts import count_tokens
 
-WORD_BPE = "word_bpe_49k.json"
+WORD_BPE, BYTE_BPE, PIECE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,18 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,5 +84,8 @@ QUERIES = {
         op8_harmonic_packing,
         op9_pivot_search,
         op10_simhash_components,
+        op11_filter_audit,
+        op12_minhash_components,
+        op13_token_alignment,
     )
 }
