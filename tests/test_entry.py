@@ -11,7 +11,7 @@ from testbed.binding import SEGMENTS  # noqa: E402
 from testbed.queries import QUERIES  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-TABLES = ("supplier", "customer", "orders", "lineitem", "events", "documents", "embeddings")
+TABLES = ("supplier", "customer", "orders", "lineitem", "events", "documents", "labels", "embeddings")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="benchmark tables are not here")
 
