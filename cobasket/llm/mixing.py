@@ -3,7 +3,7 @@
 Each source gets a mean repetition rate: its target share of the total size over its own size. A row's
 number of copies inverts the Poisson distribution of that mean at a uniform number hashed from its key,
 so it depends on neither partitioning nor run. Rows are repeated by their count and dealt out globally
-by a hash of key and copy, in whose order they lie within every partition.
+by hashes of key, copy and text, and lie in the order of the first two within every partition.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from cobasket.llm.names import unused
 from cobasket.llm.storage import written
 from cobasket.operators.lookup import look_up
 
-# Up to so many sources, their distribution tables (some hundred numbers each) are broadcast.
-BROADCAST_SOURCES = 5_000
+# Up to so many numbers (8 MB) in all sources' distribution tables together, these are broadcast.
+BROADCAST_NUMBERS = 1_000_000
 # Uniform numbers have 52 bits: 13 hex digits.
 HEX_DIGITS = 13
 
@@ -48,13 +48,18 @@ def rates(sizes: DataFrame, weights: DataFrame | None, temperature: float, epoch
     return weighted.select("_source", F.coalesce(rate, F.lit(0.0)).alias("_rate"))
 
 
+def table_length(rate: Column) -> Column:
+    """The last number of copies in a source's table."""
+    return F.ceil(rate + 12 * F.sqrt(rate) + 30)
+
+
 def poisson_tables(of_source: DataFrame) -> DataFrame:
     """(``_source``, ``_cdf``): the cumulative Poisson probabilities of 0, 1, 2, ... copies, as an ascending array.
 
     It reaches so far into the tail that the rest is below the uniform numbers' resolution.
     """
     rate = F.col("_rate")
-    longest = F.ceil(rate + 12 * F.sqrt(rate) + 30)
+    longest = table_length(rate)
     steps = of_source.select("_source", "_rate", F.explode(F.sequence(F.lit(0).cast("long"), longest)).alias("_k"))
     upto = Window.partitionBy("_source").orderBy("_k")
     steps = steps.withColumn("_log_factorial", F.sum(F.ln(F.greatest("_k", F.lit(1)))).over(upto))
@@ -80,21 +85,24 @@ def mix(
 
     Size is code points of the text. A null source is a source of its own, null texts and empty ones have no size,
     and a source without any size gets no copies, having no rate. Repeated rows, and rows of equal or null
-    keys and one source, draw the same count. Columns of ``rows`` that are named like the two new ones are replaced.
-    ``rows`` is read twice, first for the sizes of the sources, which are written.
+    keys and one source, draw the same count. Columns of ``rows`` that are named like the two new ones are replaced; the names
+    of these are arguments. Long texts move whole, once. An empty table stays empty. ``rows`` is read twice, first for the sizes of
+    the sources, which are written.
     """
     rows = rows.drop(copy, shuffle_key)
     sizes = rows.groupBy(F.col(source).alias("_source")).agg(
         F.coalesce(F.sum(F.char_length(text)), F.lit(0)).cast("long").alias("_size")
     )
     sizes = written(sizes, "sizes")
-    tables = poisson_tables(rates(sizes, weights, temperature, epochs))
+    of_source = written(rates(sizes, weights, temperature, epochs), "rates")
+    numbers = of_source.agg(F.sum(table_length(F.col("_rate")))).first()[0] or 0
+    tables = poisson_tables(of_source)
     name, cdf, draw, count = (unused(rows, n) for n in ("_name", "_cdf", "_draw", "_count"))
     # Sources and the missing one as texts that can't be mistaken for each other.
     marked = rows.withColumn(name, F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("null")))
     named = F.coalesce(F.concat(F.lit("="), "_source"), F.lit("null"))
     tables = tables.select(named.alias(name), F.col("_cdf").alias(cdf))
-    if sizes.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+    if numbers <= BROADCAST_NUMBERS:
         with_table = marked.join(F.broadcast(tables), name)
     else:
         with_table = look_up(marked, tables, [name])
@@ -107,4 +115,5 @@ def mix(
         .withColumn(shuffle_key, _digest(F.lit(seed + 1), F.col(key), F.col(copy)))
         .select(*rows.columns, copy, shuffle_key)
     )
-    return repeated.repartition(shuffle_key).sortWithinPartitions(shuffle_key)
+    # Rows without a key, or of one key, have equal shuffle keys; their texts tell them apart.
+    return repeated.repartition(shuffle_key, F.xxhash64(F.col(source), F.col(text))).sortWithinPartitions(shuffle_key)

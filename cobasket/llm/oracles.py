@@ -25,16 +25,16 @@ FROM repeated
 
 OP9 = """
 WITH vectors AS (
-    SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    SELECT row_number() OVER () AS r, vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ),
 scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
-    FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.r <> c.r AND len(q.v) = len(c.v)
 ),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 

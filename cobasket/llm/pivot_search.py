@@ -5,8 +5,8 @@ difference between a query's and a candidate's pivot distances bounds their dist
 with their norms, their inner product from above. Candidates are evaluated in the order of that bound, and
 as soon as the next bound is under the query's k-th best score, all the rest are out: the result is exact.
 
-Vectors are integers, so scores are. Candidates lie in blocks where they were read. Queries come in batches of
-bounded size, one after the other, each fetched and broadcast to all blocks; a task carries its k best per query from
+Vectors are integers, so scores are. Every row is a candidate of its own, told by a number beside its key. Candidates lie in
+blocks where they were read. Queries come in batches of bounded bytes, one after the other, each fetched and broadcast to all blocks; a task carries its k best per query from
 block to block, and only those leave it.
 """
 
@@ -20,17 +20,17 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cobasket.llm.storage import written
 
-# Vectors per block, and queries per broadcast batch (a few MB).
-BLOCK, BATCH = 4096, 8192
+# Vectors per block, and bytes of queries per broadcast batch.
+BLOCK, BATCH_BYTES = 4096, 8 << 20
 # Norms up to which inner products are exact in doubles.
 EXACT = float(1 << 52)
 
 
 def quantized(rows: DataFrame, key: str, vector: str, scale: int = 1024) -> DataFrame:
-    """(``key``, ``dim``, ``vector`` of floor(scale * x)), without null keys and null, empty or non-finite vectors."""
+    """(``key``, ``dim``, ``vector`` of floor(scale * x)), without null keys and null or non-finite vectors."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     whole = F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
-    usable = rows.where(F.col(key).isNotNull() & (F.size(vector) > 0) & finite)
+    usable = rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & finite)
     return usable.select(F.col(key).cast("long").alias("key"), F.size(vector).alias("dim"), whole.alias("vector"))
 
 
@@ -38,7 +38,7 @@ def choose_pivots(vectors: DataFrame, pivots: int, sample: int) -> dict[int, np.
     """Per dimension up to ``pivots`` far-apart vectors of the ``sample`` with the smallest key hashes."""
     drawn = vectors.orderBy(F.xxhash64("key"), "key").limit(sample).collect()
     chosen = {}
-    for dim in {r["dim"] for r in drawn}:
+    for dim in {r["dim"] for r in drawn} - {0}:
         pool = np.unique(np.array([r["vector"] for r in drawn if r["dim"] == dim], dtype=np.float64), axis=0)
         at, far = [0], np.full(len(pool), np.inf)
         while len(at) < min(pivots, len(pool)):
@@ -49,7 +49,7 @@ def choose_pivots(vectors: DataFrame, pivots: int, sample: int) -> dict[int, np.
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), dim)
 
 
 def _with_distances(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
@@ -69,10 +69,10 @@ def _with_distances(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFr
                     distances = pa.ListArray.from_arrays(
                         pa.array(np.arange(len(x) + 1, dtype=np.int32) * table.shape[1]), pa.array(table.ravel())
                     )
-                    arrays = [piece.column(n) for n in ("key", "dim", "vector")] + [distances, pa.array((x * x).sum(axis=1))]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["key", "dim", "vector", "distances", "norm"])
+                    arrays = [piece.column(n) for n in ("row", "key", "dim", "vector")] + [distances, pa.array((x * x).sum(axis=1))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["row", "key", "dim", "vector", "distances", "norm"])
 
-    return vectors.mapInArrow(measure, "key long, dim int, vector array<long>, distances array<double>, norm double")
+    return vectors.mapInArrow(measure, "row long, key long, dim int, vector array<long>, distances array<double>, norm double")
 
 
 class _Best:
@@ -97,7 +97,7 @@ def _evaluate(query: dict, block: dict, best: _Best) -> None:
     q, x = query["vector"], block["vectors"]
     bounded = max(query["norm"], block["most"]) < EXACT
     if not bounded:  # too large for doubles: no bounds, whole numbers
-        mine = block["keys"] != query["key"]
+        mine = block["rows"] != query["row"]
         best.add(x[mine] @ q, block["keys"][mine])
         return
     apart = np.zeros(len(x))
@@ -106,7 +106,7 @@ def _evaluate(query: dict, block: dict, best: _Best) -> None:
     # A little slack for the rounding of square roots; scores are whole numbers.
     apart = np.maximum(apart * (1 - 1e-9) - 1e-6, 0.0)
     most = (query["norm"] + block["norms"] - apart * apart) / 2 + 1e-3
-    left = np.flatnonzero((most >= best.least()) & (block["keys"] != query["key"]))
+    left = np.flatnonzero((most >= best.least()) & (block["rows"] != query["row"]))
     left = left[np.argsort(-most[left], kind="stable")]
     begin, step = 0, 4 * best.k
     while begin < len(left) and most[left[begin]] >= best.least():
@@ -120,7 +120,7 @@ def _search(candidates: DataFrame, queries: list, k: int) -> DataFrame:
     packs: dict[int, list[dict]] = {}
     for row in queries:
         vector = np.array(row["vector"], dtype=np.int64)
-        query = {"key": row["key"], "norm": row["norm"], "vector": vector, "floats": vector.astype(np.float64)}
+        query = {"row": row["row"], "key": row["key"], "norm": row["norm"], "vector": vector, "floats": vector.astype(np.float64)}
         packs.setdefault(row["dim"], []).append(query | {"distances": np.array(row["distances"])})
     shared = candidates.sparkSession.sparkContext.broadcast(packs)
 
@@ -133,42 +133,44 @@ def _search(candidates: DataFrame, queries: list, k: int) -> DataFrame:
                 part = batch.filter(pa.array(dims == dim))
                 x = _matrix(part.column("vector"), dim)
                 table = part.column("distances").flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
-                keys, norms = part.column("key").to_numpy(), part.column("norm").to_numpy()
+                rows, keys, norms = (part.column(n).to_numpy() for n in ("row", "key", "norm"))
                 for begin in range(0, len(x), BLOCK):
                     at = slice(begin, begin + BLOCK)
-                    block = {"keys": keys[at], "vectors": x[at], "floats": x[at].astype(np.float64), "norms": norms[at]}
+                    block = {"rows": rows[at], "keys": keys[at], "vectors": x[at], "floats": x[at].astype(np.float64), "norms": norms[at]}
                     block |= {"distances": np.ascontiguousarray(table[at].T), "most": float(norms[at].max())}
                     for number, query in enumerate(packs[dim]):
                         _evaluate(query, block, best.setdefault((dim, number), _Best(k)))
         for (dim, number), found in best.items():
             yield pa.RecordBatch.from_pydict(
                 {
+                    "query_row": pa.array(np.full(len(found.keys), packs[dim][number]["row"]), pa.int64()),
                     "query_id": pa.array(np.full(len(found.keys), packs[dim][number]["key"]), pa.int64()),
                     "vec_id": pa.array(found.keys),
                     "score": pa.array(found.scores),
                 }
             )
 
-    return candidates.mapInArrow(search, "query_id long, vec_id long, score long")
+    return candidates.mapInArrow(search, "query_row long, query_id long, vec_id long, score long")
 
 
 def top_k(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 100, k: int = 10, pivots: int = 32, sample: int = 1024) -> DataFrame:
     """The ``k`` best candidates of every row whose key is divisible by ``every``: ``query_id``, ``rank``, ``vec_id``, ``score``.
 
-    Candidates are all rows but those of the query's own key; ties go to the smaller key, and fewer candidates than
-    ``k`` are all returned. Null keys, null or empty vectors and vectors with null or non-finite components take no
-    part; vectors of different lengths aren't compared. Repeated keys: their first row by vector stands
-    for the key. An empty table gives no rows. Pivots come from a bounded sample; they change the
-    work, not the result.
+    Candidates are all rows but the query's own; ties go to the smaller key, and fewer candidates than ``k`` are all
+    returned. Rows of a repeated key are candidates, and queries, each on its own. Null keys, null vectors and vectors with
+    null or non-finite components take no part; vectors of different lengths aren't compared, and two empty ones score 0.
+    Other columns aren't read, whatever their names. An empty table gives no rows. Pivots come from a bounded sample; they
+    change the work, not the result.
     """
-    once = quantized(rows, key, vector).groupBy("key").agg(F.min(F.struct("vector", "dim")).alias("row"))
-    vectors = written(once.select("key", "row.dim", "row.vector"), "vectors")
+    numbers = quantized(rows, key, vector).withColumn("row", F.monotonically_increasing_id())
+    vectors = written(numbers.select("row", "key", "dim", "vector"), "vectors")
     table = written(_with_distances(vectors, choose_pivots(vectors, pivots, sample)), "pivot-table")
     asked = table.where(F.col("key") % every == 0)
-    batches = -(-asked.count() // BATCH) or 1
+    size = asked.agg(F.sum(8 * (F.col("dim") + F.size("distances") + 4))).first()[0] or 0
+    batches = -(-size // BATCH_BYTES) or 1
     found = None
     for number in range(batches):
-        mine = asked.where(F.pmod(F.xxhash64("key"), F.lit(batches)) == number).collect()  # about BATCH rows
+        mine = asked.where(F.pmod(F.xxhash64("row"), F.lit(batches)) == number).collect()  # about BATCH_BYTES
         best = _ranked(_search(table, mine, k), k)
         best = written(best, "batch") if batches > 1 else best
         found = best if found is None else found.union(best)
@@ -176,6 +178,6 @@ def top_k(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", every
 
 
 def _ranked(scored: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

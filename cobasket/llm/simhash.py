@@ -7,13 +7,10 @@ What meets at a table entry is verified by the complete distance.
 
 Copies share a fingerprint and count once. At an entry, a search from each fingerprint through those
 not yet reached gives a forest of true links with at most one link per fingerprint, so that a group of
-n near copies gives n links, not n^2. Entries with many fingerprints are cut into blocks, and every pair
-of blocks is searched on its own, by different tasks.
-
-``near_duplicates`` links by the distance of fingerprints alone. ``keep_one_each`` looks further and verifies
-exactly: texts that share an entry of fingerprints of the distinct words, more bits, or a band of minima over
-five-word shingles are candidates if an estimate from one-bit minima doesn't rule them out. Within the components of
-candidates, texts are compared by their whole sets of shingles, and only what these show is a link.
+n near copies gives n links, not n^2. Entries with many fingerprints are cut into blocks, searched by different tasks.
+The search goes in three steps: among equal segments within blocks, then within the balls, then across blocks. What links
+have joined, over all entries, is one in the next step: entries whose members are one are done, and in the others a link is made
+for two groups, not for two members.
 """
 
 from __future__ import annotations
@@ -21,7 +18,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import partial, reduce
 from itertools import combinations
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +33,8 @@ from cobasket.operators.lookup import look_up
 BITS = 64
 # Hashes whose bits are counted together.
 STEP = 1 << 16
-# Odd multipliers of the 128 minima, made from a fixed seed.
-MINIMA = np.random.default_rng(1).integers(0, 1 << 63, 128, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-# Bands of minima, and minima of each: 0.005 % of the pairs of similarity 0.8 share no band.
-BANDS, DEPTH = 25, 5
+# Members of the smallest block that an entry is cut into.
+BLOCK = 128
 
 
 def simhash(text: str, words: int = 3, seed: int = 42) -> int:
@@ -88,61 +82,6 @@ def fingerprints(
     return narrow.mapInArrow(hash_texts, ", ".join(schema)).withColumnRenamed("_key", key)
 
 
-def segments_for(texts_: int, radius: int) -> int:
-    """The number of segments that costs least for so many texts; links are the same with any.
-
-    Fewer segments mean more values around each, to be moved, and fewer texts per value, to be compared. A
-    comparison in a batch takes about a thousandth of what moving a row takes.
-    """
-
-    def cost(segments: int) -> float:
-        values = sum(sum(comb(width, r) for r in range(radius // segments + 1)) / 2 for _, width in _segments(segments))
-        return values * (1 + 0.001 * texts_ / 2 ** (BITS // segments))
-
-    return min(range(max(1, (radius + 1) // 4), (radius + 1) // 2 + 1), key=cost)
-
-
-def word_set_print(text: str) -> int:
-    """SimHash over the distinct words of a text, which edits of some words move little."""
-    found = set(text.encode("utf-8", "surrogatepass").lower().split())
-    if not found:
-        return 0
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, found), dtype="<u8", count=len(found))
-    ones = np.zeros(BITS, dtype=np.int64)
-    for begin in range(0, len(hashes), STEP):
-        part = hashes[begin : begin + STEP].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(sum(1 << b for b in np.flatnonzero(2 * ones > len(hashes)).tolist()))
-
-
-def shingles_of(text: str, words: int = 5) -> np.ndarray:
-    """The sorted distinct hashes of the word shingles. A text of fewer words is one shingle."""
-    found = text.encode("utf-8", "surrogatepass").lower().split()
-    size = max(1, min(words, len(found)))
-    shingles = map(b" ".join, zip(*(found[i:] for i in range(size)), strict=False)) if found else [b""]
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), dtype=np.uint64))
-
-
-def minima(hashes: np.ndarray) -> np.ndarray:
-    """128 minima over the hashes; two texts of similarity s share a share s of them on average."""
-    least = np.full(len(MINIMA), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for begin in range(0, len(hashes), STEP >> 6):
-        mixed = hashes[begin : begin + (STEP >> 6), None] * MINIMA
-        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(31))).min(axis=0))
-    return least
-
-
-def one_bit_minima(least: np.ndarray) -> np.ndarray:
-    """The lowest bits of 128 minima, in two longs: texts of similarity s agree in (1 + s) / 2 of them on average."""
-    bits = ((least >> np.uint64(5)) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(bits).view(np.uint64)
-
-
-def bands_of(least: np.ndarray) -> list[int]:
-    """A hash of each band of minima."""
-    return [xxhash.xxh64_intdigest(least[i * DEPTH : (i + 1) * DEPTH].tobytes()) for i in range(BANDS)]
-
-
 def _segments(count: int) -> list[tuple[int, int]]:
     """(lowest bit, width) of each segment."""
     edges = [BITS * i // count for i in range(count + 1)]
@@ -154,91 +93,96 @@ def _signed(bits: int) -> int:
     return bits - (1 << BITS) if bits >> (BITS - 1) else bits
 
 
-def _forest(prints: np.ndarray, own: np.ndarray, sketches: np.ndarray, radius: int | None, most: int) -> list[tuple[int, int]]:
-    """Links that connect whatever links with an ``own`` end connect; places in ``prints``.
+def _forest(prints: np.ndarray, own: np.ndarray, joined: np.ndarray, blocks: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Links that join, step by step, all ``joined`` groups with members within ``radius`` bits; places in ``prints``.
 
-    Ends of a link differ in at most ``radius`` bits (any number if None), and in at most ``most`` bits of their sketches. Members that only
-    asked for this entry aren't compared with each other: they meet at entries of their own.
+    Members that only asked for this entry aren't compared with each other: they meet at entries of their own.
+    Of two blocks, only members across them are compared.
     """
-    links, left = [], np.ones(len(prints), dtype=bool)
-    for seed in np.flatnonzero(own):
+    across = blocks[0] != blocks[-1] or bool((blocks != blocks[0]).any())
+    _, group = np.unique(joined, return_inverse=True)
+    order = np.argsort(group, kind="stable")
+    edges = np.searchsorted(group[order], np.arange(int(group.max()) + 2))
+    links, left, waiting = [], np.ones(len(edges) - 1, dtype=bool), len(edges) - 1
+    for seed in range(len(left)):
         if not left[seed]:
             continue
-        left[seed] = False
-        reached = [seed]
-        while reached:
+        left[seed], waiting = False, waiting - 1
+        reached = order[edges[seed] : edges[seed + 1]].tolist()
+        while reached and waiting:
             at = reached.pop()
-            others = np.flatnonzero(left if own[at] else left & own)
-            if radius is not None:
-                others = others[np.bitwise_count(prints[others] ^ prints[at]) <= radius]
-            if len(others) and sketches.shape[1]:
-                others = others[np.bitwise_count(sketches[others] ^ sketches[at]).sum(axis=1, dtype=np.int64) <= most]
-            left[others] = False
-            reached.extend(others)
-            links.extend((at, x) for x in others)
+            fresh = left[group]
+            if not own[at]:
+                fresh &= own
+            if across:
+                fresh &= blocks != blocks[at]
+            others = np.flatnonzero(fresh)
+            others = others[np.bitwise_count(prints[others] ^ prints[at]) <= radius]
+            if len(others):
+                found, first = np.unique(group[others], return_index=True)
+                left[found], waiting = False, waiting - len(found)
+                links.extend((at, x) for x in others[first].tolist())
+                for g in found.tolist():
+                    reached.extend(order[edges[g] : edges[g + 1]].tolist())
     return links
 
 
-def similar_links(
-    prints: DataFrame, radius: int = 3, segments: int = 2, sketch: tuple[str, ...] = (), most: int = 0, bands: tuple[str, ...] = ()
-) -> DataFrame:
-    """Links (``a``, ``b``) between nodes that connect all within ``radius`` bits.
-
-    ``prints`` is read more than once and has long columns: ``node``, distinct; ``fingerprint``; and those named in ``sketch``, in which the
-    ends of a link may differ in ``most`` bits together. With ``bands``, columns of which equal values are entries too, whatever
-    meets at an entry is linked by its sketch alone. Not every near pair is a link, but any near pair is
-    connected by links.
-    """
-    columns = ["node", "fingerprint", *sketch]
+def _entries(prints: DataFrame, radius: int, segments: int) -> DataFrame:
+    """(``entry``, ``own``, ``node``, ``fingerprint``): what meets at each value of each segment that is in the table."""
     own, ball = [], []
     for number, (low, width) in enumerate(_segments(segments)):
         part = F.shiftrightunsigned("fingerprint", low).bitwiseAND(F.lit(_signed((1 << width) - 1)))
         masks = [sum(1 << b for b in bits) for r in range(1, radius // segments + 1) for bits in combinations(range(width), r)]
-        segment = prints.select(F.lit(number).alias("segment"), part.alias("entry"), *columns)
+        segment = prints.select(F.lit(number).alias("segment"), part.alias("entry"), "node", "fingerprint")
         own.append(segment.withColumn("own", F.lit(True)))
         if masks:
             mask = F.explode(F.array(*[F.lit(_signed(m)).cast("long") for m in masks])).alias("mask")
             asked = F.col("entry").bitwiseXOR(F.col("mask")).alias("asked")
             # Of two values in each other's ball, the larger asks for the smaller.
-            probes = segment.select("segment", "entry", *columns, mask).select("segment", "entry", asked, *columns)
+            probes = segment.select("segment", "entry", "node", "fingerprint", mask).select("segment", "entry", asked, "node", "fingerprint")
             ball.append(probes.where("asked < entry").drop("entry").withColumnRenamed("asked", "entry"))
     table = members = reduce(DataFrame.union, own)
-    if bands:
-        band = F.posexplode(F.array(*bands)).alias("segment", "entry")
-        shared = prints.select(band, *columns).withColumn("segment", F.col("segment") + segments)
-        members = members.union(shared.select("segment", "entry", *columns, F.lit(True).alias("own")))
     for probes in ball:
         met = probes.join(table.select("segment", "entry"), ["segment", "entry"], "left_semi")
-        members = members.union(met.select("segment", "entry", *columns, F.lit(False).alias("own")))
+        members = members.union(met.select("segment", "entry", "node", "fingerprint", F.lit(False).alias("own")))
     members = written(members, "segments")
     many = members.groupBy("segment", "entry").agg(F.count("*").alias("n")).where("n > 1")
-    met = _meetings(look_up(members, many, ["segment", "entry"]), ["segment", "entry"]).select("meeting", "own", *columns)
-
-    def linked(table: pa.Table) -> list[tuple[int, int]]:
-        longs = [table.column(n).to_numpy().view(np.uint64) for n in ("fingerprint", *sketch)]
-        sketches = np.stack(longs[1:], axis=1) if sketch else np.zeros((len(table), 0), dtype=np.uint64)
-        return _forest(longs[0], table.column("own").to_numpy(), sketches, None if bands else radius, most)
+    # Blocks grow with the square root of an entry, so both their number and their size stay moderate.
+    blocks = F.ceil(F.col("n") / F.greatest(F.lit(float(BLOCK)), 4 * F.sqrt("n"))).cast("long")
+    met = look_up(members, many.select("segment", "entry", blocks.alias("blocks")), ["segment", "entry"])
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
+    return met.select(F.xxhash64("segment", "entry").alias("entry"), "own", "node", "fingerprint", "blocks", block)
 
-    return _searched(met, linked)
 
+def similar_links(prints: DataFrame, radius: int = 3, segments: int = 2) -> DataFrame:
+    """Links (``a``, ``b``) between nodes that connect all within ``radius`` bits.
 
-def _meetings(members: DataFrame, group: list[str]) -> DataFrame:
-    """Add ``meeting``: members of a group of ``n`` in every pair of blocks that theirs is in.
-
-    Blocks grow with the square root of a group, so both their number and their size stay moderate. Their number is a power
-    of two, so that groups of much the same members have much the same blocks.
+    ``prints`` is read more than once and has long columns: ``node``, distinct, and ``fingerprint``. Not every near pair is
+    a link, but any near pair is connected by links, whose number grows with that of nodes.
     """
-    block = F.greatest(F.lit(128.0), 4 * F.sqrt("n"))
-    met = members.withColumn("blocks", F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("n") / block)))).cast("long"))
-    met = met.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return met.withColumn("meeting", F.xxhash64(*group, F.least("mine", "other"), F.greatest("mine", "other")))
+    met = written(_entries(prints, radius, segments), "entries")
+    inside = F.xxhash64("entry", "block")
+    links = written(_searched(met.where("own").withColumn("joined", F.col("node")).withColumn("meeting", inside), radius), "links")
+    links = links.union(written(_searched(_apart(met, links).withColumn("meeting", inside), radius), "links"))
+    large = _apart(met.where("blocks > 1"), links)
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("other <> block")
+    across = large.withColumn("meeting", F.xxhash64("entry", F.least("block", "other"), F.greatest("block", "other")))
+    return links.union(_searched(across, radius))
+
+
+def _apart(met: DataFrame, links: DataFrame) -> DataFrame:
+    """The members of entries that ``links`` haven't made one yet, with what they are ``joined`` to."""
+    roots = components(links).withColumnRenamed("node", "_node")
+    rooted = met.join(roots, F.col("node") == F.col("_node"), "left").withColumn("joined", F.coalesce("root", "node"))
+    rooted = written(rooted.drop("_node", "root"), "joined")
+    open_ = rooted.groupBy("entry").agg(F.min("joined").alias("low"), F.max("joined").alias("high")).where("low <> high")
+    return look_up(rooted, open_.select("entry"), ["entry"])
 
 
-def _searched(met: DataFrame, linked: Callable[[pa.Table], list[tuple[int, int]]]) -> DataFrame:
-    """Links (``a``, ``b``) of ``node`` values that ``linked`` finds, as places, among the rows of every ``meeting``.
+def _searched(met: DataFrame, radius: int) -> DataFrame:
+    """Links (``a``, ``b``) of ``node`` values that :func:`_forest` finds among the rows of every ``meeting``.
 
-    The rows of a meeting are in order of ``node``: searches start from the least, so that meetings of much the same members
+    The rows of a meeting are in order of ``joined``: searches start from the least, so that meetings of much the same members
     give much the same links.
     """
 
@@ -248,8 +192,8 @@ def _searched(met: DataFrame, linked: Callable[[pa.Table], list[tuple[int, int]]
 
         def link() -> None:
             table = pa.Table.from_batches(held)
-            nodes = table.column("node").to_numpy()
-            for a, b in linked(table):
+            nodes, prints, joined, blocks = (table.column(n).to_numpy() for n in ("node", "fingerprint", "joined", "block"))
+            for a, b in _forest(prints.view(np.uint64), table.column("own").to_numpy(), joined, blocks, radius):
                 left.append(int(nodes[a]))
                 right.append(int(nodes[b]))
             held.clear()
@@ -274,131 +218,63 @@ def _searched(met: DataFrame, linked: Callable[[pa.Table], list[tuple[int, int]]
             link()
         yield links()
 
-    return met.repartition("meeting").sortWithinPartitions("meeting", "node").mapInArrow(search, "a long, b long")
-
-
-def _exact_forest(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """Links that connect all sets whose shared part is at least ``similarity`` of their union; places in ``sets``.
-
-    What is rejected stays and is compared with all others.
-    """
-    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    sizes = np.array([len(x) for x in sets])
-    numbers = np.split(ids, np.cumsum(sizes)[:-1])
-    marks = np.zeros(len(ids), dtype=bool)
-    links, left = [], np.ones(len(sets), dtype=bool)
-    for seed in range(len(sets)):
-        if not left[seed]:
-            continue
-        left[seed] = False
-        reached = [seed]
-        while reached and left.any():
-            at = reached.pop()
-            marks[numbers[at]] = True
-            others = np.flatnonzero(left)
-            least, largest = np.minimum(sizes[others], sizes[at]), np.maximum(sizes[others], sizes[at])
-            others = others[least / largest >= similarity]
-            shared = np.array([np.count_nonzero(marks[numbers[x]]) for x in others], dtype=np.int64)
-            others = others[shared / (sizes[others] + sizes[at] - shared) >= similarity]
-            marks[numbers[at]] = False
-            left[others] = False
-            reached.extend(others)
-            links.extend((at, x) for x in others)
-    return links
+    narrow = met.select("meeting", "node", "fingerprint", "own", "joined", "block")
+    return narrow.repartition("meeting").sortWithinPartitions("meeting", "joined", "node").mapInArrow(search, "a long, b long")
 
 
-def exact_links(contents: DataFrame, groups: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Links (``a``, ``b``) that connect all texts of a group whose sets of shingles have ``similarity`` or more.
+def near_components(prints: DataFrame, name: Column, links: DataFrame) -> DataFrame:
+    """(``node``, ``first``): the least ``name``, an expression over ``prints``, in the component of every node.
 
-    ``contents`` is (``node``, ``_text``), copies included; ``groups`` (``node``, ``root``). Texts in no group aren't read on.
+    ``prints`` has ``node`` and is read more than once; ``links`` join nodes. Rows of one node belong together.
     """
-    sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
-    members = look_up(groups, sizes, ["root"])
-    found = look_up(contents, members, ["node"]).dropDuplicates(["node"])
-    met = _meetings(found, ["root"]).select("meeting", "node", "_text")
-
-    def linked(table: pa.Table) -> list[tuple[int, int]]:
-        return _exact_forest([shingles_of(x or "", words) for x in table.column("_text").to_pylist()], similarity)
-
-    return _searched(met, linked)
-
-
-def near_components(prints: DataFrame, key: str, links: DataFrame) -> DataFrame:
-    """Add ``component_id``, the smallest ``key`` that ``links`` between ``node`` values reach.
-
-    ``prints`` has ``key`` and ``node``, may have more columns, and is read more than once. Rows of one node belong together. Null keys
-    are kept but never name a component (one of null keys alone has a null name); repeated rows are kept.
-    """
-    distinct = written(prints.groupBy("node").agg(F.min(key).alias("_least")), "nodes")
+    distinct = written(prints.groupBy("node").agg(F.min(name).alias("_least")), "nodes")
     roots = components(links).withColumnRenamed("node", "_node")
     rooted = distinct.join(roots, F.col("node") == F.col("_node"), "left").select(
         "node", "_least", F.coalesce("root", "node").alias("_root")
     )
-    named = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    of_node = look_up(rooted.select("node", "_root"), named, ["_root"])
-    return look_up(prints, of_node, ["node"])
+    named = rooted.groupBy("_root").agg(F.min("_least").alias("first"))
+    return look_up(rooted.select("node", "_root"), named, ["_root"]).select("node", "first")
+
+
+def _linked(made: DataFrame, radius: int) -> DataFrame:
+    distinct = written(made.select("node", F.col("node").alias("fingerprint")).distinct(), "prints")
+    return similar_links(distinct, radius)
 
 
 def near_duplicates(rows: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
     """``key``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row.
 
     Fingerprints of at most ``radius`` differing bits are linked, equal ones and those of texts without words too; a
-    component is named by its smallest key. Null texts are empty. Null keys, repeated rows: see ``near_components``.
-    An empty table gives no rows.
+    component is named by its smallest key. Null texts are empty. Null keys are kept but never name a component (one of null
+    keys alone has a null name); repeated rows are kept. Long texts are hashed whole, one at a time. An empty table gives no
+    rows; other columns aren't read, whatever their names.
     """
 
     def measure(content: str) -> tuple[int, ...]:
         return (simhash(content, words),)
 
     made = written(fingerprints(rows, key, text, ("node",), measure), "fingerprints")
-    distinct = written(made.select("node", F.col("node").alias("fingerprint")).distinct(), "prints")
-    found = near_components(made, key, similar_links(distinct, radius))
-    return found.select(key, F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
+    found = look_up(made, near_components(made, F.col(key), _linked(made, radius)), ["node"])
+    return found.select(key, F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id"))
 
 
-def keep_one_each(
-    rows: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    words: int = 5,
-    radius: int = 7,
-    most: int = 26,
-    segments: int | None = None,
-    similarity: float = 0.8,
-) -> DataFrame:
-    """One row of each group of near duplicates: that with the smallest key, of equal keys the smallest digest.
-
-    Two texts are linked if their sets of hashed shingles of ``words`` words share ``similarity`` of their union. Candidates
-    have SimHash fingerprints of their distinct words that meet within ``radius`` bits, or a common band of minima, and
-    differ in at most ``most`` of 128 one-bit minima, where similarity 0.8 gives 13 on average and 0.5 gives 32: of pairs
-    at 0.8 about one in ten thousand is missed. Equal texts are one. Digests pick the rows, and only candidates' texts
-    are compared. Of rows repeated whole one stays; a null key comes after all others; a null text is empty, and all such
-    form one group. The number of ``segments`` follows from the number of texts unless given, and changes the work only.
+def keep_one_each(rows: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
+    """One row of each component of ``near_duplicates``, with all its columns: that with the smallest key.
+
+    Rows of equal keys are told apart, and the choice among them is made, by a hash of all columns, so it doesn't depend on the
+    order of rows; of rows repeated whole one stays. A null key comes after all others. Null texts are empty, and they form
+    one component with all texts of fingerprint zero. An empty table stays empty; columns of any name are kept as they are.
     """
-    content = F.coalesce(F.col(text), F.lit(""))
-    digest = F.md5(content.cast("binary"))
-    extra = {"_digest": digest, "node": F.xxhash64(digest)}
+    content = [F.to_json(F.struct(c)) if "map<" in kind else F.col(c) for c, kind in rows.dtypes]
+    mark = {"_mark": F.xxhash64(*content), "_mark2": F.xxhash64(F.lit(2), *content)}
 
     def measure(content: str) -> tuple[int, ...]:
-        least = minima(shingles_of(content, words))
-        return (word_set_print(content), *one_bit_minima(least).tolist(), *bands_of(least))
-
-    sketch, bands = ("sketch_0", "sketch_1"), tuple(f"band_{i}" for i in range(BANDS))
-    made = written(fingerprints(rows, key, text, ("fingerprint", *sketch, *bands), measure, extra), "fingerprints")
-    distinct = written(made.select("node", "fingerprint", *sketch, *bands).dropDuplicates(["node"]), "prints")
-    segments = segments or segments_for(distinct.count(), radius)
-    distinct_nodes = made.select(key, "node", "_digest")
-    candidates = components(similar_links(distinct, radius, segments, sketch, most, bands))
-    contents = rows.select(F.xxhash64(digest).alias("node"), F.col(text).alias("_text"))
-    links = exact_links(contents, written(candidates, "candidates"), words, similarity)
-    roots = components(links).withColumnRenamed("node", "_node")
-    # The first row of every text, and then of every group of texts.
-    first = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), "_digest")
-    of_text = distinct_nodes.groupBy("node").agg(F.min(first).alias("_first"))
-    grouped = of_text.join(roots, F.col("node") == F.col("_node"), "left").select(F.coalesce("root", "node").alias("_root"), "_first")
-    kept = grouped.groupBy("_root").agg(F.min("_first").alias("_first"))
-    kept = kept.select(F.col("_first.key").alias("_key"), F.col("_first._digest").alias("_kept"))
-    mark = unused(rows, "_mark")
-    marked = rows.withColumn(mark, digest)
-    same = marked[key].eqNullSafe(kept["_key"]) & (marked[mark] == kept["_kept"])
-    return marked.join(kept, same, "left_semi").dropDuplicates([key, mark]).drop(mark)
+        return (simhash(content, words),)
+
+    made = written(fingerprints(rows, key, text, ("node",), measure, mark), "fingerprints")
+    first = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), *mark)
+    kept = near_components(made, first, _linked(made, radius)).select("first.*").distinct()
+    one, two = (unused(rows, n) for n in ("_one", "_two"))
+    kept = kept.select(F.col("_mark").alias(one), F.col("_mark2").alias(two))
+    marked = rows.withColumns({one: mark["_mark"], two: mark["_mark2"]})
+    return marked.join(kept, [one, two]).dropDuplicates([one, two]).drop(one, two)

@@ -5,12 +5,17 @@ the others revisit it. Every task streams its rows into archive files of its own
 returns their names, so files of lost or repeated attempts are never listed and never read.
 
 Reading: one task per archive walks through its members with incremental decompression, frames each
-record by its content length, and verifies block and payload digests; it holds one chunk at a time.
+record by its content length, and verifies block and payload digests; it holds one chunk at a time. Records of any type
+and from any writer are read: HTTP heads are looked for where the content type says so, digests may be of any algorithm that
+hashlib knows, in base 16 or 32, and may be missing, and ids that aren't pages of ours have no page number.
 """
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -37,8 +42,9 @@ def _record_id(page: int | None) -> str:
 
 
 def _page_of(record_id: str) -> int | None:
-    number = record_id.strip("<>").rpartition(":")[2]
-    return None if number == "null" else int(number)
+    """The page of a record id of ours; ids of other forms have none."""
+    found = re.fullmatch(r"<urn:page:(-?[0-9]+)>", record_id)
+    return int(found[1]) if found else None
 
 
 def record(page: int | None, url: str | None, payload: bytes, digest: str, kind: str, refers_to: int | None) -> bytes:
@@ -155,32 +161,68 @@ def read_records(stream) -> Iterator[dict]:
             yield found
 
 
+class Digest:
+    """A labelled digest as records state it, and what the content gives."""
+
+    def __init__(self, stated: str | None):
+        name, _, value = (stated or "").partition(":")
+        known = name.lower().replace("-", "") in {"md5", "sha1", "sha256", "sha512"}
+        self.name = name.lower().replace("-", "") if known and value else None
+        self.value = value.strip()
+        self.hash = hashlib.new(self.name) if self.name else None
+
+    def update(self, part: bytes) -> None:
+        if self.hash:
+            self.hash.update(part)
+
+    def stated(self) -> bytes | None:
+        """The stated digest, from base 16 or 32; null if it is neither."""
+        if not self.hash:
+            return None
+        try:
+            if len(self.value) == 2 * self.hash.digest_size:
+                return bytes.fromhex(self.value)
+            return base64.b32decode(self.value.upper() + "=" * (-len(self.value) % 8))
+        except (ValueError, binascii.Error):
+            return None
+
+    def differs(self) -> bool:
+        """Whether something is stated that the content doesn't give."""
+        return self.hash is not None and self.stated() != self.hash.digest()
+
+
 def _record_of(members: Members) -> dict:
     """The record in the member at hand."""
     lines = members.head().decode("utf-8", "replace").split("\r\n")
-    fields = dict(line.split(": ", 1) for line in lines[1:] if ": " in line)
-    if not lines[0].startswith("WARC/") or not fields.get("Content-Length", "").isdigit():
+    pairs = (line.partition(":") for line in lines[1:])
+    fields = {name.strip().lower(): value.strip() for name, colon, value in pairs if colon}
+    if not lines[0].startswith("WARC/") or not fields.get("content-length", "").isdigit():
         raise Damaged("not a WARC record")
-    size = int(fields["Content-Length"])
-    http = members.head()
-    if len(http) > size:
-        raise Damaged("a record's content length ends within its HTTP header")
-    block, payload, found = hashlib.sha256(http), hashlib.sha256(), 0
-    for part in members.take(size - len(http)):
+    block, payload = Digest(fields.get("warc-block-digest")), Digest(fields.get("warc-payload-digest"))
+    within = not fields.get("content-type", "").lower().startswith("application/http")
+    digest, found, head = hashlib.sha256(), 0, b""
+    for part in members.take(int(fields["content-length"])):
         block.update(part)
+        if not within:
+            head += part
+            end = head.find(b"\r\n\r\n")
+            if end < 0:
+                continue
+            within, part = True, head[end + 4 :]
         payload.update(part)
+        digest.update(part)
         found += len(part)
     if members.rest() != b"\r\n\r\n":
         raise Damaged("no end of record where its content length puts it")
-    problem = None
-    if fields.get("WARC-Block-Digest") != f"sha256:{block.hexdigest()}":
-        problem = "block digest"
-    digest = fields.get("WARC-Payload-Digest", "").removeprefix("sha256:")
-    if fields.get("WARC-Type") == "revisit":
-        found = int(fields.get("X-Payload-Length", 0))
-    elif digest != payload.hexdigest():
+    problem = "block digest" if block.differs() else None
+    shown = digest.hexdigest()
+    if fields.get("warc-type") == "revisit":  # the payload lies elsewhere
+        length = fields.get("x-payload-length", "")
+        found = int(length) if length.isdigit() else None
+        shown = stated.hex() if payload.name == "sha256" and (stated := payload.stated()) else None
+    elif payload.differs():
         problem = problem or "payload digest"
-    return {"fields": fields, "payload_bytes": found, "payload_digest": digest, "problem": problem}
+    return {"fields": fields, "payload_bytes": found, "payload_digest": shown, "problem": problem}
 
 
 def with_record_types(pages: DataFrame, smallest: int = 100) -> DataFrame:
@@ -212,8 +254,9 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
             columns = [batch.column(n).to_pylist() for n in ("page_id", "url", "payload_digest", "record_type", "refers_to")]
             for html, page, url, digest, kind, first in zip(texts(batch, "html"), *columns, strict=True):
                 if out is None:
+                    # Records are compressed one by one, not the stream, as the name would make the file system do.
                     name, records, size = f"pages-{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = system.open_output_stream(f"{base}/{name}")
+                    out = system.open_output_stream(f"{base}/{name}", compression=None)
                 packed = record(page, url, html.encode("utf-8", "surrogatepass"), digest, kind, first)
                 out.write(packed)
                 records, size = records + 1, size + len(packed)
@@ -233,29 +276,33 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
-    """Every record of the archives in column ``path``: ids, sizes, digests, types and ``problem`` (null if sound)."""
+    """Every record of the archives in column ``path``: ids, sizes, digests, types and ``problem`` (null if sound).
+
+    ``archives`` is read twice. Every archive is read by a task of its own.
+    """
     schema = (
-        "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, problem string"
+        "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string,"
+        " record_id string, problem string"
     )
 
     def rows_of(path: str) -> Iterator[tuple]:
         system, place = fs.FileSystem.from_uri(path)
-        with system.open_input_stream(place) as stream:
+        with system.open_input_stream(place, compression=None) as stream:
             for found in read_records(stream):
                 fields = found["fields"]
-                first = fields.get("WARC-Refers-To")
                 yield (
-                    _page_of(fields["WARC-Record-ID"]) if "WARC-Record-ID" in fields else None,
+                    _page_of(fields.get("warc-record-id", "")),
                     found["payload_bytes"],
                     found["payload_digest"],
-                    fields.get("WARC-Type"),
-                    _page_of(first) if first else None,
-                    fields.get("WARC-Target-URI"),
+                    fields.get("warc-type"),
+                    _page_of(fields.get("warc-refers-to", "")),
+                    fields.get("warc-target-uri"),
+                    fields.get("warc-record-id"),
                     found["problem"] and f"{path}: {found['problem']}",
                 )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = pa.schema([(n, pa.int64() if k == "long" else pa.string()) for n, k in (c.split() for c in schema.split(", "))])
+        kinds = pa.schema([(n, pa.int64() if k == "long" else pa.string()) for n, k in (c.split() for c in schema.split(","))])
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 held = []
@@ -266,7 +313,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
                         held = []
                 yield _batch(held, kinds)
 
-    return archives.select("path").repartition("path").mapInArrow(read, schema)
+    # A number of partitions, unlike a key alone, is kept: paths are few bytes, which would else be merged into one task.
+    return archives.select("path").repartition(max(1, archives.count())).mapInArrow(read, schema)
 
 
 def _batch(rows: list[tuple], kinds: pa.Schema) -> pa.RecordBatch:
@@ -277,8 +325,8 @@ def _batch(rows: list[tuple], kinds: pa.Schema) -> pa.RecordBatch:
 def round_trip(spark: SparkSession, pages: DataFrame, smallest: int = 100) -> DataFrame:
     """Write all (page_id, url, html) as archives and return what reading these finds.
 
-    Null html is an empty payload, a null url an empty one; null ids stay null; an empty table gives no
-    rows; other columns aren't read.
+    Null html is an empty payload, a null url an empty one; null ids stay null; repeated rows are records each; long payloads
+    are written and read whole, a chunk at a time when read; an empty table gives no rows; other columns aren't read.
     """
     narrow = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     archives = write_archives(with_record_types(narrow, smallest), fresh_path(spark, "warc"))

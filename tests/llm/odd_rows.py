@@ -62,5 +62,7 @@ def vector_rows():
     rows = [(i, [draw.uniform(-1, 1) for _ in range(8)], 0) for i in range(320)]
     rows += [(400 + i, rows[7][1], 0) for i in range(25)]  # ties
     rows += [(500, None, 0), (600, [1.0, None] + [0.0] * 6, 0), (700, [float("nan")] * 8, 0), (801, [float("inf")] * 8, 0)]
-    rows += [(900, [0.5, 0.5, 0.5], 0), (901, [0.1, 0.2, 0.3], 0), (None, [0.0] * 8, 0), rows[5], (1000, [], 0)]
+    rows += [(900, [0.5, 0.5, 0.5], 0), (901, [0.1, 0.2, 0.3], 0), (None, [0.0] * 8, 0), rows[5], (1000, [], 0), (1001, [], 0)]
+    # Repeated keys, of queries and others, with equal and with different vectors.
+    rows += [rows[200], (200, rows[9][1], 0), (77, rows[100][1], 0), (77, [0.9] * 8, 0), (77, [0.9] * 8, 0)]
     return rows
