@@ -2,6 +2,10 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns the next docs,
 which ``run`` writes as a Parquet table in the shared folder and reads again.
+
+All stages take null and empty texts as texts without words, tokens or personal data, keep null keys, treat repeated rows each on its
+own (near duplicates keep one of them), take long texts whole, keep columns of any name as they are, and return no rows
+for no rows. The docstrings of the operators that they call say more.
 """
 
 from __future__ import annotations
@@ -10,6 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cobasket.llm import mixing, packing, personal_data, simhash, toxicity
+from cobasket.llm.names import unused
 from cobasket.llm.storage import written
 
 
@@ -20,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near duplicates."""
+    """One document of every group that SimHash links by at most three bits of three-word shingles."""
     return simhash.keep_one_each(docs)
 
 
@@ -32,7 +37,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out at random so that sources get their target weights."""
-    return mixing.mix(docs).select(*docs.columns)
+    helpers = unused(docs, "copy"), unused(docs, "shuffle_key")
+    return mixing.mix(docs, copy=helpers[0], shuffle_key=helpers[1]).drop(*helpers)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
