@@ -32,8 +32,8 @@ GROUPS, DEPTH = 16, 3
 # Odd multipliers of the minima, made from a fixed seed, and hashes taken together.
 MULTIPLIERS = np.random.default_rng(12).integers(0, 1 << 63, 2 * GROUPS * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 STEP = 1024
-# Shingles per block of a cluster.
-VOLUME = 1 << 20
+# Most shingles per block of a cluster, and blocks that a cluster of less is cut into, to be searched by several tasks.
+VOLUME, BLOCKS = 1 << 20, 12
 
 
 def shingle_set(text: str, words: int = 4) -> np.ndarray:
@@ -133,6 +133,11 @@ def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _spread(met: DataFrame) -> DataFrame:
+    """Meetings over all shuffle partitions: they are few bytes and much work, so partitions shouldn't be merged by bytes."""
+    return met.repartition(int(met.sparkSession.conf.get("spark.sql.shuffle.partitions")), "meeting")
+
+
 def neighbours(members: DataFrame) -> DataFrame:
     """(``node``, ``meetings`` of (``first``, ``part``)): where a candidate meets the neighbour that most of its tables begin with.
 
@@ -181,47 +186,56 @@ def links_to_neighbours(contents: DataFrame, words: int, percent: int) -> DataFr
             yield _links(found)
             found = []
 
-    placed = met.repartition("meeting").sortWithinPartitions("meeting", (F.col("node") != F.col("first")).cast("int"))
+    placed = _spread(met).sortWithinPartitions("meeting", (F.col("node") != F.col("first")).cast("int"))
     return placed.mapInArrow(compare, "a long, b long")
 
 
 def search(sets: list[np.ndarray], nodes: np.ndarray, roots: np.ndarray, blocks: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Links between members of different ``roots`` until no unjoined pair is left to compare.
 
-    With two ``blocks`` only pairs across them are compared. What is rejected is compared with all others still.
+    With two ``blocks`` only pairs across them are compared. What is rejected is compared with all others still. An index of
+    the sets that hold each shingle counts what one set shares with all others at once.
     """
     _, ids = np.unique(np.concatenate(sets), return_inverse=True)
     sizes = np.array([len(x) for x in sets])
     begins = np.cumsum(sizes) - sizes
-    marks = np.zeros(int(ids.max()) + 1, dtype=np.int64)
-    across = blocks.min() != blocks.max()
+    holders = np.repeat(np.arange(len(sets)), sizes)[np.argsort(ids, kind="stable")]
+    many = np.bincount(ids)
+    first = np.cumsum(many) - many
+    across = bool((blocks != blocks[0]).any())
     _, group = np.unique(roots, return_inverse=True)
-    left = np.ones(int(group.max()) + 1, dtype=bool)
-    found = []
+    order = np.argsort(group, kind="stable")
+    edges = np.searchsorted(group[order], np.arange(int(group.max()) + 2))
+    left, waiting, found = np.ones(len(edges) - 1, dtype=bool), len(edges) - 1, []
     for seed in range(len(left)):
         if not left[seed]:
             continue
-        left[seed] = False
-        reached = np.flatnonzero(group == seed).tolist()
-        while reached and left.any():
+        left[seed], waiting = False, waiting - 1
+        reached = order[edges[seed] : edges[seed + 1]].tolist()
+        while reached and waiting:
             at = reached.pop()
-            others = left[group] & ((blocks != blocks[at]) if across else True)
-            least, most = np.minimum(sizes, sizes[at]), np.maximum(sizes, sizes[at])
-            others = np.flatnonzero(others & (100 * least >= percent * most))
-            if not len(others):
-                continue
-            marks[ids[begins[at] : begins[at] + sizes[at]]] = 1
-            for other in others.tolist():
-                if left[group[other]]:
-                    shared = int(marks[ids[begins[other] : begins[other] + sizes[other]]].sum())
-                    if 100 * shared >= percent * (sizes[at] + sizes[other] - shared):
-                        found.append((int(nodes[at]), int(nodes[other])))
-                        left[group[other]] = False
-                        reached.extend(np.flatnonzero(group == group[other]).tolist())
-            marks[ids[begins[at] : begins[at] + sizes[at]]] = 0
+            mine = ids[begins[at] : begins[at] + sizes[at]]
+            mine = mine[many[mine] > 1]
+            shared = np.bincount(holders[_ranges(first[mine], many[mine])], minlength=len(sets))
+            near = left[group] & (100 * shared >= percent * (sizes[at] + sizes - shared))
+            if across:
+                near &= blocks != blocks[at]
+            others = np.flatnonzero(near)
+            if len(others):
+                joined, one = np.unique(group[others], return_index=True)
+                left[joined], waiting = False, waiting - len(joined)
+                found.extend((int(nodes[at]), int(nodes[x])) for x in others[one].tolist())
+                for g in joined.tolist():
+                    reached.extend(order[edges[g] : edges[g + 1]].tolist())
     return found
 
 
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``first`` and the ``count - 1`` numbers after it, for all, one after the other."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)
+
+
 def links_between_groups(members: DataFrame, roots: DataFrame, contents: DataFrame, words: int, percent: int, volume: int = VOLUME) -> DataFrame:
     """Links (``a``, ``b``) that connect all similar sets in tables whose members have different ``roots``."""
     rooted = members.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
@@ -233,7 +247,8 @@ def links_between_groups(members: DataFrame, roots: DataFrame, contents: DataFra
     nodes = mixed.select("node", F.col("root").alias("joined")).distinct()
     found = look_up(contents.select("node", "text"), look_up(nodes, clusters, ["node"]), ["node"])
     sizes = look_up(clusters, contents.select("node", "n_shingles"), ["node"])
-    sizes = sizes.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / float(volume)).cast("long").alias("blocks"))
+    whole, fine = (F.ceil(F.sum("n_shingles") / float(v)) for v in (volume, volume / 16))
+    sizes = sizes.groupBy("cluster").agg(F.greatest(whole, F.least(fine, F.lit(BLOCKS))).cast("long").alias("blocks"))
     met = look_up(found, sizes, ["cluster"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     meeting = F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other")).alias("meeting")
@@ -245,7 +260,7 @@ def links_between_groups(members: DataFrame, roots: DataFrame, contents: DataFra
                 columns = (table.column(n).to_numpy() for n in ("node", "joined", "block"))
                 yield _links(search(sets, *columns, percent))
 
-    placed = met.select(meeting, "node", "joined", "block", "text").repartition("meeting").sortWithinPartitions("meeting", "node")
+    placed = _spread(met.select(meeting, "node", "joined", "block", "text")).sortWithinPartitions("meeting", "node")
     return placed.mapInArrow(compare, "a long, b long")
 
 

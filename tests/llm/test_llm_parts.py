@@ -249,8 +249,9 @@ class TestPacking:
 
 
 class TestComponents:
-    @pytest.mark.parametrize("seed", [1, 2])
-    def test_random_graphs(self, spark, seed):
+    @pytest.mark.parametrize(("seed", "part"), [(1, 1 << 20), (2, 60)])
+    def test_random_graphs(self, spark, seed, part, monkeypatch):
+        monkeypatch.setattr("cobasket.llm.components.PART", part)
         draw = random.Random(seed)
         links = [(draw.randint(-300, 300), draw.randint(-300, 300)) for _ in range(260)]
         links += [(1000 + i, 1001 + i) for i in range(70)] + [(5000, 6000 + i) for i in range(50)] + [(7, 7), (None, 3)]
