@@ -7,12 +7,17 @@ Counting pairs is the one quadratic step, so it is laid out with care:
    and every pair of blocks becomes its own basket, so no task holds a whole long link.
 2. *Stripes.* Each item of a basket is sent with the array of items behind it, instead of one row
    per pair. The key of a stripe is the rarer item of all its pairs, so popular items hardly ever
-   act as keys; the ones that do are spread over several tasks by a hash of link and blocks.
+   act as keys; the ones that do are spread over several tasks by a hash of link and blocks, so that no
+   task unrolls more than a bounded number of pairs of one item.
 3. *Counting.* Stripes of one key meet in one place, are unrolled and counted there. Keys that were
    not spread are complete at once and meet the thresholds before anything else moves; only the
    survivors and the partial counts of spread keys are exchanged again.
 4. *Frequencies* join the surviving pairs; they don't travel with the stripes.
 
+Where hardly any pair reaches the threshold, ``buckets`` takes the place of 2 and 3: pairs are first counted by a hash
+into so many buckets, and only pairs of buckets that reach it are counted one by one. Buckets only count too much, so
+nothing is lost, and of the pairs just the survivors' partial counts are exchanged.
+
 Weights are added up as integers, so neither order nor layout can change them.
 """
 
@@ -22,9 +27,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cobasket.operators.lookup import look_up
 
-# Items of a link per block, and links of an item per stripe group.
+# Items of a link per block; links and pairs of an item per stripe group.
 BLOCK = 1024
 LINKS_PER_GROUP = 100_000
+PAIRS_PER_GROUP = 10_000_000
 
 # A weight is a pair of integers: billionths, and billionths of those. Their sums are exact.
 UNIT = 1_000_000_000
@@ -48,11 +54,16 @@ def _passes(min_amf: float, min_nmf: float) -> Column:
     return (F.col("amf") >= F.lit(float(min_amf))) & (_nmf() >= F.lit(float(min_nmf)))
 
 
-def _split_long_links(rows: DataFrame, keys: list[str], block: int) -> DataFrame:
-    """Copy the rows of long links into one group per pair of item blocks ``(lo, hi)``."""
-    length = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    n_blocks = F.greatest(F.ceil(length / F.lit(float(block))), F.lit(1).cast("long"))
-    rows = rows.withColumn("n_blocks", n_blocks)
+def _split_long_links(rows: DataFrame, keys: list[str], block: int, counted: DataFrame | None = None) -> DataFrame:
+    """Copy the rows of long links into one group per pair of item blocks ``(lo, hi)``.
+
+    Links are counted map-side, in ``counted`` (their rows or more) or in the rows themselves, and only those of more than
+    one block are looked up, so no task gathers a link before it is cut.
+    """
+    length = (rows if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("length"))
+    rows = look_up(rows, length.filter(F.col("length") > block), keys, "left")
+    n_blocks = F.coalesce(F.ceil(F.col("length") / F.lit(float(block))), F.lit(1).cast("long"))
+    rows = rows.withColumn("n_blocks", n_blocks).drop("length")
     own = F.pmod(F.xxhash64("item"), F.col("n_blocks"))
     rows = rows.select(
         "*", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("other")
@@ -69,18 +80,23 @@ def count_pairs(
     longest_link: int | None = None,
     block: int = BLOCK,
     links_per_group: int = LINKS_PER_GROUP,
+    pairs_per_group: int = PAIRS_PER_GROUP,
+    buckets: int = 0,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Count the item pairs of ``(client, link, item, freq, ufrq)`` rows and apply the thresholds.
 
     ``item_freq`` has the (client, item, freq) that surviving pairs are given. ``link_keys`` may name a
     coarser partitioning that the rows already have (the buyer of an order). ``longest_link`` is a
-    known bound of the items of a link; up to ``block`` the splitting of long links is left out of the plan.
+    known bound of the items of a link; up to ``block`` the splitting of long links is left out of the plan. ``counted`` are
+    rows in which the links are at least as long, for counting their lengths. ``buckets``, if any, is the number of hash
+    buckets in which pairs are counted first; a table of at most so many numbers is broadcast.
     """
     keys = list(link_keys)
     member = [F.col("item")]
     split = longest_link is None or longest_link > block
     if split:
-        rows = _split_long_links(rows, keys, block)
+        rows = _split_long_links(rows, keys, block, counted)
         keys += ["lo", "hi"]
         # The window alone would keep all blocks of a link together in the partitioning of the input.
         rows = rows.repartition(*keys)
@@ -99,10 +115,17 @@ def count_pairs(
         others = F.filter(behind, lambda b: b["own"] != F.col("own"))
         behind = F.when(F.col("lo") == F.col("hi"), behind).otherwise(others)["item"]
 
-    # A link of many blocks gives an item as many stripes.
+    passes = _passes(min_amf, min_nmf)
+    if buckets:
+        pairs = baskets.select("client", F.col("item").alias("a"), *_weight(F.col("ufrq")), F.explode(behind).alias("b"))
+        return _with_frequencies(_count_in_buckets(pairs.filter(F.col("a") != F.col("b")), buckets, min_amf, passes), item_freq)
+
+    # A link of many blocks gives an item as many stripes, each with the items of two blocks at most.
     stripes_per_link = -(-longest_link // block) if split and longest_link else 1
+    longest_stripe = 2 * block if split else longest_link
     load = F.col("freq") * F.lit(float(stripes_per_link))
-    groups = F.greatest(F.ceil(load / F.lit(float(links_per_group))), F.lit(1).cast("long"))
+    fine = F.greatest(load / F.lit(float(links_per_group)), load * F.lit(float(longest_stripe)) / F.lit(float(pairs_per_group)))
+    groups = F.greatest(F.ceil(fine), F.lit(1).cast("long"))
     part = F.pmod(F.xxhash64("link", *(("lo", "hi") if split else ())), groups)
     stripes = baskets.select(
         "client",
@@ -112,8 +135,17 @@ def count_pairs(
         *_weight(F.col("ufrq")),
         behind.alias("behind"),
     ).repartition("client", "a", "part")
-    edges = _count_stripes(stripes, _passes(min_amf, min_nmf))
-    return _with_frequencies(edges, item_freq)
+    return _with_frequencies(_count_stripes(stripes, passes), item_freq)
+
+
+def _count_in_buckets(pairs: DataFrame, buckets: int, min_amf: float, passes: Column) -> DataFrame:
+    """Count the pairs whose hash bucket holds enough pairs for one of them to reach ``min_amf``."""
+    pairs = pairs.withColumn("bucket", F.pmod(F.xxhash64("client", "a", "b"), F.lit(buckets)))
+    full = pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= F.lit(float(min_amf)))
+    # At most ``buckets`` numbers.
+    kept = pairs.join(F.broadcast(full.select("bucket")), "bucket", "left_semi")
+    sums = [F.sum(c).alias(c) for c in ("whole", "rest")]
+    return kept.groupBy("client", "a", "b").agg(F.count(F.lit(1)).alias("amf"), *sums).filter(passes)
 
 
 def _count_stripes(stripes: DataFrame, passes: Column) -> DataFrame:
@@ -157,7 +189,7 @@ def cooccurrences(
     rows = interactions.select("client", "link", "item")
     rows = look_up(rows, link_freq.select("client", "link", "ufrq"), ["client", "link"])
     rows = look_up(rows, item_freq.select("client", "item", "freq"), ["client", "item"])
-    return count_pairs(rows, item_freq, min_amf, min_nmf, **layout)
+    return count_pairs(rows, item_freq, min_amf, min_nmf, counted=interactions, **layout)
 
 
 def mirrored(edges: DataFrame) -> DataFrame:

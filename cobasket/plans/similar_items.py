@@ -68,6 +68,7 @@ def _edges(interactions: DataFrame, products: DataFrame, buyer: str, tuning: Tun
         tuning.min_nmf,
         link_keys=tuple(dict.fromkeys(("client", buyer, "link"))),
         longest_link=cap,
+        buckets=tuning.pair_buckets,
     )
 
 

@@ -10,7 +10,8 @@ class Tuning:
     """Thresholds and score parameters of one run.
 
     ``min_amf`` and ``min_nmf`` stay doubles: a pair count is compared with 2.1, which means
-    three links or more.
+    three links or more. ``pair_buckets``, a number of hash buckets, is worth setting where few of many pairs reach
+    ``min_amf``; it changes the work alone.
     """
 
     alpha: float
@@ -19,6 +20,7 @@ class Tuning:
     min_nmf: float = 0.4
     max_similar: int = 40
     max_user_events: int = 1000
+    pair_buckets: int = 0
 
     def with_overrides(self, **overrides) -> Tuning:
         """Return a copy with some fields replaced; text values are parsed to the field's type."""

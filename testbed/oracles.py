@@ -171,6 +171,7 @@ ORACLES: dict[str, str] = {
     ),
     "cooccurrence": _sql(_EDGE_SELECT + "edges", *_to_edges("purchase")),
     "cooccurrence_order": _sql(_EDGE_SELECT + "edges", *_to_edges("order")),
+    "cooccurrence_order_buckets": _sql(_EDGE_SELECT + "edges", *_to_edges("order")),
     "mirror": _sql(_EDGE_SELECT + "mirrored", *_to_edges("order"), _MIRRORED),
     "asl_score": _sql(
         f"SELECT client, item_ref, item_rec, {_micro('asl')} FROM scored", *_to_ranked("purchase")

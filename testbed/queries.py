@@ -37,7 +37,7 @@ from cobasket.plans.similar_items import (
 from cobasket.schemas import schema_of
 from cobasket.sources.dumps import read_catalog, read_json, read_suggestions, write_json
 from cobasket.sources.snapshots import latest_snapshot, trailing_months
-from cobasket.tuning import PURCHASE_TUNING
+from cobasket.tuning import ORDER_TUNING, PURCHASE_TUNING
 from testbed.binding import nested_orders, order_lines, products, table
 from testbed.folders import shared_path
 
@@ -117,6 +117,11 @@ def cooccurrence_order(spark, sf_dir):
     return _edge_columns(order_edges(products(spark, sf_dir), order_lines(spark, sf_dir)))
 
 
+def cooccurrence_order_buckets(spark, sf_dir):
+    tuning = ORDER_TUNING.with_overrides(pair_buckets=1 << 18)
+    return _edge_columns(order_edges(products(spark, sf_dir), order_lines(spark, sf_dir), tuning))
+
+
 def mirror(spark, sf_dir):
     return _edge_columns(mirrored(order_edges(products(spark, sf_dir), order_lines(spark, sf_dir))))
 
@@ -272,6 +277,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "frequency_pruning": frequency_pruning,
     "cooccurrence": cooccurrence,
     "cooccurrence_order": cooccurrence_order,
+    "cooccurrence_order_buckets": cooccurrence_order_buckets,
     "mirror": mirror,
     "asl_score": asl_score,
     "rank_topk": rank_topk,

@@ -19,6 +19,10 @@ LAYOUTS = [
     {"block": 1},
     {"block": 7, "links_per_group": 3},
     {"longest_link": 60, "links_per_group": 1},
+    {"longest_link": 60, "pairs_per_group": 100},
+    {"block": 7, "buckets": 1},
+    {"longest_link": 60, "buckets": 64},
+    {"buckets": 1 << 18},
 ]
 
 
@@ -162,6 +166,57 @@ def test_rows_are_copied_by_the_length_of_their_own_link(spark):
     assert _split_long_links(long, ["client", "link"], 16).count() == 64 * 4
 
 
+def test_an_item_of_long_baskets_is_spread_by_its_pairs(spark):
+    """50,000 links are few, but not in baskets of 1,000 items."""
+    data = spark.range(50_000).selectExpr(
+        "'c1' AS client", "cast(id AS string) AS link", "explode(array('rare', 'often')) AS item", "if(item = 'rare', 50000L, 60000L) AS freq", "2L AS ufrq"
+    )
+    items = spark.createDataFrame([("c1", "rare", 50_000), ("c1", "often", 60_000)], "client string, item string, freq long")
+    edges = count_pairs(data, items, 0, 0, longest_link=1000)
+    assert as_edges(edges) == {("c1", "often", "rare"): (50_000, 50_000.0, 60_000, 50_000)}
+    few, many = (_parts(spark, data, items, longest_link=n) for n in (100, 1000))
+    assert few == 1 and many == 5
+
+
+def _parts(spark, data, items, **layout):
+    """Distinct parts that the stripes of the rarer item go to, seen in the plan's input of the last count."""
+    seen = []
+    original = type(data).repartition
+
+    def noted(self, *columns):
+        if "part" in columns:
+            seen.append(self.select("part").distinct().count())
+        return original(self, *columns)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(data), "repartition", noted)
+        count_pairs(data, items, 0, 0, **layout)
+    return seen[0]
+
+
+def test_no_window_gathers_a_link_before_it_is_cut(spark):
+    df = spark.createDataFrame(_random_interactions(3), TRIPLES)
+    edges = cooccurrences(df, items_per_link(df), links_per_item(df), 0, 0, block=4)
+    plan = edges._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate explode(sequence", 1)
+    assert "Window" in above and "Window" not in below
+
+
+def test_buckets_keep_rare_pairs_out_of_the_exchange(spark):
+    rng = random.Random(9)
+    data = [("c1", f"u{n}", f"i{i}") for n in range(400) for i in rng.sample(range(3000), 8)]
+    data += [("c1", f"u{n}", item) for n in range(5) for item in ("A", "B")]
+    df = spark.createDataFrame(sorted(set(data)), TRIPLES).cache()
+    given = df, items_per_link(df), links_per_item(df), 2.1, 0
+    expected = rounded(_expected(sorted(set(data)), 2.1, 0))
+    assert ("c1", "A", "B") in expected
+    for buckets in (0, 16, 1 << 16):
+        edges = cooccurrences(*given, buckets=buckets)
+        assert as_edges(edges) == expected
+        plan = edges._jdf.queryExecution().optimizedPlan().toString()
+        assert ("LeftSemi" in plan) == bool(buckets) and ("RepartitionByExpression [client#" in plan or buckets)
+
+
 def test_mirror_swaps_roles_and_frequencies(spark):
     edges = spark.createDataFrame([("c1", "A", "B", 3, 1.5, 4, 5)], EDGE_TYPES)
     assert rows(mirrored(edges)) == [("c1", "A", "B", 3, 1.5, 4, 5), ("c1", "B", "A", 3, 1.5, 5, 4)]
