@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cobasket.operators.lookup import look_up
+from cobasket.operators.membership import possibly_in
 
 # Catalog states of items that may be suggested.
 KEPT_STATUSES = ("AVAILABLE", "UNAVAILABLE")
@@ -61,15 +62,18 @@ def complete(interactions: DataFrame, *columns: str) -> DataFrame:
     return interactions
 
 
-def valid_interactions(interactions: DataFrame, items: DataFrame) -> DataFrame:
+def valid_interactions(interactions: DataFrame, items: DataFrame, catalog_bits: int = 0) -> DataFrame:
     """Distinct interactions whose item is in ``items``; a product listed twice does no harm.
 
     Duplicates go first. That exchange hashes the whole row, so neither a busy link nor a popular
     item gathers in one task, and map-side combining shrinks repeated rows before they move. A small
     catalog is then broadcast and Catalyst moves the semi-join below the exchange; a large one is
     joined by (client, item), where adaptive execution may split a popular item because nothing
-    above depends on that partitioning.
+    above depends on that partitioning. ``catalog_bits``, if any, is the size of a Bloom filter of the
+    items, by which most rows of other items leave ahead of the first exchange.
     """
+    if catalog_bits:
+        interactions = possibly_in(interactions, items, ["client", "item"], catalog_bits)
     valid = look_up(interactions.distinct(), items.select("client", "item"), ["client", "item"], "left_semi")
     return valid.select(*interactions.columns)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from cobasket.plans.similar_items import order_suggestions, purchase_suggestions
 from cobasket.schemas import schema_of
-from cobasket.sources.dumps import output_path, read_json, write_json
+from cobasket.sources.dumps import output_path, read_json, write_json, write_json_by_client
 from cobasket.sources.snapshots import GENERATION_FORMAT, latest_generation_path, month_paths
 from cobasket.tuning import ORDER_TUNING, PURCHASE_TUNING, Tuning
 
@@ -88,12 +88,14 @@ def run_job(
     n_months: int = 1,
     generation: str | None = None,
     dry_run: bool = False,
+    by_client: bool = False,
     **overrides,
 ) -> InputPlan:
     """Compute the suggestions of one mode and write them as a generation.
 
     A dry run stops after resolving paths and schemas. ``overrides`` replace single tunings. The
-    whole run is one lazy plan with one action, the write.
+    whole run is one lazy plan with one action, the write. ``by_client`` lays the output out by client, at the price of
+    counting documents first.
     """
     chosen = _mode(mode)
     tuning = chosen.tuning.with_overrides(**overrides)
@@ -101,5 +103,6 @@ def run_job(
     if not dry_run:
         products = read_json(spark, inputs.catalog_path, inputs.catalog_schema)
         events = read_json(spark, inputs.event_paths, inputs.event_schema)
-        write_json(chosen.suggest(products, events, tuning), inputs.output_path)
+        write = write_json_by_client if by_client else write_json
+        write(chosen.suggest(products, events, tuning), inputs.output_path)
     return inputs

@@ -22,6 +22,7 @@ from cobasket.operators.interactions import (
     with_order_key,
 )
 from cobasket.operators.lookup import look_up
+from cobasket.operators.membership import possibly_in
 from cobasket.operators.ranking import ranked_similar
 from cobasket.tuning import ORDER_TUNING, PURCHASE_TUNING, Tuning
 
@@ -55,8 +56,12 @@ def buyers_within_cap(rows: DataFrame, buyer: str, cap: int) -> DataFrame:
 
 def _edges(interactions: DataFrame, products: DataFrame, buyer: str, tuning: Tuning) -> DataFrame:
     cap = tuning.max_user_events
-    known = complete(interactions, "client", buyer, "item").distinct()
-    freq = item_frequencies(known, sellable_items(products))
+    items = sellable_items(products)
+    known = complete(interactions, "client", buyer, "item")
+    if tuning.catalog_bits:
+        known = possibly_in(known, items, ["client", "item"], tuning.catalog_bits)
+    known = known.distinct()
+    freq = item_frequencies(known, items)
     rows = buyers_within_cap(look_up(known, freq, ["client", "item"]), buyer, cap)
     # A pair shares at most as many links as its rarer item has, and its weight is at most that too.
     enough = max(tuning.min_amf, tuning.min_nmf)

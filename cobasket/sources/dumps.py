@@ -10,12 +10,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from cobasket.operators.lookup import look_up
 from cobasket.schemas import schema_of
 from cobasket.sources.snapshots import latest_generation_path, month_paths
 
 
+# Rows per file of an output by client: a few tens of megabytes of documents.
+ROWS_PER_FILE = 100_000
+
+
 def read_json(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(paths if isinstance(paths, str) else list(paths))
 
@@ -52,9 +57,13 @@ def read_catalog(
 def read_suggestions(
     spark: SparkSession, root: str, algorithm: str, cutoff: date | str | None = None
 ) -> DataFrame:
-    """The latest finished output of an earlier run."""
+    """The latest finished output of an earlier run, in either layout.
+
+    Of an output by client, a filter on ``client`` reads that client's files alone.
+    """
     path = latest_generation_path(spark, root, algorithm, cutoff)
-    return read_json(spark, path, schema_of("algorithm", "suggestions"))
+    schema = schema_of("algorithm", "suggestions")
+    return read_json(spark, path, schema).select(*schema.fieldNames())
 
 
 def output_path(root: str, algorithm: str, generation: str) -> str:
@@ -64,3 +73,20 @@ def output_path(root: str, algorithm: str, generation: str) -> str:
 def write_json(data: DataFrame, path: str) -> None:
     """Write gzip JSON from the executors, replacing what the path holds."""
     data.write.mode("overwrite").option("compression", "gzip").json(path)
+
+
+def write_json_by_client(data: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write gzip JSON with one directory ``client=...`` per client, replacing what the path holds.
+
+    A client's rows are dealt by a hash of the row to as many tasks as files of ``rows_per_file`` rows would hold them, so
+    a large client is written by several tasks and a small one to one file. ``data`` is computed
+    once for the sizes of clients and once for the rows. A null client has a directory of its own.
+    """
+    rows = F.count(F.lit(1))
+    large = data.groupBy("client").agg(F.ceil(rows / F.lit(float(rows_per_file))).alias("_files")).filter(F.col("_files") > 1)
+    dealt = look_up(data, large, ["client"], "left")
+    # Adaptive execution merges small partitions and leaves a key's rows together.
+    dealt = dealt.withColumn("_file", F.pmod(F.xxhash64(*data.columns), F.coalesce(F.col("_files"), F.lit(1).cast("long"))))
+    dealt = dealt.repartition("client", "_file").drop("_file", "_files")
+    writer = dealt.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", 2 * rows_per_file)
+    writer.partitionBy("client").json(path)

@@ -8,7 +8,9 @@ a classic session, not a Connect client.
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 GENERATION_FORMAT = "%Y%m%d-%H%M%S"
 MONTH_FORMAT = "%Y-%m-%d"
 SUCCESS_MARKER = "_SUCCESS"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def month_starts(reference: date, n_months: int) -> list[date]:
@@ -52,6 +55,29 @@ def latest_snapshot(
     return data.filter(F.col(generation) == newest)
 
 
+def partition_values(data: DataFrame, column: str) -> list[str]:
+    """Values of a partition column, ascending, from the names of the files that ``data`` was opened with.
+
+    No file is opened. A null partition is left out.
+    """
+    named = re.compile(rf"/{re.escape(column)}=([^/]*)/")
+    # Names are escaped once as partition values and once more as URLs.
+    found = {unquote(unquote(m[1])) for m in map(named.search, data.inputFiles()) if m}
+    return sorted(found - {NULL_PARTITION})
+
+
+def latest_partition(data: DataFrame, generation: str, cutoff: str | None = None) -> DataFrame:
+    """Rows of the newest partition of ``generation``, optionally not newer than ``cutoff``.
+
+    Unlike :func:`latest_snapshot`, which reads rows to learn which generations there are, this asks the names of
+    the partitions, and the scan is planned with a literal. Values are compared as text, so they should
+    be of one width. Without any match the result is empty.
+    """
+    values = [v for v in partition_values(data, generation) if cutoff is None or v <= cutoff]
+    kind = data.schema[generation].dataType
+    return data.filter(F.col(generation) == F.lit(values[-1]).cast(kind) if values else F.lit(False))
+
+
 def _path(spark: SparkSession, text: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(text)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())

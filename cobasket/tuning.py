@@ -11,7 +11,8 @@ class Tuning:
 
     ``min_amf`` and ``min_nmf`` stay doubles: a pair count is compared with 2.1, which means
     three links or more. ``pair_buckets``, a number of hash buckets, is worth setting where few of many pairs reach
-    ``min_amf``; it changes the work alone.
+    ``min_amf``; ``catalog_bits``, the bits of a Bloom filter of the catalog, where many rows are of items outside a catalog
+    too large to broadcast. Both change the work alone.
     """
 
     alpha: float
@@ -21,6 +22,7 @@ class Tuning:
     max_similar: int = 40
     max_user_events: int = 1000
     pair_buckets: int = 0
+    catalog_bits: int = 0
 
     def with_overrides(self, **overrides) -> Tuning:
         """Return a copy with some fields replaced; text values are parsed to the field's type."""

@@ -154,6 +154,7 @@ ORACLES: dict[str, str] = {
     "explode_purchase": _sql("SELECT client, user_id AS link, item FROM lines", _LINES),
     "explode_order": _sql(f"SELECT client, user_id, {_ORDER_LINK} AS link, item FROM lines", _LINES),
     "valid_events": _sql("SELECT client, link, item FROM valid", *_to_valid("purchase")),
+    "valid_events_by_bloom_filter": _sql("SELECT client, link, item FROM valid", *_to_valid("purchase")),
     "user_freq_purchase": _sql(
         "SELECT client, link, ufrq FROM link_freq", *_to_valid("purchase"), _LINK_FREQ["purchase"]
     ),
@@ -186,6 +187,7 @@ ORACLES: dict[str, str] = {
     "buyorder_topk": _sql(_FLAT_SELECT, *_to_ranked("order")),
     "purchase_dated_run": _sql(_documents("purchase"), *_to_ranked("purchase")),
     "buyorder_dated_run": _sql(_documents("order"), *_to_ranked("order")),
+    "purchase_dated_run_by_client": _sql(_documents("purchase") + " WHERE client = 'BUILDING'", *_to_ranked("purchase")),
     "catalog_snapshot": """SELECT unnest(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY']) AS client,
        CAST(s_suppkey AS VARCHAR) AS product_id,
        CASE WHEN s_suppkey % 10 <= 6 THEN 'AVAILABLE' WHEN s_suppkey % 10 <= 8 THEN 'UNAVAILABLE' ELSE 'REMOVED' END AS status
@@ -200,6 +202,11 @@ WHERE o_orderdate >= TIMESTAMP '1998-05-01 00:00:00' AND o_orderdate < TIMESTAMP
 )
 SELECT generation, o_orderkey FROM dated
 WHERE generation = (SELECT max(generation) FROM dated WHERE m % 6 <> 0 AND generation <= '19980615-000000')""",
+    "latest_partition": """WITH dated AS (
+    SELECT strftime(date_trunc('month', o_orderdate), '%Y%m%d-%H%M%S') AS generation, o_orderkey FROM orders
+)
+SELECT generation, o_orderkey FROM dated
+WHERE generation = (SELECT max(generation) FROM dated WHERE generation <= '19980615-000000')""",
     "json_roundtrip": _sql("SELECT client, user_id AS link, item FROM lines", _LINES),
     "bound": """SELECT event_id, CASE WHEN value >= 0
        THEN CAST(round(ln(1e0 + value) / (1e0 + ln(1e0 + value)) * 1e6) AS BIGINT) END AS b_u

@@ -36,12 +36,13 @@ from cobasket.plans.similar_items import (
 )
 from cobasket.schemas import schema_of
 from cobasket.sources.dumps import read_catalog, read_json, read_suggestions, write_json
-from cobasket.sources.snapshots import latest_snapshot, trailing_months
+from cobasket.sources.snapshots import latest_partition, latest_snapshot, trailing_months
 from cobasket.tuning import ORDER_TUNING, PURCHASE_TUNING
 from testbed.binding import nested_orders, order_lines, products, table
 from testbed.folders import shared_path
 
 PRUNING_CAP = 30
+CATALOG_BITS = 1 << 20
 REFERENCE_DAY = date(1998, 6, 15)
 SNAPSHOT_CUTOFF = "19980615-000000"
 
@@ -75,6 +76,11 @@ def valid_events(spark, sf_dir):
     return _valid(spark, sf_dir, "purchase")
 
 
+def valid_events_by_bloom_filter(spark, sf_dir):
+    interactions = purchase_interactions(order_lines(spark, sf_dir))
+    return valid_interactions(interactions, sellable_items(products(spark, sf_dir)), catalog_bits=CATALOG_BITS)
+
+
 def user_freq_purchase(spark, sf_dir):
     return items_per_link(_valid(spark, sf_dir, "purchase"))
 
@@ -177,12 +183,11 @@ def buyorder_documents(spark, sf_dir):
     return _document_columns(order_suggestions(products(spark, sf_dir), order_lines(spark, sf_dir)))
 
 
-def _dated_inputs(spark: SparkSession, sf_dir: str) -> str:
-    """Catalog and monthly orders as JSON in the layout of a dated run; the folder they are in.
+def _dated_catalog(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Generations of the catalog as JSON in the layout of a dated run.
 
-    The newest generation of the catalog is one that never finished, and holds nothing that is true.
+    The newest one never finished, and holds nothing that is true.
     """
-    root = shared_path(spark, "dated")
     catalog = products(spark, sf_dir)
     write_json(catalog.withColumn("status", F.lit("REMOVED")), f"{root}/products/19980101-000000")
     write_json(catalog, f"{root}/products/19980501-000000")
@@ -190,15 +195,21 @@ def _dated_inputs(spark: SparkSession, sf_dir: str) -> str:
     spark.range(1).select(F.lit("not JSON").alias("value")).write.option(
         "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
     ).text(unfinished)
+
+
+def _dated_inputs(spark: SparkSession, sf_dir: str) -> str:
+    """Catalog and monthly orders as JSON in the layout of a dated run; the folder they are in."""
+    root = shared_path(spark, "dated")
+    _dated_catalog(spark, sf_dir, root)
     month = date(REFERENCE_DAY.year, REFERENCE_DAY.month - 1, 1)
     write_json(nested_orders(spark, sf_dir), f"{root}/buyorder/{month:%Y-%m-%d}")
     return root
 
 
-def _dated_run(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+def _dated_run(spark: SparkSession, sf_dir: str, mode: str, **options) -> DataFrame:
     """Run one mode on dated inputs and read its documents back."""
     root = _dated_inputs(spark, sf_dir)
-    run_job(spark, mode, root, root, f"{root}/outputs", REFERENCE_DAY, generation=SNAPSHOT_CUTOFF)
+    run_job(spark, mode, root, root, f"{root}/outputs", REFERENCE_DAY, generation=SNAPSHOT_CUTOFF, **options)
     return _document_columns(read_suggestions(spark, f"{root}/outputs", MODES[mode].algorithm))
 
 
@@ -210,8 +221,15 @@ def buyorder_dated_run(spark, sf_dir):
     return _dated_run(spark, sf_dir, "buyorder")
 
 
+def purchase_dated_run_by_client(spark, sf_dir):
+    """The output laid out by client, of which one client's documents are read."""
+    return _dated_run(spark, sf_dir, "purchase", by_client=True).filter(F.col("client") == "BUILDING")
+
+
 def catalog_snapshot(spark, sf_dir):
-    return read_catalog(spark, _dated_inputs(spark, sf_dir))
+    root = shared_path(spark, "dated")
+    _dated_catalog(spark, sf_dir, root)
+    return read_catalog(spark, root)
 
 
 def _flat(suggestions: DataFrame) -> DataFrame:
@@ -253,6 +271,15 @@ def latest_snapshot_query(spark, sf_dir):
     return latest_snapshot(orders, "generation", complete, SNAPSHOT_CUTOFF)
 
 
+def latest_partition_query(spark, sf_dir):
+    """Orders partitioned by the month they are of, as generations, of which the newest up to a cutoff is read."""
+    generation = F.date_format(F.trunc("o_orderdate", "month"), "yyyyMMdd-HHmmss")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", generation.alias("generation"))
+    path = shared_path(spark, "generations")
+    orders.repartition("generation").write.partitionBy("generation").parquet(path)
+    return latest_partition(spark.read.parquet(path), "generation", SNAPSHOT_CUTOFF)
+
+
 def json_roundtrip(spark, sf_dir):
     path = shared_path(spark, "orders")
     write_json(nested_orders(spark, sf_dir), path)
@@ -271,6 +298,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "explode_purchase": explode_purchase,
     "explode_order": explode_order,
     "valid_events": valid_events,
+    "valid_events_by_bloom_filter": valid_events_by_bloom_filter,
     "user_freq_purchase": user_freq_purchase,
     "user_freq_order": user_freq_order,
     "item_freq": item_freq,
@@ -291,8 +319,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catalog_snapshot": catalog_snapshot,
     "purchase_dated_run": purchase_dated_run,
     "buyorder_dated_run": buyorder_dated_run,
+    "purchase_dated_run_by_client": purchase_dated_run_by_client,
     "trailing_months": trailing_months_query,
     "latest_snapshot": latest_snapshot_query,
+    "latest_partition": latest_partition_query,
     "json_roundtrip": json_roundtrip,
     "bound": bound_query,
 }

@@ -73,3 +73,17 @@ def as_edges(df: DataFrame) -> dict:
 
 def rounded(edges: dict) -> dict:
     return {k: (a, round(n, 9), f, g) for k, (a, n, f, g) in edges.items()}
+
+
+def executed_nodes(df):
+    """All nodes of the executed plan of ``df``, which has been collected."""
+    stack = [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        yield node
+        if node.nodeName() == "AdaptiveSparkPlan":
+            stack.append(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            stack.append(node.plan())
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]

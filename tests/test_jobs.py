@@ -1,6 +1,7 @@
 import json
 import random
 from datetime import date
+from inspect import Parameter, signature
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,7 +108,9 @@ def test_fused_plan_equals_the_single_operators(spark, mode):
 def test_cap_above_the_block_size_splits_long_links(spark, monkeypatch):
     import cobasket.operators.cooccurrence as module
 
-    monkeypatch.setattr(module.count_pairs, "__defaults__", (("client", "link"), None, 3, 2))
+    defaults = {n: p.default for n, p in signature(module.count_pairs).parameters.items() if p.default is not Parameter.empty}
+    small = defaults | {"block": 3, "links_per_group": 2}
+    monkeypatch.setattr(module.count_pairs, "__defaults__", tuple(small.values()))
     statuses, orders = _random_case(7)
     for mode in EDGES:
         found = as_edges(EDGES[mode](catalog(spark, statuses), events(spark, orders), OPEN))

@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 from cobasket.operators.interactions import purchase_interactions
 from cobasket.schemas import schema_of
-from cobasket.sources.dumps import read_catalog, read_events, read_json, read_suggestions, write_json
+from cobasket.sources.dumps import read_catalog, read_events, read_json, read_suggestions, write_json, write_json_by_client
 from cobasket.sources.snapshots import (
     latest_generation_path,
+    latest_partition,
     latest_snapshot,
     month_paths,
     month_starts,
+    partition_values,
     trailing_months,
 )
 from testbed.folders import shared_path
-from tests.helpers import rows
+from tests.helpers import executed_nodes, rows
 
 
 def _json(folder, *lines, success=False):
@@ -126,3 +128,80 @@ def test_shared_paths_need_a_shared_folder_on_a_cluster(spark):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_path(_session("local-cluster[2,1,1024]"), "x")
     assert shared_path(spark, "x") != shared_path(spark, "x")
+
+
+def _files_read(df):
+    """How many files the scan of ``df`` opened."""
+    df.collect()
+    scans = [n for n in executed_nodes(df) if n.nodeName().startswith("Scan")]
+    (files,) = [n.metrics().apply("numFiles").value() for n in scans]
+    return files
+
+
+@pytest.fixture
+def generations(spark, tmp_path):
+    data = [(f"2022{m:02}01-000000", m * 10 + i) for m in (1, 2, 3, 4) for i in range(3)]
+    path = str(tmp_path / "g")
+    spark.createDataFrame(data, "g string, n int").repartition("g").write.partitionBy("g").parquet(path)
+    return spark.read.schema("n int, g string").parquet(path)
+
+
+def test_latest_partition_reads_one_partition_and_names_only(spark, generations):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("names", "names")
+    newest = latest_partition(generations, "g")
+    earlier = latest_partition(generations, "g", "20220315-000000")
+    assert not tracker.getJobIdsForGroup("names")  # no data was read to choose
+    assert rows(newest, "n") == [(40,), (41,), (42,)] and rows(earlier, "n") == [(30,), (31,), (32,)]
+    assert "PartitionFilters: [isnotnull(g" in newest._jdf.queryExecution().executedPlan().toString()
+    assert _files_read(newest) == _files_read(earlier) == 1
+    assert latest_partition(generations, "g", "20210101-000000").count() == 0
+
+
+def test_latest_snapshot_prunes_by_its_subquery(spark, generations):
+    newest = latest_snapshot(generations, "g", F.col("n") < 40)
+    assert rows(newest, "n") == [(30,), (31,), (32,)]
+    assert "PartitionFilters: [isnotnull(g" in newest._jdf.queryExecution().executedPlan().toString()
+    assert _files_read(newest) == 1
+
+
+def test_partition_values_are_unescaped_and_nulls_left_out(spark, tmp_path):
+    data = [("a b", 1), ("2022-01-01 10:00:00", 2), ("x=y/z%", 3), (None, 4)]
+    spark.createDataFrame(data, "g string, n int").write.partitionBy("g").parquet(str(tmp_path / "g"))
+    table = spark.read.schema("n int, g string").parquet(str(tmp_path / "g"))
+    assert partition_values(table, "g") == ["2022-01-01 10:00:00", "a b", "x=y/z%"]
+    assert rows(latest_partition(table, "g"), "n") == [(3,)]
+    numbers = spark.createDataFrame([(1, 7), (2, 8)], "g int, n int")
+    numbers.write.partitionBy("g").parquet(str(tmp_path / "numbers"))
+    assert rows(latest_partition(spark.read.parquet(str(tmp_path / "numbers")), "g"), "n") == [(8,)]
+
+
+def _documents(spark, sizes):
+    rows_of = F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("n")
+    clients = spark.createDataFrame(list(sizes.items()), "client string, rows int").select("client", rows_of)
+    result = "struct<rec:string,amf:long,nmf:double,freq_rec:long,freq_ref:long,asl:double,nsl:double>"
+    return clients.select(
+        "client",
+        F.struct(F.lit(0.4).alias("nmf"), F.lit(0.2).alias("alpha"), F.lit(2.0).alias("adjust"), F.lit(2.1).alias("amf")).alias("tuning"),
+        F.concat(F.lit("p"), "n").alias("product"),
+        F.array().cast(f"array<{result}>").alias("results"),
+    )
+
+
+def test_output_by_client_splits_large_clients_and_prunes(spark, tmp_path):
+    data = _documents(spark, {"large": 1000, "small": 3, "007": 2, None: 1})
+    path = str(tmp_path / "algo" / "20220101-000000")
+    write_json(data, path)
+    plain = rows(read_suggestions(spark, str(tmp_path), "algo"))
+    for _ in range(2):  # replaced, not added to
+        write_json_by_client(data, path, rows_per_file=100)
+    back = read_suggestions(spark, str(tmp_path), "algo")
+    assert back.schema == schema_of("algorithm", "suggestions")
+    assert rows(back) == plain and back.count() == 1006
+    files = {f.name: list(f.glob("*.json.gz")) for f in (tmp_path / "algo" / "20220101-000000").iterdir() if f.is_dir()}
+    assert set(files) == {"client=large", "client=small", "client=007", "client=__HIVE_DEFAULT_PARTITION__"}
+    assert 5 <= len(files["client=large"]) <= 10 and len(files["client=small"]) == 1
+    one = back.filter(F.col("client") == "small")
+    assert one.count() == 3 and _files_read(one) == 1
+    write_json_by_client(data.limit(0), path)
+    assert read_suggestions(spark, str(tmp_path), "algo").count() == 0
