@@ -4,8 +4,8 @@ Level by level, all nodes that still hold several leaves are split at once: alon
 node is widest, at the weighted quantile that gives its left child the share of its leaves. Quantiles are
 exact. They are found by histograms of every node's keys, each narrowing the interval that holds the
 quantile, so that the driver sees some hundred counters per node and no task a whole node. Dimensions
-are integer keys whose lower bits hash the row's key; rows of equal metadata, such as copies, can
-therefore be cut apart.
+are integer keys: the value's place in its range over the whole table, above bits of a hash of the row's key;
+rows of equal metadata, such as copies, can therefore be cut apart.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cobasket.llm.numbering import numbered
 from cobasket.llm.storage import written
+from cobasket.operators.lookup import look_up
 
-# Dimension keys: 30 bits of value above 31 bits of hash. Bins per histogram.
-VALUE_BITS, TIE_BITS, BINS = 30, 31, 256
+# Dimension keys: 30 bits of value, for names with some of their hash, above 31 bits of the key's hash. Bins per histogram.
+VALUE_BITS, NAME_BITS, TIE_BITS, BINS = 30, 8, 31, 256
 
 
 @dataclass
@@ -37,22 +38,52 @@ class Node:
     at: int = 0  # bytes of the keys in [low, high]
 
 
-def dimensions(key: Column, chars: Column, lang: Column, source: Column) -> list[Column]:
-    """Metadata as comparable keys: length (logarithmic), language, source and key, each spread over all values."""
-    full = 1 << VALUE_BITS
-    tie = F.shiftrightunsigned(F.xxhash64(key.cast("string"), F.lit(31)), 64 - TIE_BITS)
-    length = F.least(F.log2(1.0 + chars) / 32.0, F.lit(1.0))
+def _spread(value: Column, low: float | None, high: float | None, bits: int) -> Column:
+    """``value`` as an integer of ``bits`` bits, by its place between ``low`` and ``high``; null is lowest."""
+    if low is None or low == high:
+        return F.lit(0).cast("long")
+    share = (value - F.lit(low)) / F.lit(high - low)
+    return F.coalesce(F.floor(F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0)) * ((1 << bits) - 1)).cast("long"), F.lit(0).cast("long"))
 
-    def hashed(name: Column, seed: int) -> Column:
-        return F.shiftrightunsigned(F.xxhash64(name, F.lit(seed)), 64 - VALUE_BITS)
 
-    values = [
-        F.floor(length * (full - 1)).cast("long"),
-        hashed(lang, 1),
-        hashed(source, 2),
-        F.shiftrightunsigned(F.xxhash64(key, F.lit(3)), 64 - VALUE_BITS),
-    ]
-    return [F.shiftleft(v, TIE_BITS).bitwiseOR(tie) for v in values]
+def metadata_points(rows: DataFrame, key: str, text: str, lang: str, source: str) -> tuple[DataFrame, list[str]]:
+    """A table of ``key``, ``size``, ``text_crc32`` and one key column per dimension; and the names of these.
+
+    The dimensions are length (logarithm of the code points), language and source (logarithm of the bytes of all
+    rows that have the same, names of equal bytes by a hash) and the key as a number. Each is spread over its own range in
+    the whole table, so widths compare. Below the value stand bits of the key's hash. Null metadata are
+    lowest, as are keys that are no numbers.
+    """
+    content = F.coalesce(F.col(text), F.lit(""))
+    raw = written(
+        rows.select(
+            F.col(key).alias("key"),
+            (F.octet_length(content) + 8).cast("long").alias("size"),
+            F.crc32(content.cast("binary")).alias("text_crc32"),
+            F.log2(1.0 + F.char_length(content)).alias("chars"),
+            F.col(lang).alias("lang"),
+            F.col(source).alias("source"),
+        ),
+        "metadata",
+    )
+    number = F.col("key").cast("string").try_cast("double")
+    ends = [f(c) for c in (F.col("chars"), number) for f in (F.min, F.max)]
+    least_chars, most_chars, least_key, most_key = raw.agg(*ends).first()
+    values = {"chars": _spread(F.col("chars"), least_chars, most_chars, VALUE_BITS)}
+    points = raw
+    for name in ("lang", "source"):
+        # One row per value; written, so that Spark knows whether it is small enough to broadcast.
+        share = F.log2(F.sum("size").cast("double")).alias(f"{name}_bytes")
+        known = written(raw.where(F.col(name).isNotNull()).groupBy(name).agg(share), f"{name}_bytes")
+        least, most = known.agg(F.min(f"{name}_bytes"), F.max(f"{name}_bytes")).first()
+        points = look_up(points, known, [name], "left")
+        alike = F.shiftrightunsigned(F.xxhash64(name, F.lit(1)), 64 - NAME_BITS)
+        values[name] = F.shiftleft(_spread(F.col(f"{name}_bytes"), least, most, VALUE_BITS - NAME_BITS), NAME_BITS).bitwiseOR(alike)
+    values["number"] = _spread(number, least_key, most_key, VALUE_BITS)
+    tie = F.shiftrightunsigned(F.xxhash64(F.col("key").cast("string"), F.lit(31)), 64 - TIE_BITS)
+    columns = {f"k{i}": F.shiftleft(v, TIE_BITS).bitwiseOR(tie) for i, v in enumerate(values.values())}
+    table = points.select("key", "size", "text_crc32", *[k.alias(c) for c, k in columns.items()])
+    return written(table, "points"), list(columns)
 
 
 def _leaf_of(node: Node, columns: list[str]) -> Column:
@@ -125,22 +156,12 @@ def kd_tree(points: DataFrame, columns: list[str], shards: int) -> Node:
 def shard(rows: DataFrame, shards: int = 24, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """Per row: ``key``, ``size``, ``text_crc32``, ``law`` ("bytes"), ``shard``, ``slot`` and ``grown_shard`` (null).
 
-    Size is UTF-8 bytes of the text plus 8; a null text has none and counts as empty. Null metadata are values
-    like any other. Only rows alike in key and all metadata can't be cut apart. An empty table gives no rows.
-    Texts are read once; everything after works on sizes and metadata.
+    Size is UTF-8 bytes of the text plus 8; a null text has none and counts as empty. Null metadata are lowest.
+    Only rows alike in key and all metadata can't be cut apart; repeated rows each get a slot, and other columns aren't read.
+    A long text is one row like any other. An empty table gives no rows. Texts are read once; everything after works
+    on sizes and metadata.
     """
-    content = F.coalesce(F.col(text), F.lit(""))
-    keys = dimensions(F.col(key), F.char_length(content), F.col(lang), F.col(source))
-    columns = [f"k{i}" for i in range(len(keys))]
-    points = written(
-        rows.select(
-            F.col(key).alias("key"),
-            (F.octet_length(content) + 8).cast("long").alias("size"),
-            F.crc32(content.cast("binary")).alias("text_crc32"),
-            *[k.alias(c) for k, c in zip(keys, columns, strict=True)],
-        ),
-        "points",
-    )
+    points, columns = metadata_points(rows, key, text, lang, source)
     tree = kd_tree(points, columns, shards)
     placed = points.select("key", "size", "text_crc32", F.lit("bytes").alias("law"), _leaf_of(tree, columns).cast("int").alias("shard"))
     slots = numbered(placed, "shard", ["key", "size", "text_crc32"], "slot")

@@ -216,6 +216,30 @@ class TestSharding:
         assert all(abs(r["s"] - total / 6) <= 150 for r in placed)
         assert tree.dim == 0 and tree.children[0].leaves == 3
 
+    def test_length_language_and_source_decide_splits(self, spark):
+        draw = random.Random(6)
+        rows = [(i, "word " * draw.randint(1, 400), draw.choice(["en"] * 6 + ["de", "fr", None]), f"s{min(draw.randint(0, 9), 5)}") for i in range(3000)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        points, columns = sharding.metadata_points(docs, "doc_id", "text", "lang", "source")
+        seen, level = Counter(), [sharding.kd_tree(points, columns, 24)]
+        assert level[0].dim == 0  # at the root all are as wide as can be
+        while level:
+            seen.update(n.dim for n in level if n.children)
+            level = [c for n in level for c in n.children]
+        assert sum(seen.values()) == 23 and {0, 1, 2, 3} <= set(seen)
+        sizes, spans = Counter(), defaultdict(list)
+        for r in sharding.shard(docs).collect():
+            sizes[r["shard"]] += r["size"]
+            spans[r["shard"]].append(r["size"])
+        mean = sum(sizes.values()) / 24
+        assert all(abs(s - mean) < 0.05 * mean for s in sizes.values())
+        assert max(map(min, spans.values())) > min(map(max, spans.values()))  # some shards hold short texts only
+
+    def test_keys_that_are_no_numbers_and_constant_metadata(self, spark):
+        rows = spark.range(500).selectExpr("concat('id', id) AS doc_id", "'same' AS text", "CAST(NULL AS STRING) AS lang", "'one' AS source")
+        sizes = Counter(r["shard"] for r in sharding.shard(rows, 4).collect())
+        assert len(sizes) == 4 and max(sizes.values()) - min(sizes.values()) <= 2
+
     def test_a_large_group_of_copies_is_cut_apart(self, spark):
         rows = spark.range(4000).selectExpr("id AS doc_id", "'the same text' AS text", "'en' AS lang", "'one' AS source")
         sizes = Counter(r["shard"] for r in sharding.shard(rows, 8).collect())

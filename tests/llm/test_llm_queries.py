@@ -145,11 +145,14 @@ def test_op6_shards_are_whole_and_even(results):
     rows = results("op6")
     expected = collections.Counter(((r[0], len((r[1] or "").encode()) + 8, zlib.crc32((r[1] or "").encode())) for r in DOCS))
     assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == expected
-    slots = collections.defaultdict(list)
+    slots, size = collections.defaultdict(list), collections.Counter()
     for r in rows:
+        size[r["shard"]] += r["size"]
         assert r["law"] == "bytes" and r["grown_shard"] is None and 0 <= r["shard"] < 24
         slots[r["shard"]].append(r["slot"])
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    longest = max(r["size"] for r in rows)  # a document is never cut
+    assert len(size) == 24 and max(size.values()) <= sum(size.values()) / 24 + longest
 
 
 def test_op7_reads_back_what_was_written(results):
