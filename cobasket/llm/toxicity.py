@@ -7,7 +7,8 @@ product of its vectors, so that pairs such as an insult and a group mention coun
 Training: a bounded sample of labelled rows is drawn by hash, half of each class; of near copies in it
 (equal minima of several hashes over their terms) one stays, else their words would seem telling. Terms are
 counted per class over the sample on the cluster, and those that a likelihood ratio test finds to depend on
-the class are kept; the driver gets only the kept terms of the sampled rows. The intercept is then corrected to the
+the class are kept, with those that only pairs show: the joint presence of two common terms is tested too.
+The driver gets only these and the common terms of the sampled rows. The intercept is then corrected to the
 classes' shares among all labelled rows, so that scores are probabilities.
 """
 
@@ -160,6 +161,54 @@ def _minima(terms: list[int]) -> str:
     return ",".join(map(str, (mixed >> np.uint64(16)).min(axis=0).tolist()))
 
 
+def _terms(rows: DataFrame) -> np.ndarray:
+    return np.sort(rows.select("term").toArrow()["term"].to_numpy())
+
+
+def _sampled(sample: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels of the sampled rows by key; and places in ``terms`` of what they have of these, with the rows' numbers."""
+    wanted = F.broadcast(sample.sparkSession.createDataFrame([(int(t),) for t in terms], "term long"))
+    of_rows = sample.select("key", F.explode("terms").alias("term")).join(wanted, "term").groupBy("key").agg(F.sort_array(F.collect_set("term")).alias("own"))
+    data = sample.select("key", "label").join(of_rows, "key", "left").select("key", "label", F.coalesce("own", F.array().cast("array<long>")).alias("own"))
+    table = data.toArrow().sort_by("key").combine_chunks()
+    found = table["own"].combine_chunks()
+    row = np.repeat(np.arange(table.num_rows), np.diff(found.offsets.to_numpy()))
+    return table["label"].to_numpy().astype(float), np.searchsorted(terms, found.flatten().to_numpy()), row
+
+
+def _ratio(in_1: np.ndarray, in_0: np.ndarray, ones: float, zeros: float) -> np.ndarray:
+    """G of a feature that ``in_1`` and ``in_0`` rows of the classes have."""
+    total, n = ones + zeros, in_1 + in_0
+    result = np.zeros(np.shape(n))
+    for part, of_class in ((in_1, ones), (in_0, zeros)):
+        for seen, rows in ((part, n), (of_class - part, total - n)):
+            result += 2 * seen * np.log(np.maximum(seen, 1) * total / (np.maximum(rows, 1) * of_class))
+    return result
+
+
+def telling_pairs(common: np.ndarray, at: np.ndarray, row: np.ndarray, label: np.ndarray, gain: float) -> np.ndarray:
+    """The terms of pairs whose joint presence has a G that exceeds those of both its terms by ``gain``.
+
+    So terms stay that say nothing alone, while a telling term doesn't take along whatever stands beside it.
+    """
+    place = np.full(int(max(at.max(initial=-1), common.max(initial=-1))) + 2, -1)
+    place[common] = np.arange(len(common))
+    mine = place[at] >= 0
+    has = np.zeros((len(label), len(common)), np.float32)
+    has[row[mine], place[at[mine]]] = 1
+    ones, zeros = label.sum(), (1 - label).sum()
+    of_1, of_0 = has[label == 1], has[label == 0]
+    alone = _ratio(of_1.sum(axis=0), of_0.sum(axis=0), ones, zeros)
+    found = np.zeros(len(common), bool)
+    for begin in range(0, len(common), 256):
+        block = slice(begin, begin + 256)
+        both = _ratio((of_1[:, block].T @ of_1).astype(float), (of_0[:, block].T @ of_0).astype(float), ones, zeros)
+        more = both - np.maximum(alone[block, None], alone[None, :]) >= gain
+        found[block] |= more.any(axis=1)
+        found |= more.any(axis=0)
+    return common[found]
+
+
 def held_out(key: Column) -> Column:
     """Rows whose labels must not be learnt from: a quarter, by the CRC of the key as text."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -168,13 +217,14 @@ def held_out(key: Column) -> Column:
 def train(
     rows: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
     sample_per_class: int = 5000, bits: int = 40, factors: int = 6, steps: int = 600, significance: float = 20.0,
-    max_terms: int = 50_000, seed: int = 11,
+    pair_terms: int = 2048, pair_significance: float = 40.0, seed: int = 11,
 ) -> FactorizationMachine:
     """Train on at most ``sample_per_class`` rows of each class, those with the smallest key hash.
 
     ``labels`` has ``key`` and ``label`` (0 or 1); null labels or keys and held-out keys are left out, and keys labelled more
-    than once count by their largest label. Of the terms whose likelihood ratio statistic G is ``significance`` or more
-    the ``max_terms`` with the largest are kept. Without labelled rows every score is 0.5; without
+    than once count by their largest label. Features are the terms whose likelihood ratio statistic G is ``significance``
+    or more, and those of pairs that tell at least ``pair_significance`` more than either term does; pairs are sought
+    among the ``pair_terms`` terms that most sampled rows have. Without labelled rows every score is 0.5; without
     one of the classes every score is the share of class 1, smoothed.
     """
     spark = rows.sparkSession
@@ -226,16 +276,15 @@ def train(
     ]
     parts = [F.when(seen > 0, 2 * seen * F.ln(seen * total / (rows_ * of_class))).otherwise(0.0) for seen, rows_, of_class in cells]
     counts = counts.withColumn("n", F.col("in_0") + F.col("in_1")).withColumn("ratio", sum(parts[1:], parts[0]))
-    telling = counts.where(F.col("ratio") >= significance).orderBy(F.col("ratio").desc(), "term").limit(max_terms).select("term")
-    kept = np.array(sorted(r["term"] for r in telling.collect()), dtype=np.int64)
-    few = F.broadcast(spark.createDataFrame([(int(t),) for t in kept], "term long"))
-    of_rows = sample.select("key", F.explode("terms").alias("term")).join(few, "term")
-    mine = of_rows.groupBy("key").agg(F.collect_set("term").alias("terms"))
-    rows_with = sample.select("key", "label").join(mine, "key", "left")
-    data = sorted((r["key"], r["label"], sorted(r["terms"] or [])) for r in rows_with.collect())
-    label_of = np.array([d[1] for d in data], dtype=float)
-    at = np.searchsorted(kept, np.array([t for d in data for t in d[2]], dtype=np.int64))
-    row = np.repeat(np.arange(len(data)), [len(d[2]) for d in data])
+    counts = written(counts.select("term", "n", "ratio"), "term_counts")
+    telling = _terms(counts.where(F.col("ratio") >= significance))
+    common = _terms(counts.orderBy(F.col("n").desc(), "term").limit(pair_terms))
+    seen = np.union1d(telling, common)
+    label_of, at, row = _sampled(sample, seen)
+    kept = np.union1d(telling, seen[telling_pairs(np.searchsorted(seen, common), at, row, label_of, pair_significance)])
+    place = np.searchsorted(kept, seen)
+    wanted = np.isin(seen, kept)[at]
+    at, row = place[at[wanted]], row[wanted]
     start = np.random.default_rng(seed).normal(0, 0.05, (len(kept), factors))
     of_sample = float(np.log(label_of.sum() / (len(label_of) - label_of.sum())))
     machine = FactorizationMachine(kept, bits, of_sample, np.zeros(len(kept)), start)
@@ -249,7 +298,8 @@ def score(rows: DataFrame, machine: FactorizationMachine, key: str = "doc_id", t
     """Per row: ``key``, ``held_out``, ``score`` and ``predicted`` (1 from ``threshold`` on).
 
     Only the text decides; a null or empty one gets the score of no terms. Nothing is shuffled. Null keys stay null and
-    aren't held out; repeated rows give repeated results and an empty table none; other columns aren't read.
+    aren't held out; repeated rows give repeated results and an empty table none; long texts are scored whole; other
+    columns aren't read.
     """
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

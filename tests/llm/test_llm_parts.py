@@ -159,6 +159,33 @@ class TestToxicity:
         margins = machine.margins(places, rows, len(label))
         assert ((margins > 0) == label).mean() > 0.95
 
+    def test_what_only_a_pair_shows_is_learnt_from_texts(self, spark):
+        """Class 1 is having exactly one of two words; neither tells anything alone."""
+        draw, rows = random.Random(3), []
+        for i in range(2000):
+            has = draw.random() < 0.5, draw.random() < 0.5
+            other = ["".join(draw.choices("bcdfghjklmnp", k=3)) for _ in range(30)]
+            rows.append((i, " ".join(other + [w for w, h in zip(("zebra", "marble"), has, strict=True) if h]), int(has[0] != has[1])))
+        docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        machine = toxicity.train(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+        found = toxicity.score(docs, machine).where("held_out").join(docs, "doc_id").collect()
+        assert sum((r["score"] >= 0.5) == r["toxic"] for r in found) > 0.95 * len(found) > 400
+
+    def test_pairs_take_no_bystanders_along(self):
+        """Term 0 tells alone, 1 stands beside it by chance, 2 and 3 tell only together, 4 is noise."""
+        draw = np.random.default_rng(5)
+        has = draw.integers(0, 2, (4000, 5))
+        label = np.where(draw.random(4000) < 0.5, has[:, 0], has[:, 2] ^ has[:, 3]).astype(float)
+        row, at = np.nonzero(has)
+        assert toxicity.telling_pairs(np.arange(5), at, row, label, 100.0).tolist() == [2, 3]
+        none = np.zeros(0, np.int64)
+        assert toxicity.telling_pairs(none, none, none, np.array([0.0, 1.0]), 1.0).tolist() == []
+
+    def test_texts_without_terms_can_be_learnt_from(self, spark):
+        docs = spark.createDataFrame([(i, None if i % 2 else "") for i in range(40)], "doc_id long, text string")
+        machine = toxicity.train(docs, docs.selectExpr("doc_id", "doc_id % 2 AS toxic"))
+        assert len({r["score"] for r in toxicity.score(docs, machine).collect()}) == 1
+
     def test_scores_use_text_alone_and_one_class_gives_the_share(self, spark):
         docs = spark.createDataFrame([(i, f"words {i}") for i in range(40)], "doc_id long, text string")
         machine = toxicity.train(docs, docs.selectExpr("doc_id", "0 AS toxic"))
