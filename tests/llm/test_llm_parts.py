@@ -288,7 +288,35 @@ class TestPacking:
     def test_cuts_cover_a_document(self, tokens):
         starts, lengths = packing.cuts(tokens, 4096)
         assert starts.tolist() == [0, *np.cumsum(lengths)[:-1].tolist()] and lengths.sum() == tokens
-        assert all(4096 % n == 0 for n in lengths.tolist())
+        rest = lengths[tokens // 4096 :]
+        assert (lengths[: tokens // 4096] == 4096).all() and len(rest) <= 4
+        places = 4096 // (4096 // lengths)
+        assert (lengths >= (1 - packing.SLACK) * places).all() and (lengths[:-1] >= lengths[1:]).all()
+
+    def test_most_texts_stay_whole(self):
+        for tokens in [*range(1, 257), 1365, 2000, 2048, 4000, 4096]:
+            assert packing.cuts(tokens, 4096)[1].tolist() == [tokens]
+        assert packing.cuts(3000, 4096)[1].tolist() == [2048, 819, 133]
+
+    @pytest.mark.parametrize("alike", [False, True])
+    def test_bins_of_a_class_hold_a_fixed_count(self, spark, alike):
+        draw = random.Random(5)
+        sizes = [1000] * 403 if alike else [draw.randint(1, 4096) for _ in range(700)] + [1] * 9000
+        rows = [(None if alike or i % 9 == 0 else i, 0, n, 7, n) for i, n in enumerate(sizes)]
+        schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+        found = packing.pack(spark.createDataFrame(rows, schema)).collect()
+        assert sorted((r["doc_id"] or -1, r["length"]) for r in found) == sorted((r[0] or -1, r[2]) for r in rows)
+        bins = defaultdict(list)
+        for r in found:
+            bins[r["sequence_id"]].append((r["offset"], r["length"]))
+        assert sorted(bins) == list(range(len(bins)))
+        full = sum(n // j for j, n in Counter(4096 // n for n in sizes).items())
+        for number, parts in bins.items():
+            ends = np.cumsum([n for _, n in sorted(parts)])
+            assert [o for o, _ in sorted(parts)] == [0, *ends[:-1].tolist()] and ends[-1] <= 4096
+            if number < full:
+                assert {4096 // n for _, n in parts} == {len(parts)}
+        assert len(bins) - full <= 2 * sum(n for _, n in [x for k, p in bins.items() if k >= full for x in p]) / 4096 + 1
 
     def test_capacity_must_be_a_power_of_two(self, spark):
         with pytest.raises(ValueError, match="power of two"):

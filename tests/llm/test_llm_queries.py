@@ -194,7 +194,11 @@ def test_op8_places_every_token_once(results, token_ids):
         for offset, length in sorted(parts):
             assert offset == end
             end += length
-        assert end <= 4096 and end & (end - 1) == 0  # full or a power of two: no padding
+        assert end <= 4096
+    # Under a sixteenth and a rounded place of padding, but for what the classes leave over.
+    whole = sum(r["length"] for r in rows)
+    assert len(sequences) <= whole / 4096 / (1 - 1 / 16 - 1 / 64) + 2
+    assert len(rows) <= len(DOCS) * 4 + whole / 4096
 
 
 def test_op9_equals_brute_force(results):
