@@ -1,6 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraph digests.
 
-A text's paragraphs are cut into pieces, at sentence ends and after six words at most, and hashed to 64-bit
+A text's paragraphs are cut into pieces, at sentence ends and after six words at most, pieces without enough
+blanks once more where their own characters say so, and hashed to 64-bit
 digests (the n-th copy of a piece with seed n, so that copies count). A sketch hashes every digest into one cell of each of three
 tables; a cell holds a count, the XOR of its digests and the XOR of their check values. Subtracting two
 sketches cell by cell leaves the digests that only one version has, and peeling recovers them: a cell
@@ -14,6 +15,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -29,15 +31,31 @@ CELLS = 24
 STEP_CELLS = 1 << 21
 # Up to five words that end no sentence, and one more, all in one line.
 _PIECES = re.compile(r"(?:\S*[^\s.!?][^\S\n]+){0,5}\S+")
+# Longest piece in code points, and how many bits of a hash make a mark in longer ones: one in 16 code points.
+LONG, MARK_BITS = 96, 4
 # Odd multipliers that spread a digest over the tables and make its check value.
 _SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
+def _cut_long(piece: str) -> list[str]:
+    """A piece of more than ``LONG`` code points cut where two neighbours hash to a mark, and after ``LONG`` without one.
+
+    Marks depend on the text around them alone, so an edit changes the pieces beside it and no others. The
+    first of several marks in a row counts.
+    """
+    codes = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    mixed = (codes[:-1] * _SPREAD[0]) ^ (codes[1:] * _SPREAD[1])
+    mark = ((mixed * _SPREAD[2]) >> np.uint64(64 - MARK_BITS)) == 0
+    mark[1:] &= ~mark[:-1].copy()
+    edges = np.r_[0, np.flatnonzero(mark) + 1, len(codes)].tolist()
+    return [piece[i : min(i + LONG, end)] for begin, end in pairwise(edges) for i in range(begin, end, LONG)]
+
+
 def digests(text: str) -> np.ndarray:
     """The distinct paragraph digests of a text; blank lines have none."""
     seen: dict[str, int] = {}
     found = set()
-    for piece in _PIECES.findall(text):
+    for piece in chain.from_iterable(_cut_long(p) if len(p) > LONG else (p,) for p in _PIECES.findall(text)):
         copy = seen.get(piece, 0)
         seen[piece] = copy + 1
         found.add(xxhash.xxh64_intdigest(piece.encode("utf-8", "surrogatepass"), copy))
