@@ -73,6 +73,25 @@ class TestBloomSketch:
         once, twice = bloom_sketch.digests("one line.\n"), bloom_sketch.digests("one line.\none line.\n")
         assert len(once) == 1 and len(twice) == 2 and set(once) < set(twice)
 
+    @pytest.mark.parametrize("seed", [1, 2, 3])
+    def test_unspaced_texts_keep_the_pieces_around_an_edit(self, seed):
+        draw = random.Random(seed)
+        text, other = ("".join(chr(draw.randint(0x4E00, 0x9FA5)) for _ in range(2000)) for _ in range(2))
+        edits = {"tail": text[:1500] + other[:500], "middle": text[:900] + other[:20] + text[900:], "all": other}
+        own = [bloom_sketch.digests(text)]
+        alike = {}
+        for name, edited in edits.items():
+            new = [bloom_sketch.digests(edited)]
+            only_old, only_new, _ = bloom_sketch.differences(own, new)[0]
+            assert set(only_old.tolist()) == set(own[0].tolist()) - set(new[0].tolist())
+            alike[name] = bloom_sketch.likeness(len(own[0]), len(new[0]), len(only_old) + len(only_new))
+        assert 0.5 < alike["tail"] < 0.7 and alike["middle"] > 0.95 and alike["all"] == 0.0
+
+    @pytest.mark.parametrize("run", ["x" * 70_000, "ab" * 40_000, "漢" * 5_000, "0123456789" * 900])
+    def test_long_pieces_are_cut_without_loss(self, run):
+        pieces = bloom_sketch._cut_long(run)
+        assert "".join(pieces) == run and max(map(len, pieces)) <= bloom_sketch.LONG
+
     def test_changes_between_versions(self, spark):
         rows = spark.createDataFrame([(1, "A b.\nC d.\nE f.", "A b.\nC d.\nX y."), (2, None, "Z."), (3, "", None)], "k long, old string, new string")
         found = {r["k"]: r for r in bloom_sketch.paragraph_changes(rows, "k", "old", "new").collect()}
@@ -114,6 +133,12 @@ class TestPersonalData:
         for form in forms | {"john at example.com", "john (At) example.com", "john at example Dot com", "JOHN AT EXAMPLE DOT COM"}:
             assert (6, "email", 6 + len(form)) in personal_data.candidates(f"Write {form}, please"), form
 
+    def test_candidates_of_any_length_are_proposed(self):
+        address = f"{'a' * 200} at {'b' * 90} dot cc dot dd dot ee dot ff dot gg"
+        assert (0, "email", len(address)) in personal_data.candidates(address)
+        card = " - ".join("4111111111111111")
+        assert (0, "card", len(card)) in personal_data.candidates(card)
+
     @pytest.mark.parametrize(
         ("text", "phones"),
         [
@@ -123,6 +148,9 @@ class TestPersonalData:
             ("12 (555) 123-4567 (555) 987-6543 7.5", ["(555) 123-4567", "(555) 987-6543"]),
             ("+33 1 23 45 67 89 +33 1 98 76 54 32", ["+33 1 23 45 67 89", "+33 1 98 76 54 32"]),
             ("2024-01-02 555.123.4567 10.5", ["555.123.4567"]),
+            ("5 5 5 1 2 3 4 5 6 7 2024-01-01", ["5 5 5 1 2 3 4 5 6 7"]),
+            ("5 - 5 - 5 - 1 - 2 - 3 - 4 - 5 - 6 - 7", ["5 - 5 - 5 - 1 - 2 - 3 - 4 - 5 - 6 - 7"]),
+            ("x+1 555 123 4567 or 555  ---  123  ---  4567", ["1 555 123 4567", "555  ---  123  ---  4567"]),
         ],
     )
     def test_phones_beside_other_numbers_are_proposed(self, text, phones):
