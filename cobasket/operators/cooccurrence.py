@@ -6,23 +6,26 @@ Counting pairs is the one quadratic step, so it is laid out with care:
    sees its basket and its place in it. Links longer than ``BLOCK`` are cut into blocks of items first,
    and every pair of blocks becomes its own basket, so no task holds a whole long link.
 2. *Stripes.* Each item of a basket is sent with the array of items behind it, instead of one row
-   per pair. The key of a stripe is the rarer item of all its pairs, so popular items hardly ever
-   act as keys; the ones that do are spread over several tasks by a hash of link and blocks, so that no
-   task unrolls more than a bounded number of pairs of one item.
-3. *Counting.* Stripes of one key meet in one place, are unrolled and counted there. Keys that were
-   not spread are complete at once and meet the thresholds before anything else moves; only the
-   survivors and the partial counts of spread keys are exchanged again.
-4. *Frequencies* join the surviving pairs; they don't travel with the stripes.
-
-Where hardly any pair reaches the threshold, ``buckets`` takes the place of 2 and 3: pairs are first counted by a hash
-into so many buckets, and only pairs of buckets that reach it are counted one by one. Buckets only count too much, so
-nothing is lost, and of the pairs just the survivors' partial counts are exchanged.
+   per pair, and items as their numbers, four bytes each. The key of a stripe is the rarer item of all its
+   pairs, so popular items hardly ever act as keys; the ones that do are spread over several tasks by a hash of
+   link and blocks, so that no task unrolls more than a bounded number of pairs of one item.
+3. *Counting.* Stripes of one key are gathered into one row, and its pairs are sorted and counted within it, key after
+   key. So a task holds its stripes and the pairs of one key, never a hash table of all its pairs, which would be
+   many times the stripes and spill. Keys that were not spread are complete at once and meet the thresholds
+   before anything else moves; only the survivors and the partial counts of spread keys are exchanged again.
+4. *Items and frequencies* join the surviving pairs by number; they don't travel with the stripes.
+
+Where hardly any pair reaches the threshold, ``buckets`` comes ahead of 2: pairs are first counted by a hash into so many
+buckets, and only pairs of buckets that reach it are sent on, each as a stripe of its own. Buckets only count too much, so
+nothing is lost.
 
 Weights are added up as integers, so neither order nor layout can change them.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cobasket.operators.lookup import look_up
@@ -37,6 +40,9 @@ UNIT = 1_000_000_000
 # Digits of the final weight, below which a double can't tell sums like three times 2/15 from 0.4.
 WEIGHT_DIGITS = 12
 
+# Hash parts of a client's items, within which they are numbered.
+NUMBER_PARTS = 1024
+
 
 def _weight(ufrq: Column) -> list[Column]:
     """2/ufrq in whole billionths and the rest in billionths of a billionth."""
@@ -54,6 +60,19 @@ def _passes(min_amf: float, min_nmf: float) -> Column:
     return (F.col("amf") >= F.lit(float(min_amf))) & (_nmf() >= F.lit(float(min_nmf)))
 
 
+def numbered_items(item_freq: DataFrame) -> DataFrame:
+    """``(client, item, freq)`` with a ``number``, an integer of its own for each item of a client.
+
+    Items are numbered in hash parts, so no task holds a whole client, and by their order, so numbers are the same
+    whenever they are computed anew.
+    """
+    part = F.xxhash64("item").bitwiseAND(F.lit(NUMBER_PARTS - 1)).alias("part")
+    in_order = F.sort_array(F.collect_list(F.struct("item", "freq")))
+    placed = item_freq.groupBy("client", part).agg(in_order.alias("items")).select("client", "part", F.posexplode("items").alias("place", "own"))
+    number = F.col("place").cast("long") * NUMBER_PARTS + F.col("part")
+    return placed.select("client", "own.item", "own.freq", number.cast("int").alias("number"))
+
+
 def _split_long_links(rows: DataFrame, keys: list[str], block: int, counted: DataFrame | None = None) -> DataFrame:
     """Copy the rows of long links into one group per pair of item blocks ``(lo, hi)``.
 
@@ -86,21 +105,26 @@ def count_pairs(
 ) -> DataFrame:
     """Count the item pairs of ``(client, link, item, freq, ufrq)`` rows and apply the thresholds.
 
-    ``item_freq`` has the (client, item, freq) that surviving pairs are given. ``link_keys`` may name a
+    ``item_freq`` has the (client, item, freq) that surviving pairs are given. Where the caller has numbered it (see
+    :func:`numbered_items`), rows may come with their ``number``; else they are looked up. ``link_keys`` may name a
     coarser partitioning that the rows already have (the buyer of an order). ``longest_link`` is a
     known bound of the items of a link; up to ``block`` the splitting of long links is left out of the plan. ``counted`` are
     rows in which the links are at least as long, for counting their lengths. ``buckets``, if any, is the number of hash
     buckets in which pairs are counted first; a table of at most so many numbers is broadcast.
     """
+    if "number" not in item_freq.columns:
+        item_freq = numbered_items(item_freq)
+    if "number" not in rows.columns:
+        rows = look_up(rows, item_freq.select("client", "item", "number"), ["client", "item"])
     keys = list(link_keys)
-    member = [F.col("item")]
+    member = [F.col("number")]
     split = longest_link is None or longest_link > block
     if split:
         rows = _split_long_links(rows, keys, block, counted)
         keys += ["lo", "hi"]
         # The window alone would keep all blocks of a link together in the partitioning of the input.
         rows = rows.repartition(*keys)
-        member = [F.struct("item", "own")]
+        member = [F.struct("number", "own")]
 
     in_order = Window.partitionBy(*keys).orderBy("freq", "item")
     whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -113,12 +137,7 @@ def count_pairs(
     if split:
         # Two items of one block meet in the basket of that block alone, not in the mixed ones.
         others = F.filter(behind, lambda b: b["own"] != F.col("own"))
-        behind = F.when(F.col("lo") == F.col("hi"), behind).otherwise(others)["item"]
-
-    passes = _passes(min_amf, min_nmf)
-    if buckets:
-        pairs = baskets.select("client", F.col("item").alias("a"), *_weight(F.col("ufrq")), F.explode(behind).alias("b"))
-        return _with_frequencies(_count_in_buckets(pairs.filter(F.col("a") != F.col("b")), buckets, min_amf, passes), item_freq)
+        behind = F.when(F.col("lo") == F.col("hi"), behind).otherwise(others)["number"]
 
     # A link of many blocks gives an item as many stripes, each with the items of two blocks at most.
     stripes_per_link = -(-longest_link // block) if split and longest_link else 1
@@ -129,47 +148,93 @@ def count_pairs(
     part = F.pmod(F.xxhash64("link", *(("lo", "hi") if split else ())), groups)
     stripes = baskets.select(
         "client",
-        F.col("item").alias("a"),
+        F.col("number").alias("a"),
         part.alias("part"),
         (groups > 1).alias("spread"),
         *_weight(F.col("ufrq")),
         behind.alias("behind"),
-    ).repartition("client", "a", "part")
-    return _with_frequencies(_count_stripes(stripes, passes), item_freq)
+    )
+    if buckets:
+        stripes = _in_full_buckets(stripes, buckets, min_amf)
+    stripes = stripes.repartition("client", "a", "part")
+    return _with_frequencies(_count_stripes(stripes, math.ceil(min_amf), _passes(min_amf, min_nmf)), item_freq)
 
 
-def _count_in_buckets(pairs: DataFrame, buckets: int, min_amf: float, passes: Column) -> DataFrame:
-    """Count the pairs whose hash bucket holds enough pairs for one of them to reach ``min_amf``."""
+def _in_full_buckets(stripes: DataFrame, buckets: int, min_amf: float) -> DataFrame:
+    """Stripes of one pair each, of the pairs whose hash bucket holds enough pairs for one of them to reach ``min_amf``."""
+    pairs = stripes.withColumn("b", F.explode("behind")).drop("behind").filter(F.col("a") != F.col("b"))
     pairs = pairs.withColumn("bucket", F.pmod(F.xxhash64("client", "a", "b"), F.lit(buckets)))
     full = pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= F.lit(float(min_amf)))
     # At most ``buckets`` numbers.
     kept = pairs.join(F.broadcast(full.select("bucket")), "bucket", "left_semi")
-    sums = [F.sum(c).alias(c) for c in ("whole", "rest")]
-    return kept.groupBy("client", "a", "b").agg(F.count(F.lit(1)).alias("amf"), *sums).filter(passes)
-
-
-def _count_stripes(stripes: DataFrame, passes: Column) -> DataFrame:
-    sums = [F.sum(c).alias(c) for c in ("whole", "rest")]
-    counted = (
-        stripes.select("client", "a", "part", "spread", "whole", "rest", F.explode("behind").alias("b"))
-        .filter(F.col("a") != F.col("b"))
-        .groupBy("client", "a", "b", "part", "spread")
-        .agg(F.count(F.lit(1)).alias("amf"), *sums)
-        .filter(F.col("spread") | passes)
-    )
-    # An item rarer in one link is so in all, so a pair has one key, and all its parts meet here.
-    return counted.groupBy("client", "a", "b").agg(F.sum("amf").alias("amf"), *sums).filter(passes)
+    return kept.withColumn("behind", F.array("b")).drop("b", "bucket")
 
 
-def _with_frequencies(edges: DataFrame, item_freq: DataFrame) -> DataFrame:
-    """Order the ends of each edge and look up how often both occur."""
-    pairs = edges.select(
-        "client", F.least("a", "b").alias("item_ref"), F.greatest("a", "b").alias("item_rec"), "amf", _nmf().alias("nmf")
+def _count_stripes(stripes: DataFrame, least: int, passes: Column) -> DataFrame:
+    """Count the pairs of each key within one row, and those of spread keys once more over all their parts.
+
+    ``least`` is the smallest ``amf`` that may pass.
+    """
+    keys = ["client", "a", "part", "spread"]
+    gathered = stripes.groupBy(*keys).agg(F.collect_list(F.struct("behind", "whole", "rest")).alias("stripes"))
+    # A pair is one long, the number of the other item above the place of its stripe. Sorted, those of one item are a run.
+    places = F.transform(
+        "stripes", lambda s, place: F.transform(s["behind"], lambda b: F.shiftleft(b.cast("long"), 32).bitwiseOR(place.cast("long")))
+    )
+    ordered = gathered.select(*keys, F.col("stripes.whole"), F.col("stripes.rest"), F.sort_array(F.flatten(places)).alias("pairs"))
+
+    def other(at: Column) -> Column:
+        return F.shiftrightunsigned(F.get("pairs", at), 32).cast("int")
+
+    size = F.size("pairs")
+    # The end of a run is the start of the next one. None of these is merged into the next step: each is used there repeatedly.
+    ends = F.filter(F.sequence(F.lit(0), size), lambda i: (i > 0) & ((i == size) | (other(i) != other(i - 1))))
+    bounded = ordered.withColumn("ends", ends)
+    runs = F.transform("ends", lambda end, n: F.struct(F.coalesce(F.get("ends", n - 1), F.lit(0)).alias("start"), end.alias("end")))
+    enough = F.filter(runs, lambda r: (F.col("spread") | (r["end"] - r["start"] >= least)) & (other(r["start"]) != F.col("a")))
+
+    def total(weights: str, run: Column) -> Column:
+        """The sum over a run, as ``F.sum`` has it: null weights don't count, and without others it is null."""
+        own = F.slice("pairs", run["start"] + 1, run["end"] - run["start"])
+
+        def add(sum_: Column, pair: Column) -> Column:
+            weight = F.get(weights, pair.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("int"))
+            return F.coalesce(sum_ + weight, sum_, weight)
+
+        return F.aggregate(own, F.lit(None).cast("long"), add)
+
+    counts = F.transform(
+        enough,
+        lambda r: F.struct(
+            other(r["start"]).alias("b"),
+            (r["end"] - r["start"]).cast("long").alias("amf"),
+            *[total(w, r).alias(w) for w in ("whole", "rest")],
+        ),
+    )
+    # The outer form: for the inner one the optimizer would compute the counts once more to leave empty rows out.
+    counted = bounded.select(*keys, counts.alias("counts")).select(*keys, F.inline_outer("counts"))
+    counted = counted.filter(F.col("b").isNotNull() & (F.col("spread") | passes))
+    # An item rarer in one link is so in all, so a pair has one key, and all its parts meet here.
+    sums = [F.sum(c).alias(c) for c in ("amf", "whole", "rest")]
+    return counted.groupBy("client", "a", "b").agg(*sums).filter(passes)
+
+
+def _with_frequencies(edges: DataFrame, items: DataFrame) -> DataFrame:
+    """Look up the items of both numbers of each edge and how often they occur, and order the ends."""
+    pairs = edges.select("client", "a", "b", "amf", _nmf().alias("nmf"))
+    for end in ("a", "b"):
+        known = items.select("client", F.col("number").alias(end), F.col("item").alias(f"item_{end}"), F.col("freq").alias(f"freq_{end}"))
+        pairs = look_up(pairs, known, ["client", end])
+    in_order = F.col("item_a") < F.col("item_b")
+    return pairs.select(
+        "client",
+        F.least("item_a", "item_b").alias("item_ref"),
+        F.greatest("item_a", "item_b").alias("item_rec"),
+        "amf",
+        "nmf",
+        F.when(in_order, F.col("freq_a")).otherwise(F.col("freq_b")).alias("freq_ref"),
+        F.when(in_order, F.col("freq_b")).otherwise(F.col("freq_a")).alias("freq_rec"),
     )
-    for end in ("ref", "rec"):
-        known = item_freq.select("client", F.col("item").alias(f"item_{end}"), F.col("freq").alias(f"freq_{end}"))
-        pairs = look_up(pairs, known, ["client", f"item_{end}"])
-    return pairs.select("client", "item_ref", "item_rec", "amf", "nmf", "freq_ref", "freq_rec")
 
 
 def cooccurrences(
@@ -188,8 +253,9 @@ def cooccurrences(
     """
     rows = interactions.select("client", "link", "item")
     rows = look_up(rows, link_freq.select("client", "link", "ufrq"), ["client", "link"])
-    rows = look_up(rows, item_freq.select("client", "item", "freq"), ["client", "item"])
-    return count_pairs(rows, item_freq, min_amf, min_nmf, counted=interactions, **layout)
+    items = numbered_items(item_freq)
+    rows = look_up(rows, items, ["client", "item"])
+    return count_pairs(rows, items, min_amf, min_nmf, counted=interactions, **layout)
 
 
 def mirrored(edges: DataFrame) -> DataFrame:

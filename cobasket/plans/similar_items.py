@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cobasket.operators.cooccurrence import count_pairs, mirrored
+from cobasket.operators.cooccurrence import count_pairs, mirrored, numbered_items
 from cobasket.operators.documents import suggestion_documents, result_arrays
 from cobasket.operators.interactions import (
     complete,
@@ -61,7 +61,7 @@ def _edges(interactions: DataFrame, products: DataFrame, buyer: str, tuning: Tun
     if tuning.catalog_bits:
         known = possibly_in(known, items, ["client", "item"], tuning.catalog_bits)
     known = known.distinct()
-    freq = item_frequencies(known, items)
+    freq = numbered_items(item_frequencies(known, items))
     rows = buyers_within_cap(look_up(known, freq, ["client", "item"]), buyer, cap)
     # A pair shares at most as many links as its rarer item has, and its weight is at most that too.
     enough = max(tuning.min_amf, tuning.min_nmf)

@@ -6,10 +6,10 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from cobasket.operators.cooccurrence import _split_long_links, cooccurrences, count_pairs, mirrored
+from cobasket.operators.cooccurrence import _split_long_links, cooccurrences, count_pairs, mirrored, numbered_items
 from cobasket.operators.frequencies import items_per_link, links_per_item
 from cobasket.operators.ranking import ranked_similar
-from tests.helpers import EDGE_TYPES, as_edges, rounded, rows
+from tests.helpers import EDGE_TYPES, as_edges, executed_nodes, rounded, rows
 
 TRIPLES = "client string, link string, item string"
 LAYOUTS = [
@@ -217,6 +217,38 @@ def test_buckets_keep_rare_pairs_out_of_the_exchange(spark):
         assert ("LeftSemi" in plan) == bool(buckets) and ("RepartitionByExpression [client#" in plan or buckets)
 
 
+@pytest.mark.parametrize("longest", [40, None], ids=["whole", "split"])
+def test_no_step_has_a_row_per_pair(spark, longest):
+    """Hash tables of all pairs of a task outgrow its memory; stripes are counted key by key."""
+    rng = random.Random(4)
+    data = sorted(("c1", f"u{n}", f"i{i:02d}") for n in range(200) for i in rng.sample(range(60), 40))
+    df = spark.createDataFrame(data, TRIPLES)
+    edges = cooccurrences(df, items_per_link(df), links_per_item(df), 2.1, 0, longest_link=longest)
+    assert as_edges(edges) == rounded(_expected(data, 2.1, 0))
+    edges.collect()
+    made = []
+    for node in executed_nodes(edges):
+        metric = node.metrics().get("numOutputRows")
+        made += [metric.get().value()] if metric.isDefined() else []
+    assert made and max(made) <= len(data) < 200 * 40 * 39 // 2
+
+
+def test_weights_add_up_as_sums_do(spark):
+    """Links without a weight count for amf alone; a pair of such links only has no nmf and passes no threshold."""
+    data = [("c1", "u1", i, 3, u) for i, u in (("A", None), ("B", None), ("C", None))]
+    data += [("c1", "u2", i, 3, 4) for i in "AB"]
+    df = spark.createDataFrame(data, "client string, link string, item string, freq long, ufrq long")
+    items = spark.createDataFrame([("c1", i, 3) for i in "ABC"], "client string, item string, freq long")
+    for layout in ({"longest_link": 9}, {"longest_link": 9, "links_per_group": 1}, {"buckets": 8}):
+        assert as_edges(count_pairs(df, items, 0, 0, **layout)) == {("c1", "A", "B"): (2, 0.5, 3, 3)}
+
+
+def test_numbers_are_unique_and_do_not_depend_on_layout(spark):
+    items = spark.range(5000).selectExpr("concat('c', id % 2) AS client", "cast(id DIV 2 AS string) AS item", "id AS freq")
+    once, again = (rows(numbered_items(x)) for x in (items, items.repartition(5, "freq")))
+    assert once == again and len({(c, n) for c, _, _, n in once}) == len(once) == 5000
+
+
 def test_mirror_swaps_roles_and_frequencies(spark):
     edges = spark.createDataFrame([("c1", "A", "B", 3, 1.5, 4, 5)], EDGE_TYPES)
     assert rows(mirrored(edges)) == [("c1", "A", "B", 3, 1.5, 4, 5), ("c1", "B", "A", 3, 1.5, 5, 4)]
