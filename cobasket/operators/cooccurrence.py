@@ -106,7 +106,7 @@ def count_pairs(
     """Count the item pairs of ``(client, link, item, freq, ufrq)`` rows and apply the thresholds.
 
     ``item_freq`` has the (client, item, freq) that surviving pairs are given. Where the caller has numbered it (see
-    :func:`numbered_items`), rows may come with their ``number``; else they are looked up. ``link_keys`` may name a
+    :func:`numbered_items`), rows may come with a ``number`` in place of the item; else it is looked up. ``link_keys`` may name a
     coarser partitioning that the rows already have (the buyer of an order). ``longest_link`` is a
     known bound of the items of a link; up to ``block`` the splitting of long links is left out of the plan. ``counted`` are
     rows in which the links are at least as long, for counting their lengths. ``buckets``, if any, is the number of hash
@@ -116,15 +116,17 @@ def count_pairs(
         item_freq = numbered_items(item_freq)
     if "number" not in rows.columns:
         rows = look_up(rows, item_freq.select("client", "item", "number"), ["client", "item"])
+    # From here on an item is its number.
+    rows = rows.drop("item").withColumnRenamed("number", "item")
     keys = list(link_keys)
-    member = [F.col("number")]
+    member = [F.col("item")]
     split = longest_link is None or longest_link > block
     if split:
         rows = _split_long_links(rows, keys, block, counted)
         keys += ["lo", "hi"]
         # The window alone would keep all blocks of a link together in the partitioning of the input.
         rows = rows.repartition(*keys)
-        member = [F.struct("number", "own")]
+        member = [F.struct("item", "own")]
 
     in_order = Window.partitionBy(*keys).orderBy("freq", "item")
     whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -137,7 +139,7 @@ def count_pairs(
     if split:
         # Two items of one block meet in the basket of that block alone, not in the mixed ones.
         others = F.filter(behind, lambda b: b["own"] != F.col("own"))
-        behind = F.when(F.col("lo") == F.col("hi"), behind).otherwise(others)["number"]
+        behind = F.when(F.col("lo") == F.col("hi"), behind).otherwise(others)["item"]
 
     # A link of many blocks gives an item as many stripes, each with the items of two blocks at most.
     stripes_per_link = -(-longest_link // block) if split and longest_link else 1
@@ -148,7 +150,7 @@ def count_pairs(
     part = F.pmod(F.xxhash64("link", *(("lo", "hi") if split else ())), groups)
     stripes = baskets.select(
         "client",
-        F.col("number").alias("a"),
+        F.col("item").alias("a"),
         part.alias("part"),
         (groups > 1).alias("spread"),
         *_weight(F.col("ufrq")),

@@ -48,7 +48,7 @@ def buyers_within_cap(rows: DataFrame, buyer: str, cap: int) -> DataFrame:
     """
     over = rows.groupBy("client", buyer).agg(F.count(F.lit(1)).alias("total")).filter(F.col("total") > cap)
     kept = look_up(rows, over, ["client", buyer], "left_anti").select(*rows.columns)
-    order = list(dict.fromkeys(("client", buyer, "link", "freq", "item")))
+    order = list(dict.fromkeys(("client", buyer, "link", "freq", "number")))
     by_buyer = kept.repartition("client", buyer).sortWithinPartitions(*order)
     total = F.count(F.lit(1)).over(Window.partitionBy("client", buyer))
     return by_buyer.withColumn("ufrq", total).filter(F.col("ufrq") >= 2)
@@ -62,7 +62,8 @@ def _edges(interactions: DataFrame, products: DataFrame, buyer: str, tuning: Tun
         known = possibly_in(known, items, ["client", "item"], tuning.catalog_bits)
     known = known.distinct()
     freq = numbered_items(item_frequencies(known, items))
-    rows = buyers_within_cap(look_up(known, freq, ["client", "item"]), buyer, cap)
+    rows = look_up(known, freq, ["client", "item"]).drop("item")
+    rows = buyers_within_cap(rows, buyer, cap)
     # A pair shares at most as many links as its rarer item has, and its weight is at most that too.
     enough = max(tuning.min_amf, tuning.min_nmf)
     rows = rows.filter(F.col("link").isNotNull() & (F.col("freq") > 1) & (F.col("freq") >= F.lit(float(enough))))
