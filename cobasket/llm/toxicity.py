@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cobasket.llm.arrow import pieces, texts
+from cobasket.llm.arrow import ROWS, pieces, texts
 from cobasket.llm.storage import written
 
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -34,6 +34,8 @@ BEGINNINGS = (4, 5, 6)
 MIXERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 # Chunks of very long texts, cut at blanks.
 STEP_CHARS = 1 << 20
+# Words whose hashes or places a task keeps, some 500 bytes each.
+CACHED = 1 << 16
 
 
 def term_hashes(word: str, bits: int) -> tuple[int, ...]:
@@ -74,6 +76,14 @@ class FactorizationMachine:
         own = np.bincount(row, (v * v).sum(axis=1), rows)
         return self.bias + linear + 0.5 * ((total * total).sum(axis=1) - own)
 
+    def margins_in_parts(self, at: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+        """The same, a few texts at a time, as the vectors of all their terms would take many times the places."""
+        parts = [np.zeros(0)]
+        for begin in range(0, rows, ROWS):
+            first, last = np.searchsorted(row, [begin, begin + ROWS])
+            parts.append(self.margins(at[first:last], row[first:last] - begin, min(ROWS, rows - begin)))
+        return np.concatenate(parts)
+
     def fit(self, at: np.ndarray, row: np.ndarray, label: np.ndarray, steps: int, seed: int, rate: float = 0.03, ridge: float = 2e-2) -> None:
         """Adam on logistic loss over shuffled mini-batches of texts, ``steps`` of them at least; ``row`` ascends."""
         draw, rows = np.random.default_rng(seed), len(label)
@@ -139,7 +149,7 @@ class FactorizationMachine:
         """Prepare for scoring: words are looked up once per task, and few of them matter."""
         place = {int(t): i for i, t in enumerate(self.terms)}
 
-        @lru_cache(maxsize=300_000)
+        @lru_cache(maxsize=CACHED)
         def places(word: str) -> tuple[int, ...]:
             return tuple(place[t] for t in term_hashes(word, self.bits) if t in place)
 
@@ -187,22 +197,29 @@ def _ratio(in_1: np.ndarray, in_0: np.ndarray, ones: float, zeros: float) -> np.
 
 
 def telling_pairs(common: np.ndarray, at: np.ndarray, row: np.ndarray, label: np.ndarray, gain: float) -> np.ndarray:
-    """The terms of pairs whose joint presence has a G that exceeds those of both its terms by ``gain``.
+    """The terms of pairs whose joint presence has a G that exceeds those of both its terms by ``gain``; ``row`` ascends.
 
     So terms stay that say nothing alone, while a telling term doesn't take along whatever stands beside it.
     """
     place = np.full(int(max(at.max(initial=-1), common.max(initial=-1))) + 2, -1)
     place[common] = np.arange(len(common))
-    mine = place[at] >= 0
-    has = np.zeros((len(label), len(common)), np.float32)
-    has[row[mine], place[at[mine]]] = 1
+    # How many rows of each class have both terms, added up over a few rows at a time; whole numbers are exact in single precision.
+    together = np.zeros((2, len(common), len(common)), np.float32)
+    for begin in range(0, len(label), ROWS):
+        first, last = np.searchsorted(row, [begin, begin + ROWS])
+        of = place[at[first:last]]
+        has = np.zeros((min(ROWS, len(label) - begin), len(common)), np.float32)
+        has[row[first:last][of >= 0] - begin, of[of >= 0]] = 1
+        is_1 = label[begin : begin + ROWS] == 1
+        for part, own in zip(together, (has[is_1], has[~is_1]), strict=True):
+            for at_once in range(0, len(common), 256):
+                part[at_once : at_once + 256] += own[:, at_once : at_once + 256].T @ own
     ones, zeros = label.sum(), (1 - label).sum()
-    of_1, of_0 = has[label == 1], has[label == 0]
-    alone = _ratio(of_1.sum(axis=0), of_0.sum(axis=0), ones, zeros)
+    alone = _ratio(together[0].diagonal(), together[1].diagonal(), ones, zeros)
     found = np.zeros(len(common), bool)
-    for begin in range(0, len(common), 256):
-        block = slice(begin, begin + 256)
-        both = _ratio((of_1[:, block].T @ of_1).astype(float), (of_0[:, block].T @ of_0).astype(float), ones, zeros)
+    for begin in range(0, len(common), 64):
+        block = slice(begin, begin + 64)
+        both = _ratio(together[0, block].astype(float), together[1, block].astype(float), ones, zeros)
         more = both - np.maximum(alone[block, None], alone[None, :]) >= gain
         found[block] |= more.any(axis=1)
         found |= more.any(axis=0)
@@ -242,7 +259,7 @@ def train(
         return none
 
     def hash_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = lru_cache(maxsize=300_000)(lambda word: term_hashes(word, bits))
+        hashes = lru_cache(maxsize=CACHED)(lambda word: term_hashes(word, bits))
         for batch in pieces(batches, "text"):
             found, alike = [], []
             for content in texts(batch, "text"):
@@ -289,7 +306,7 @@ def train(
     of_sample = float(np.log(label_of.sum() / (len(label_of) - label_of.sum())))
     machine = FactorizationMachine(kept, bits, of_sample, np.zeros(len(kept)), start)
     machine.fit(at, row, label_of, steps, seed)
-    machine.calibrate(machine.margins(at, row, len(label_of)), label_of)
+    machine.calibrate(machine.margins_in_parts(at, row, len(label_of)), label_of)
     machine.bias += prior - of_sample
     return machine
 

@@ -3,6 +3,7 @@
 import io
 import random
 import time
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -209,6 +210,24 @@ class TestToxicity:
         none = np.zeros(0, np.int64)
         assert toxicity.telling_pairs(none, none, none, np.array([0.0, 1.0]), 1.0).tolist() == []
 
+    def test_pairs_are_counted_and_margins_summed_a_few_rows_at_a_time(self, monkeypatch):
+        draw = np.random.default_rng(5)
+        sizes = draw.integers(0, 40, 3000)
+        row = np.repeat(np.arange(3000), sizes)
+        at = np.concatenate([draw.choice(700, n, replace=False) for n in sizes])
+        label = (draw.random(3000) < 0.4).astype(float)
+        machine = toxicity.FactorizationMachine(np.arange(700), 40, 0.1, draw.normal(size=700), draw.normal(size=(700, 6)))
+        common = np.sort(draw.choice(700, 600, replace=False))
+        tracemalloc.start()
+        found = toxicity.telling_pairs(common, at, row, label, 8.0)
+        assert tracemalloc.get_traced_memory()[1] < 12 << 20  # 3000 x 600 numbers of four bytes and as many for the classes are 14 MB
+        tracemalloc.stop()
+        monkeypatch.setattr(toxicity, "ROWS", 5000)
+        assert 0 < len(found) < 600 and found.tolist() == toxicity.telling_pairs(common, at, row, label, 8.0).tolist()
+        monkeypatch.setattr(toxicity, "ROWS", 7)
+        assert (machine.margins_in_parts(at, row, 3000) == machine.margins(at, row, 3000)).all()
+        assert machine.margins_in_parts(at[:0], row[:0], 0).tolist() == []
+
     def test_texts_without_terms_can_be_learnt_from(self, spark):
         docs = spark.createDataFrame([(i, None if i % 2 else "") for i in range(40)], "doc_id long, text string")
         machine = toxicity.train(docs, docs.selectExpr("doc_id", "doc_id % 2 AS toxic"))
