@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+# Lines per task of the join that builds the orders.
+LINES_PER_TASK = 250_000
+
 # The market segments of the public benchmark schema.
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -26,14 +29,18 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer")
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    )
+def _lines(spark: SparkSession, sf_dir: str, per_task: int = LINES_PER_TASK) -> DataFrame:
+    """Lines with their order and customer, joined at most about ``per_task`` lines to a task.
+
+    Adaptive execution merges partitions by their compressed bytes. Lines shrink to 15 bytes each, so a merged task would
+    sort millions of them, and whatever hashes them next would hold as many rows. A given number of partitions isn't merged.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    bought = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    tasks = -(-lines.count() // per_task)  # from the footers of the files
+    if tasks > spark.sparkContext.defaultParallelism:
+        lines, bought = lines.repartition(tasks, "l_orderkey"), bought.repartition(tasks, "o_orderkey")
+    return lines.join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def _item(product_id: Column) -> Column:
