@@ -6,9 +6,10 @@
    (neighbouring characters, the words before). The anchors of the base rules, "+" and "@", are masked, so
    that the trees learn what such data look like rather than the rule itself. A base rule that ran on into a
    neighbouring number, and failed, is thus made up for.
-3. *Boosted trees*, one set per kind, are trained on candidates of a bounded sample of the texts:
+3. *Boosted trees*, one set per kind, are trained on the candidates of all texts:
    positive are base spans, also beside other numbers, and rewritten forms of them, negative are
-   candidates that no base rule takes, and spoilt forms.
+   candidates that no base rule takes, and spoilt forms. Equal examples are counted first; the cluster then adds up
+   histograms, a job per level of a tree of every kind, so the driver sees sums alone.
 4. The *threshold* of each kind is the lowest one that reaches the wanted precision on candidates
    held out from training; a kind that can't reach it adds nothing.
 
@@ -22,7 +23,8 @@ import random
 import re
 import string
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import accumulate, pairwise, repeat
 
@@ -31,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cobasket.llm.arrow import pieces, texts
-from cobasket.llm.boosting import BoostedTrees
+from cobasket.llm.boosting import BINS, BoostedTrees
+from cobasket.llm.storage import written
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, str, int]  # start, kind, end
@@ -294,58 +297,134 @@ def _examples(text: str, draw: random.Random) -> Iterator[tuple[str, int, list[f
             yield kind, 0, features(text, start, kind, end)
 
 
-def train(rows: DataFrame, text: str = "text", sample_rows: int = 4000, per_text: int = 40, precision: float = 0.995, seed: int = 7) -> PersonalDataModel:
-    """Train on the candidates of at most ``sample_rows`` distinct texts that hold a digit or an "@".
+# Where features, small whole numbers all, are cut into bins.
+EDGES = (*range(20), 22, 25, 29, 34, 40, 50, 64, 96, 128, 256)
+FEATURES = 29
+# Examples passed on at a time.
+EXAMPLES = 50_000
+# Up to so many counted examples, the driver adds them up itself, which spares a job per level.
+FEW = 50_000
+# Scores are counted by this part of one to set thresholds, a power of two, so that the borders are exact.
+GRID = 1 << 14
 
-    The sample is those with the smallest text hash, so it doesn't depend on partitioning. Each text gives at most
-    ``per_text`` candidates to the driver, as features alone. A quarter of the texts is held out to set thresholds.
-    Copies are one text, null texts don't count, and without enough candidates of a kind the model adds none of it.
+Examples = dict[tuple[int, str, int, bytes], int]  # digest, kind, label, bins; how often
+
+
+def _example_rows(found: Examples) -> pa.RecordBatch:
+    digest, kind, label, bins = zip(*found, strict=True)
+    columns = [pa.array(digest, pa.int64()), pa.array(kind, pa.string()), pa.array(label, pa.int32()), pa.array(bins, pa.binary())]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(found.values(), pa.int64())], names=["digest", "kind", "label", "bins", "n"])
+
+
+def counted_examples(rows: DataFrame, text: str = "text", seed: int = 7) -> DataFrame:
+    """``(kind, held, label, bins, n)``: how often each example of a kind comes up in all texts that hold a digit or an "@".
+
+    ``bins`` has a byte per feature. A quarter of the texts, by their hash, is held out. Copies are one text, null texts don't count.
     """
 
     def examine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            out: dict[str, list] = {"digest": [], "kind": [], "label": [], "features": []}
+            found: Examples = Counter()
             for digest, content in zip(batch.column("digest").to_pylist(), texts(batch, "text"), strict=True):
-                for number, (kind, label, values) in enumerate(_examples(content, random.Random(digest ^ seed))):
-                    if number >= per_text:
-                        break
-                    for name, value in zip(out, (digest, kind, label, values), strict=True):
-                        out[name].append(value)
-            yield pa.RecordBatch.from_pydict(
-                out, pa.schema([("digest", pa.int64()), ("kind", pa.string()), ("label", pa.int32()), ("features", pa.list_(pa.float64()))])
-            )
+                for kind, label, values in _examples(content, random.Random(digest ^ seed)):
+                    found[digest, kind, label, bytes(bisect_left(EDGES, v) for v in values)] += 1
+                if len(found) >= EXAMPLES:
+                    yield _example_rows(found)
+                    found = Counter()
+            if found:
+                yield _example_rows(found)
 
     holding = rows.select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
     hashed = holding.select(F.xxhash64("text", F.lit(seed)).alias("digest"), "text")
-    # Only hashes are sorted; the texts are read again for the chosen few.
-    chosen = [r[0] for r in hashed.select("digest").distinct().orderBy("digest").limit(sample_rows).collect()]
-    if not chosen:
-        return PersonalDataModel()
-    sample = hashed.where(F.col("digest") <= max(chosen)).dropDuplicates(["digest"])
-    found = sample.mapInArrow(examine, "digest long, kind string, label int, features array<double>").collect()
-    found.sort(key=lambda r: (r["digest"], r["kind"], r["label"], r["features"]))
-    model = PersonalDataModel()
+    found = hashed.mapInArrow(examine, "digest long, kind string, label int, bins binary, n long")
+    # Copies of a text give the same examples, the drawn ones too, as often each.
+    once = found.groupBy("digest", "kind", "label", "bins").agg(F.max("n").alias("n"))
+    held = (F.pmod("digest", F.lit(4)) == 0).alias("held")
+    return once.groupBy("kind", held, "label", "bins").agg(F.sum("n").alias("n"))
+
+
+def _by_kind(batch: pa.RecordBatch, kinds: Iterable[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+    """Kind, bins, labels and counts of the examples of each of the ``kinds``."""
+    kind = np.array(batch.column("kind").to_pylist())
+    bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, FEATURES)
+    label, n = batch.column("label").to_numpy(), batch.column("n").to_numpy()
+    for own in kinds:
+        mine = kind == own
+        if mine.any():
+            yield own, bins[mine], label[mine], n[mine]
+
+
+def _added_up(batches: Iterable[pa.RecordBatch], trees: dict[str, BoostedTrees]) -> dict[str, np.ndarray]:
+    total: dict[str, np.ndarray] = {}
+    for batch in batches:
+        for kind, bins, label, n in _by_kind(batch, trees):
+            total[kind] = total.get(kind, 0) + trees[kind].sums(bins, label, n)
+    return total
+
+
+def _level_sums(examples: DataFrame, trees: dict[str, BoostedTrees]) -> dict[str, np.ndarray]:
+    """The sums over all examples by which the trees of every kind grow a level."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kind, sums in _added_up(batches, trees).items():
+            flat = sums.reshape(2, -1)
+            cell = np.flatnonzero(flat.any(axis=0))
+            yield pa.RecordBatch.from_pydict({"kind": [kind] * len(cell), "cell": cell, "g": flat[0, cell], "h": flat[1, cell]})
+
+    parts = examples.mapInArrow(add_up, "kind string, cell long, g long, h long")
+    level = next(iter(trees.values())).level
+    sums = {kind: np.zeros((2, 2**level * FEATURES * BINS), np.int64) for kind in trees}
+    # At most all cells of the histograms of all kinds.
+    for kind, cell, g, h in parts.groupBy("kind", "cell").agg(F.sum("g"), F.sum("h")).collect():
+        sums[kind][:, cell] = g, h
+    return {kind: flat.reshape(2, 2**level, FEATURES, BINS) for kind, flat in sums.items()}
+
+
+def _thresholds(held: DataFrame, trees: dict[str, BoostedTrees], precision: float) -> dict[str, float]:
+    """The lowest score of each kind from which on the wanted precision holds, a half at least; none, if it never does."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kind, bins, label, n in _by_kind(batch, trees):
+                step = np.floor(trees[kind].predict_binned(bins) * GRID).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"kind": [kind] * len(n), "step": step, "right": n * label, "n": n})
+
+    counts = held.mapInArrow(count, "kind string, step long, right long, n long")
+    # At most as many rows a kind as there are steps.
+    steps = counts.groupBy("kind", "step").agg(F.sum("right"), F.sum("n")).collect()
+    found = {}
+    for own in trees:
+        right = n = 0
+        for _, step, more_right, more in sorted((r for r in steps if r[0] == own), key=lambda r: -r[1]):
+            right, n = right + more_right, n + more
+            if right >= precision * n:
+                found[own] = max(0.5, step / GRID)
+    return found
+
+
+def train(rows: DataFrame, text: str = "text", precision: float = 0.995, seed: int = 7) -> PersonalDataModel:
+    """Train on the candidates of all texts, of which a quarter is held out to set thresholds.
+
+    The model doesn't depend on partitioning. Copies are one text, null texts don't count, and without enough candidates
+    of a kind the model adds none of it. Examples are counted in a table in the shared folder.
+    """
+    counted = written(counted_examples(rows, text, seed), "examples")
+    counts = {tuple(r[:3]): r[3] for r in counted.groupBy("kind", "held", "label").agg(F.sum("n")).collect()}
+    edges = [np.array(EDGES, float)] * FEATURES
+    trees = {}
     for kind in KINDS:
-        mine = [r for r in found if r["kind"] == kind]
-        x = np.array([r["features"] for r in mine])
-        y = np.array([r["label"] for r in mine])
-        held = np.array([r["digest"] % 4 == 0 for r in mine], dtype=bool)
-        if len(mine) < 40 or len(set(y[~held].tolist())) < 2 or not (y[held] == 1).any():
-            continue
-        trees = BoostedTrees().fit(x[~held], y[~held])
-        threshold = _threshold(trees.predict(x[held]), y[held], precision)
-        if threshold is not None:
-            model.trees[kind], model.thresholds[kind] = trees, threshold
-    return model
-
-
-def _threshold(chance: np.ndarray, label: np.ndarray, precision: float) -> float | None:
-    """The lowest score from which on the wanted precision holds, a half at least."""
-    order = np.argsort(-chance, kind="stable")
-    right = np.cumsum(label[order]) / np.arange(1, len(order) + 1)
-    last = np.r_[chance[order][1:] != chance[order][:-1], True]  # equal scores are taken together
-    good = np.flatnonzero(last & (right >= precision))
-    return max(0.5, float(chance[order][good[-1]])) if len(good) else None
+        wrong, right, held_right = (counts.get((kind, *at), 0) for at in ((False, 0), (False, 1), (True, 1)))
+        if wrong and right and held_right and wrong + right + held_right + counts.get((kind, True, 0), 0) >= 40:
+            trees[kind] = BoostedTrees().begin(edges, right / (wrong + right))
+    if not trees:
+        return PersonalDataModel()
+    learnt = counted.where(~F.col("held"))
+    few = learnt.toArrow().to_batches() if learnt.count() <= FEW else None
+    for _ in range(max(t.trees * t.depth for t in trees.values())):
+        for kind, sums in (_level_sums(learnt, trees) if few is None else _added_up(few, trees)).items():
+            trees[kind].split(sums)
+    thresholds = _thresholds(counted.where("held"), trees, precision)
+    return PersonalDataModel({k: t for k, t in trees.items() if k in thresholds}, thresholds)
 
 
 def listed(spans: list[Span]) -> str:
