@@ -87,3 +87,13 @@ def executed_nodes(df):
             stack.append(node.plan())
         children = node.children()
         stack += [children.apply(i) for i in range(children.size())]
+
+
+def exchanges(df):
+    """``(rows, bytes)`` that each exchange of the executed plan of ``df`` has written, those used twice counted once."""
+    found = {}
+    for node in executed_nodes(df):
+        if node.nodeName() == "Exchange":
+            records, size = (node.metrics().apply(name) for name in ("shuffleRecordsWritten", "shuffleBytesWritten"))
+            found[records.id()] = records.value(), size.value()
+    return sorted(found.values())

@@ -11,12 +11,13 @@ from cobasket import order_suggestions, purchase_suggestions
 from cobasket.operators.cooccurrence import cooccurrences
 from cobasket.operators.frequencies import items_per_buyer, items_per_link, links_per_item
 from cobasket.operators.interactions import prune_interactions, purchase_interactions, valid_interactions
+from cobasket.operators.lookup import look_up
 from cobasket.plans.similar_items import purchase_edges
 from cobasket.schemas import schema_of
 from cobasket.sources.dumps import read_json, write_json
 from cobasket.tuning import Tuning
 from testbed.queries import QUERIES
-from tests.helpers import as_edges, brute_force_edges, catalog, events, rounded
+from tests.helpers import as_edges, brute_force_edges, catalog, events, exchanges, rounded
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 JOBS = {"purchase": purchase_suggestions, "order": order_suggestions}
@@ -151,3 +152,15 @@ def test_hot_keys_are_split_in_the_single_operators(spark):
         pruned = prune_interactions(df, links, frequencies, 1000)
         assert executed_plan(pruned).count(SPLIT) == 2
         assert SPLIT in executed_plan(cooccurrences(df, links, frequencies, 10, 0))
+
+
+def test_a_lookup_sends_no_hash_with_each_row(spark):
+    n = 50_000
+    rows = spark.range(n).select((F.col("id") * 7919 % n).alias("k"))
+    table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("times"))
+    with settings(spark, NO_BROADCAST):
+        found = look_up(rows, table, ["k"])
+        assert found.count() == n
+        found.collect()
+        sent = [size for count, size in exchanges(found) if count == n]
+    assert max(sent) < 10 * n
