@@ -6,7 +6,8 @@ Counting pairs is the one quadratic step, so it is laid out with care:
    sees its basket and its place in it. Links longer than ``BLOCK`` are cut into blocks of items first,
    and every pair of blocks becomes its own basket, so no task holds a whole long link.
 2. *Stripes.* Each item of a basket is sent with the array of items behind it, instead of one row
-   per pair, and items as their numbers, four bytes each. The key of a stripe is the rarer item of all its
+   per pair, items as their numbers, in halves of two bytes of which the upper one is mostly zero, and the link's ``ufrq`` in
+   place of the weight, which is worked out behind the exchange. The key of a stripe is the rarer item of all its
    pairs, so popular items hardly ever act as keys; the ones that do are spread over several tasks by a hash of
    link and blocks, so that no task unrolls more than a bounded number of pairs of one item.
 3. *Counting.* Stripes of one key are gathered into one row, and its pairs are sorted and counted within it, key after
@@ -40,15 +41,22 @@ UNIT = 1_000_000_000
 # Digits of the final weight, below which a double can't tell sums like three times 2/15 from 0.4.
 WEIGHT_DIGITS = 12
 
+# What is taken from 16 bits to fit a smallint.
+HALF = 1 << 15
+
 # Hash parts of a client's items, within which they are numbered.
 NUMBER_PARTS = 1024
 
 
-def _weight(ufrq: Column) -> list[Column]:
-    """2/ufrq in whole billionths and the rest in billionths of a billionth."""
+def _whole(ufrq: Column) -> Column:
+    """2/ufrq in whole billionths."""
+    return F.floor(F.try_divide(F.lit(2.0), ufrq) * UNIT).cast("long")
+
+
+def _rest(ufrq: Column) -> Column:
+    """What 2/ufrq is more than that, in billionths of a billionth."""
     norm = F.try_divide(F.lit(2.0), ufrq)
-    whole = F.floor(norm * UNIT)
-    return [whole.cast("long").alias("whole"), F.round((norm * UNIT - whole) * UNIT).cast("long").alias("rest")]
+    return F.round((norm * UNIT - F.floor(norm * UNIT)) * UNIT).cast("long")
 
 
 def _nmf() -> Column:
@@ -73,14 +81,18 @@ def numbered_items(item_freq: DataFrame) -> DataFrame:
     return placed.select("client", "own.item", "own.freq", number.cast("int").alias("number"))
 
 
-def _split_long_links(rows: DataFrame, keys: list[str], block: int, counted: DataFrame | None = None) -> DataFrame:
+def _long_links(rows: DataFrame, keys: list[str], block: int) -> DataFrame:
+    """The links of more than one block with their ``length``, counted map-side, so no task gathers a link before it is cut."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("length")).filter(F.col("length") > block)
+
+
+def _split_long_links(rows: DataFrame, keys: list[str], block: int) -> DataFrame:
     """Copy the rows of long links into one group per pair of item blocks ``(lo, hi)``.
 
-    Links are counted map-side, in ``counted`` (their rows or more) or in the rows themselves, and only those of more than
-    one block are looked up, so no task gathers a link before it is cut.
+    Rows may come with the ``length`` of their link, null for one block; else it is looked up.
     """
-    length = (rows if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("length"))
-    rows = look_up(rows, length.filter(F.col("length") > block), keys, "left")
+    if "length" not in rows.columns:
+        rows = look_up(rows, _long_links(rows, keys, block), keys, "left")
     n_blocks = F.coalesce(F.ceil(F.col("length") / F.lit(float(block))), F.lit(1).cast("long"))
     rows = rows.withColumn("n_blocks", n_blocks).drop("length")
     own = F.pmod(F.xxhash64("item"), F.col("n_blocks"))
@@ -90,6 +102,10 @@ def _split_long_links(rows: DataFrame, keys: list[str], block: int, counted: Dat
     return rows.select("*", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
 
 
+def _may_be_long(longest_link: int | None = None, block: int = BLOCK, **_) -> bool:
+    return longest_link is None or longest_link > block
+
+
 def count_pairs(
     rows: DataFrame,
     item_freq: DataFrame,
@@ -101,16 +117,15 @@ def count_pairs(
     links_per_group: int = LINKS_PER_GROUP,
     pairs_per_group: int = PAIRS_PER_GROUP,
     buckets: int = 0,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Count the item pairs of ``(client, link, item, freq, ufrq)`` rows and apply the thresholds.
 
     ``item_freq`` has the (client, item, freq) that surviving pairs are given. Where the caller has numbered it (see
     :func:`numbered_items`), rows may come with a ``number`` in place of the item; else it is looked up. ``link_keys`` may name a
     coarser partitioning that the rows already have (the buyer of an order). ``longest_link`` is a
-    known bound of the items of a link; up to ``block`` the splitting of long links is left out of the plan. ``counted`` are
-    rows in which the links are at least as long, for counting their lengths. ``buckets``, if any, is the number of hash
-    buckets in which pairs are counted first; a table of at most so many numbers is broadcast.
+    known bound of the items of a link; up to ``block`` the splitting of long links is left out of the plan. Rows with a ``length``
+    are taken to be of a link of at least so many rows, or of no more than ``block`` where it is null. ``buckets``, if any, is the
+    number of hash buckets in which pairs are counted first; a table of at most so many numbers is broadcast.
     """
     if "number" not in item_freq.columns:
         item_freq = numbered_items(item_freq)
@@ -120,9 +135,9 @@ def count_pairs(
     rows = rows.drop("item").withColumnRenamed("number", "item")
     keys = list(link_keys)
     member = [F.col("item")]
-    split = longest_link is None or longest_link > block
+    split = _may_be_long(longest_link, block)
     if split:
-        rows = _split_long_links(rows, keys, block, counted)
+        rows = _split_long_links(rows, keys, block)
         keys += ["lo", "hi"]
         # The window alone would keep all blocks of a link together in the partitioning of the input.
         rows = rows.repartition(*keys)
@@ -153,15 +168,21 @@ def count_pairs(
         F.col("item").alias("a"),
         part.alias("part"),
         (groups > 1).alias("spread"),
-        *_weight(F.col("ufrq")),
+        "ufrq",
         behind.alias("behind"),
     )
     if buckets:
         stripes = _in_full_buckets(stripes, buckets, min_amf)
-    stripes = stripes.repartition("client", "a", "part")
+    stripes = stripes.select("client", "a", "part", "spread", "ufrq", *_halves("behind")).repartition("client", "a", "part")
     return _with_frequencies(_count_stripes(stripes, math.ceil(min_amf), _passes(min_amf, min_nmf)), item_freq)
 
 
+def _halves(numbers: str) -> list[Column]:
+    """Numbers as an array of their lower and one of their upper 16 bits, which are mostly zero and compress to next to nothing."""
+    lower = F.transform(numbers, lambda n: (n.bitwiseAND(0xFFFF) - HALF).cast("smallint"))
+    return [lower.alias("lower"), F.transform(numbers, lambda n: F.shiftright(n, 16).cast("smallint")).alias("upper")]
+
+
 def _in_full_buckets(stripes: DataFrame, buckets: int, min_amf: float) -> DataFrame:
     """Stripes of one pair each, of the pairs whose hash bucket holds enough pairs for one of them to reach ``min_amf``."""
     pairs = stripes.withColumn("b", F.explode("behind")).drop("behind").filter(F.col("a") != F.col("b"))
@@ -178,12 +199,15 @@ def _count_stripes(stripes: DataFrame, least: int, passes: Column) -> DataFrame:
     ``least`` is the smallest ``amf`` that may pass.
     """
     keys = ["client", "a", "part", "spread"]
-    gathered = stripes.groupBy(*keys).agg(F.collect_list(F.struct("behind", "whole", "rest")).alias("stripes"))
+    gathered = stripes.groupBy(*keys).agg(F.collect_list(F.struct("lower", "upper", "ufrq")).alias("stripes"))
+
+    def pair(lower: Column, upper: Column, place: Column) -> Column:
+        return F.shiftleft(upper.cast("long") * (2 * HALF) + (lower + F.lit(HALF)), 32).bitwiseOR(place.cast("long"))
+
     # A pair is one long, the number of the other item above the place of its stripe. Sorted, those of one item are a run.
-    places = F.transform(
-        "stripes", lambda s, place: F.transform(s["behind"], lambda b: F.shiftleft(b.cast("long"), 32).bitwiseOR(place.cast("long")))
-    )
-    ordered = gathered.select(*keys, F.col("stripes.whole"), F.col("stripes.rest"), F.sort_array(F.flatten(places)).alias("pairs"))
+    places = F.transform("stripes", lambda s, place: F.zip_with(s["lower"], s["upper"], lambda lower, upper: pair(lower, upper, place)))
+    weights = [F.transform("stripes.ufrq", weight).alias(name) for name, weight in (("whole", _whole), ("rest", _rest))]
+    ordered = gathered.select(*keys, *weights, F.sort_array(F.flatten(places)).alias("pairs"))
 
     def other(at: Column) -> Column:
         return F.shiftrightunsigned(F.get("pairs", at), 32).cast("int")
@@ -253,11 +277,14 @@ def cooccurrences(
     dropped. The frequencies are those given and appear on both sides of the pair. ``layout`` goes
     to :func:`count_pairs`.
     """
-    rows = interactions.select("client", "link", "item")
-    rows = look_up(rows, link_freq.select("client", "link", "ufrq"), ["client", "link"])
     items = numbered_items(item_freq)
-    rows = look_up(rows, items, ["client", "item"])
-    return count_pairs(rows, items, min_amf, min_nmf, counted=interactions, **layout)
+    rows = look_up(interactions.select("client", "link", "item"), items, ["client", "item"])
+    links = link_freq.select("client", "link", "ufrq")
+    if _may_be_long(**layout) and "link_keys" not in layout:
+        # Links meet their lengths, one row per link, so that one exchange brings both to the rows.
+        links = look_up(links, _long_links(interactions, ["client", "link"], layout.get("block", BLOCK)), ["client", "link"], "left")
+    rows = look_up(rows, links, ["client", "link"])
+    return count_pairs(rows, items, min_amf, min_nmf, **layout)
 
 
 def mirrored(edges: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cobasket.operators.cooccurrence import _split_long_links, cooccurrences, count_pairs, mirrored, numbered_items
 from cobasket.operators.frequencies import items_per_link, links_per_item
 from cobasket.operators.ranking import ranked_similar
-from tests.helpers import EDGE_TYPES, as_edges, executed_nodes, rounded, rows
+from tests.helpers import EDGE_TYPES, as_edges, exchanges, executed_nodes, rounded, rows
 
 TRIPLES = "client string, link string, item string"
 LAYOUTS = [
@@ -233,6 +233,56 @@ def test_no_step_has_a_row_per_pair(spark, longest):
     assert made and max(made) <= len(data) < 200 * 40 * 39 // 2
 
 
+def test_one_exchange_brings_both_totals_and_lengths_to_the_rows(spark):
+    """Of exchanges of all rows there are three: by item, by link, and into baskets."""
+    rng = random.Random(6)
+    data = sorted(("c1", f"u{n}", f"i{i}") for n in range(60) for i in rng.sample(range(90), 50))
+    df = spark.createDataFrame(data, TRIPLES)
+    links, items = (spark.createDataFrame(x.collect(), x.schema) for x in (items_per_link(df), links_per_item(df)))
+    none = {key: spark.conf.get(key, None) for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for key in none:
+            spark.conf.set(key, "-1")
+        edges = cooccurrences(df, links, items, 2.1, 0.4)
+        assert as_edges(edges) == rounded(_expected(data, 2.1, 0.4))
+        edges.collect()
+        assert sum(n == len(data) for n, _ in exchanges(edges)) == 3
+    finally:
+        for key, value in none.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_stripes_take_little_more_than_two_bytes_a_pair(spark):
+    """Numbers below 65,536 have an empty upper half; as four bytes each they took more than three."""
+    rng = random.Random(8)
+    data = [("c1", f"u{n}", i, 2 + i * 7919 % 1000, 3) for n in range(200) for i in sorted(rng.sample(range(60_000), 100))]
+    data += [("c1", f"v{n}", i, 2, 3) for n in range(3) for i in (60_000, 60_001)]
+    df = spark.createDataFrame(data, "client string, link string, number int, freq long, ufrq long")
+    items = spark.range(60_002).selectExpr("'c1' AS client", "cast(id AS string) AS item", "2L AS freq", "cast(id AS int) AS number")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        # As on a cluster, few stripes of one link go to the same task, where they would be compressed to what they share.
+        spark.conf.set("spark.sql.shuffle.partitions", "400")
+        edges = count_pairs(df.coalesce(1), items, 2.1, 0, longest_link=100)
+        assert rows(edges, "item_ref", "item_rec", "amf") == [("60000", "60001", 3)]
+        edges.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    pairs = 200 * 100 * 99 // 2
+    written = max(size for n, size in exchanges(edges) if n == 200 * 99 + 3)
+    assert written < 3.2 * pairs, written / pairs
+
+
+@pytest.mark.parametrize("layout", [{"longest_link": 9}, {"block": 2}, {"buckets": 8}, {"links_per_group": 1}], ids=str)
+def test_numbers_of_any_size_are_told_apart(spark, layout):
+    numbers = [0, 1, 32_767, 32_768, 65_535, 65_536, 98_304, (1 << 31) - 1]
+    names = {number: f"i{number}" for number in numbers}
+    df = spark.createDataFrame([("c1", "u", n, 1, 8) for n in numbers], "client string, link string, number int, freq long, ufrq long")
+    items = spark.createDataFrame([("c1", name, 1, n) for n, name in names.items()], "client string, item string, freq long, number int")
+    found = as_edges(count_pairs(df, items, 0, 0, **layout))
+    assert found == {("c1", *sorted(pair)): (1, 0.25, 1, 1) for pair in combinations(names.values(), 2)}
+
+
 def test_weights_add_up_as_sums_do(spark):
     """Links without a weight count for amf alone; a pair of such links only has no nmf and passes no threshold."""
     data = [("c1", "u1", i, 3, u) for i, u in (("A", None), ("B", None), ("C", None))]
